@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.llm import packing, tokens
+from lumbrera.llm import garbled, packing, tokens
 from lumbrera.plans.lineage import cut, spread
 
 
@@ -13,6 +13,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+NAMES = ["asesores_limpios_v2", "autor_limpio_v2"]
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return garbled.find_garbled(table(spark, folder, "base7_kaggle_clean"), NAMES, "thesis_id").select("thesis_id", "campo").distinct()
+
+
+def p2_restored(spark: SparkSession, folder: str) -> DataFrame:
+    return garbled.find_garbled(table(spark, folder, "base7_kaggle_clean"), NAMES, "thesis_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -23,4 +34,4 @@ def p9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "n", ["doc_id"], 2048)
 
 
-QUERIES: dict[str, tuple] = {"p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+QUERIES: dict[str, tuple] = {"p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
