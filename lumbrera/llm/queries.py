@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.llm import garbled, packing, tokens
+from lumbrera.llm import garbled, groups, neighbours, packing, tokens
 from lumbrera.plans.lineage import cut, spread
 
 
@@ -13,6 +13,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.pairs(neighbours.most_similar(table(spark, folder, "sample_50k_embeddings"), k=5, floor=0.8))
+
+
+def p1_similar(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.most_similar(table(spark, folder, "sample_50k_embeddings"), k=10)
+
+
 NAMES = ["asesores_limpios_v2", "autor_limpio_v2"]
 
 
@@ -24,6 +32,17 @@ def p2_restored(spark: SparkSession, folder: str) -> DataFrame:
     return garbled.find_garbled(table(spark, folder, "base7_kaggle_clean"), NAMES, "thesis_id")
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = cut(groups.group_vectors(table(spark, folder, "sample_50k_embeddings")), "groups")
+    big = found.groupBy("grupo").agg(F.count("*").alias("n")).where("n >= 5").select("grupo")
+    return found.join(big, "grupo").select(F.col("id").alias("vec_id"), "grupo")
+
+
+def p7_described(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "sample_50k_embeddings")
+    return groups.describe(vectors, cut(groups.group_vectors(vectors), "groups"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -34,4 +53,4 @@ def p9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "n", ["doc_id"], 2048)
 
 
-QUERIES: dict[str, tuple] = {"p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+QUERIES: dict[str, tuple] = {"p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
