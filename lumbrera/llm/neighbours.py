@@ -100,10 +100,10 @@ def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURV
             if at > reach and not last:
                 ids, rows, at = ids[at - reach :], rows[at - reach :], reach
 
-        def frame() -> pd.DataFrame:
+        def frame() -> list[pd.DataFrame]:
             got = [r for r in out if len(r[1])]
             out.clear()
-            return pd.DataFrame({"id": [r[0] for r in got], "nbs": [r[1] for r in got], "sims": [r[2] for r in got]})
+            return [pd.DataFrame({"id": [r[0] for r in got], "nbs": [r[1] for r in got], "sims": [r[2] for r in got]})] if got else []
 
         for pdf in batches:
             for c, part in pdf.groupby("curve", sort=False):
@@ -113,9 +113,9 @@ def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURV
                 u = unit(matrix(part["vec"]))
                 ids, rows = np.concatenate([ids, part["id"].to_numpy()]), u if not len(ids) else np.concatenate([rows, u])
                 flush(False)
-            yield frame()
+            yield from frame()
         flush(True)
-        yield frame()
+        yield from frame()
 
     parts = max(curves, -(-n * curves // RANGE))
     ordered = distinct.select("id", "vec").mapInPandas(keyed, "curve int, key long, id long, vec binary").repartitionByRange(parts, "curve", "key", "id").sortWithinPartitions("curve", "key", "id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.llm import garbled, groups, neighbours, packing, tokens
+from lumbrera.llm import canon, garbled, groups, neighbours, packing, tokens
 from lumbrera.plans.lineage import cut, spread
 
 
@@ -32,6 +32,23 @@ def p2_restored(spark: SparkSession, folder: str) -> DataFrame:
     return garbled.find_garbled(table(spark, folder, "base7_kaggle_clean"), NAMES, "thesis_id")
 
 
+def _planteles(spark: SparkSession, folder: str) -> DataFrame:
+    return canon.map_entries(table(spark, folder, "base7_kaggle_clean"), "thesis_id", "plantel_estandarizado", table(spark, folder, "catalogo_planteles"), "plantel_id", ["plantel_canonico", "plantel_display", "sigla"])
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    canonical = table(spark, folder, "catalogo_planteles").select(F.col("plantel_canonico").alias("valor"))
+    return _planteles(spark, folder).join(canonical, "valor", "left_anti").select("thesis_id", "plantel_id").distinct()
+
+
+def p5_mapped(spark: SparkSession, folder: str) -> DataFrame:
+    return _planteles(spark, folder)
+
+
+def p5_misses(spark: SparkSession, folder: str) -> DataFrame:
+    return _planteles(spark, folder).where("plantel_id = 0").groupBy("valor").agg(F.count("*").alias("n"))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     found = cut(groups.group_vectors(table(spark, folder, "sample_50k_embeddings")), "groups")
     big = found.groupBy("grupo").agg(F.count("*").alias("n")).where("n >= 5").select("grupo")
@@ -53,4 +70,4 @@ def p9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "n", ["doc_id"], 2048)
 
 
-QUERIES: dict[str, tuple] = {"p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+QUERIES: dict[str, tuple] = {"p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
