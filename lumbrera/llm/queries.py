@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.llm import canon, garbled, groups, neighbours, packing, tokens
+from lumbrera.llm import canon, garbled, groups, neighbours, packing, tokens, truncated
 from lumbrera.plans.lineage import cut, spread
 
 
@@ -49,6 +49,18 @@ def p5_misses(spark: SparkSession, folder: str) -> DataFrame:
     return _planteles(spark, folder).where("plantel_id = 0").groupBy("valor").agg(F.count("*").alias("n"))
 
 
+def _cuts(spark: SparkSession, folder: str) -> DataFrame:
+    return truncated.find_truncated(table(spark, folder, "base7_kaggle_clean"), "thesis_id", "asesores_limpios_v2", "origen", "asesores_display", "asesor_limpio_v2")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _cuts(spark, folder).where("cut").select("thesis_id").distinct()
+
+
+def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return truncated.shares(_cuts(spark, folder))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     found = cut(groups.group_vectors(table(spark, folder, "sample_50k_embeddings")), "groups")
     big = found.groupBy("grupo").agg(F.count("*").alias("n")).where("n >= 5").select("grupo")
@@ -70,4 +82,4 @@ def p9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "n", ["doc_id"], 2048)
 
 
-QUERIES: dict[str, tuple] = {"p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+QUERIES: dict[str, tuple] = {"p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
