@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.llm import canon, garbled, groups, neighbours, packing, tokens, truncated
+from lumbrera.llm import canon, garbled, groups, neighbours, packing, quality, tokens, truncated
 from lumbrera.plans.lineage import cut, spread
 
 
@@ -82,4 +82,12 @@ def p9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "n", ["doc_id"], 2048)
 
 
-QUERIES: dict[str, tuple] = {"p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_statistics(spark, folder).where("clase <> 'prosa'").select("doc_id", "clase").distinct()
+
+
+def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, tuple] = {"p10_found": (p10_found, None), "p10_statistics": (p10_statistics, None), "p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
