@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.llm import canon, garbled, groups, neighbours, packing, quality, tokens, truncated
+from lumbrera.llm import canon, garbled, groups, neighbours, packing, people, quality, tokens, truncated
+from lumbrera.operators.packed import split_packed
 from lumbrera.plans.lineage import cut, spread
 
 
@@ -32,6 +33,28 @@ def p2_restored(spark: SparkSession, folder: str) -> DataFrame:
     return garbled.find_garbled(table(spark, folder, "base7_kaggle_clean"), NAMES, "thesis_id")
 
 
+def _spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every name of the person fields; records whose advisors are garbled or cut give only their authors."""
+    base = table(spark, folder, "base7_kaggle_clean")
+    damaged = p2_found(spark, folder).where("campo = 'asesores_limpios_v2'").select("thesis_id").unionByName(p6_found(spark, folder)).distinct()
+    damaged = cut(damaged, "damaged")
+    split = cut(split_packed(base, ["asesores_limpios_v2", "autores_limpios_v2"], "thesis_id").select("thesis_id", "campo", F.col("valor").alias("name")), "split")
+    authors = split.where("campo = 'autores_limpios_v2'").select("name")
+    advisors = split.where("campo = 'asesores_limpios_v2'").join(damaged, "thesis_id", "left_anti").select("name")
+    principal = base.join(damaged, "thesis_id", "left_anti").select(F.col("asesor_limpio_v2").alias("name"))
+    return people.link_spellings(authors.unionByName(advisors).unionByName(principal))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    people_ = cut(_spellings(spark, folder), "people")
+    a, b = (people_.select(F.col("name").alias(x), "person") for x in ("nombre_a", "nombre_b"))
+    return a.join(b, "person").where("nombre_a < nombre_b").select("nombre_a", "nombre_b")
+
+
+def p3_people(spark: SparkSession, folder: str) -> DataFrame:
+    return _spellings(spark, folder)
+
+
 def _planteles(spark: SparkSession, folder: str) -> DataFrame:
     return canon.map_entries(table(spark, folder, "base7_kaggle_clean"), "thesis_id", "plantel_estandarizado", table(spark, folder, "catalogo_planteles"), "plantel_id", ["plantel_canonico", "plantel_display", "sigla"])
 
@@ -90,4 +113,4 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, tuple] = {"p10_found": (p10_found, None), "p10_statistics": (p10_statistics, None), "p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+QUERIES: dict[str, tuple] = {"p10_found": (p10_found, None), "p10_statistics": (p10_statistics, None), "p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p3_found": (p3_found, None), "p3_people": (p3_people, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
