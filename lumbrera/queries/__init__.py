@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lumbrera.plans.lineage import ship
@@ -11,11 +13,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def base(spark: SparkSession, folder: str) -> DataFrame:
+    """The master table."""
+    return table(spark, folder, "base7_kaggle_clean")
+
+
+def entry(sql: str | None = None) -> Callable:
+    """Marks a function as a query, with the SQL that gives the same rows."""
+
+    def mark(f: Callable) -> Callable:
+        f.sql = sql
+        f.is_query = True
+        return f
+
+    return mark
+
+
+def queries_of(names: dict) -> dict[str, tuple]:
+    return {k: (f, f.sql) for k, f in names.items() if getattr(f, "is_query", False)}
+
+
 def catalogue() -> dict[str, tuple]:
-    from lumbrera.queries import packed
+    from lumbrera.queries import aggregates, packed, relational
 
     out: dict[str, tuple] = {}
-    for module in (packed,):
+    for module in (packed, relational, aggregates):
         out |= module.QUERIES
     return out
 
