@@ -34,10 +34,10 @@ def queries_of(names: dict) -> dict[str, tuple]:
 
 
 def catalogue() -> dict[str, tuple]:
-    from lumbrera.queries import aggregates, groups, packed, relational, texts, vectors
+    from lumbrera.queries import aggregates, groups, packed, relational, state, texts, vectors
 
     out: dict[str, tuple] = {}
-    for module in (packed, relational, aggregates, vectors, texts, groups):
+    for module in (packed, relational, aggregates, vectors, texts, groups, state):
         out |= module.QUERIES
     return out
 
