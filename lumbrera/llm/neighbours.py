@@ -19,7 +19,7 @@ from lumbrera.llm.vectors import directions, first_ids, fold, matrix, unit, usab
 from lumbrera.plans.lineage import cut
 
 #: Curves, directions and bits of each, rows compared at once, rows to either side of them, rows of a range.
-CURVES, DIMS, BITS, BLOCK, REACH, RANGE = 8, 6, 10, 1024, 2048, 16384
+CURVES, DIMS, BITS, BLOCK, REACH, RANGE = 12, 6, 10, 1024, 3072, 16384
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
