@@ -197,19 +197,19 @@ def split_packed(df: DataFrame, columns: list[str], key: str, rounds: int = 2) -
     fields = df.select(F.col(f"`{key}`").alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("campo"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])).alias("f")).select("k", "f.campo", "f.v")
     fields = fields.where(F.col("v").isNotNull() & F.col("v").rlike(r"\S"))
     texts = cut(fields.select("v").distinct().withColumn("suspect", F.col("v").rlike(_SUSPECT)), "packed-texts")
-    suspects = cut(spread(texts.where("suspect").select("v")), "packed-suspects")
+    suspects = cut(spread(texts.where("suspect").select("v")).withColumn("id", F.monotonically_increasing_id()), "packed-suspects")
     plain = texts.where("NOT suspect").select(F.trim("v").alias("value"))
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"v": pdf["v"], "vals": [cautious(v) for v in pdf["v"]]})
+            yield pd.DataFrame({"id": pdf["id"], "vals": pd.Series([cautious(v) for v in pdf["v"]], dtype=object, index=pdf.index)})
 
-    parsed = cut(suspects.mapInPandas(first, "v string, vals array<string>"), "packed-0")
+    parsed = cut(suspects.mapInPandas(first, "id long, vals array<string>"), "packed-0")
     for r in range(rounds):
         parsed, old = cut(_round(suspects, parsed, plain), f"packed-{r + 1}"), parsed
         drop(old)
     whole = texts.where("NOT suspect").select("v", F.array(F.regexp_replace("v", r"^\s+|\s+$", "")).alias("vals"))
-    chosen = parsed.select("v", "vals").unionByName(whole)
+    chosen = suspects.join(parsed, "id").select("v", "vals").unionByName(whole)
     out = fields.join(chosen, "v").select(F.col("k").alias(key), "campo", F.posexplode("vals").alias("p", "valor"), F.size("vals").alias("n"))
     return out.select(key, "campo", (F.col("p") + 1).alias("posicion"), "valor", "n")
 
@@ -225,7 +225,8 @@ def _round(suspects: DataFrame, parsed: DataFrame, plain: DataFrame) -> DataFram
             for v in pdf["value"]:
                 s = "^^" + shape(v) + "$"
                 out.update(s[i : i + 3] for i in range(len(s) - 2))
-        yield pd.DataFrame({"g": list(out), "n": list(out.values())})
+        if out:
+            yield pd.DataFrame({"g": list(out), "n": list(out.values())})
 
     # At most (token classes)^3 rows reach the driver: 31 classes, so fewer than 30,000.
     grams = singles.mapInPandas(trigrams, "g string, n long").groupBy("g").agg(F.sum("n").alias("n")).toPandas()
@@ -236,17 +237,18 @@ def _round(suspects: DataFrame, parsed: DataFrame, plain: DataFrame) -> DataFram
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for v in pdf["v"]:
+            for i, v in zip(pdf["id"], pdf["v"], strict=True):
                 for k, (_, extra, values) in enumerate(dialects(v)):
-                    rows += [(v, k, extra, at, x, _new_bits(x, bits.value)) for at, x in enumerate(values)]
-            yield pd.DataFrame(rows, columns=["v", "d", "extra", "at", "value", "fresh"])
+                    rows += [(i, k, extra, at, x, _new_bits(x, bits.value)) for at, x in enumerate(values)] or [(i, k, extra, 0, "", 0.0)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "d", "extra", "at", "value", "fresh"])
 
-    cands = suspects.mapInPandas(candidates, "v string, d int, extra double, at int, value string, fresh double")
+    cands = suspects.mapInPandas(candidates, "id long, d int, extra double, at int, value string, fresh double")
     # A value counts as known by the other distinct fields that hold it: one field is taken off.
     code = F.when(F.col("c") > 1, F.least(F.col("fresh"), F.log2(F.lit(float(total)) / (F.col("c") - 1)) + 1.0)).otherwise(F.col("fresh"))
-    costs = cands.join(known, "value", "left").groupBy("v", "d").agg((F.sum(code) + F.first("extra")).alias("cost"), F.sort_array(F.collect_list(F.struct("at", "value"))).alias("a"))
-    best = costs.groupBy("v").agg(F.min_by(F.struct("a"), F.struct(F.round("cost", 6), "d")).alias("b"))
-    return best.select("v", F.transform("b.a", lambda x: x["value"]).alias("vals"))
+    costs = cands.join(known, "value", "left").groupBy("id", "d").agg((F.sum(code) + F.first("extra")).alias("cost"), F.sort_array(F.collect_list(F.struct("at", "value"))).alias("a"))
+    best = costs.groupBy("id").agg(F.min_by(F.struct("a"), F.struct(F.round("cost", 6), "d")).alias("b"))
+    return best.select("id", F.filter(F.transform("b.a", lambda x: x["value"]), lambda x: x != "").alias("vals"))
 
 
 def texts_count(values: DataFrame) -> int:

@@ -41,7 +41,7 @@ def report(df: DataFrame, path: str) -> None:
 
 
 def documents(df: DataFrame, path: str, key: str, order: Sequence[Column]) -> None:
-    """One JSON document a group: {key, rows}, rows in order."""
+    """One JSON document a group: {key, rows}, rows by ascending ``order`` (negate numbers for descending)."""
     rows = F.array_sort(F.collect_list(F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], F.struct(*[c for c in df.columns if c != key]).alias("row"))))
     df.groupBy(key).agg(F.transform(rows, lambda r: r["row"]).alias("rows")).write.mode("overwrite").json(path)
 
