@@ -244,7 +244,7 @@ def replay_queue(events: DataFrame, key: str, seats: int, lease: float) -> DataF
         q = Queue(seats, lease)
         for r in pdf.sort_values(["ts", "job"]).itertuples():
             (q.arrive if r.kind == "arrive" else q.finish)(r.job, r.ts)
-        return pd.DataFrame([(k[0], j, t) for j, t in q.started], columns=["k", "job", "started"])
+        return pd.DataFrame([(k[0], j, t) for j, t in q.started], columns=["k", "job", "started"]).astype({"job": "int64", "started": "float64"})
 
     return events.groupBy(key).applyInPandas(run, f"k {kind}, job long, started double").withColumnRenamed("k", key)
 
