@@ -218,3 +218,13 @@ def test_quotas_and_queue(spark):
     assert z.started == [("a", 0), ("a", 11), ("b", 12)]
     rows = replay_queue(spark.createDataFrame([("k", 1, 0.0, "arrive"), ("k", 2, 1.0, "arrive"), ("k", 1, 2.0, "finish")], "k string, job long, ts double, kind string"), "k", 1, 100.0).collect()
     assert sorted((r["job"], r["started"]) for r in rows) == [(1, 0.0), (2, 2.0)]
+
+
+def test_parsing():
+    from lumbrera.functions import parsing as J
+
+    assert J.first_object('texto {mal} {"a": {"b": 1}} fin') == '{"a": {"b": 1}}' and J.first_object(None) is None and J.first_object("{") is None
+    assert J.json_safe({"a": [float("nan"), 1.5], 2: float("inf")}) == {"a": [None, 1.5], "2": None}
+    assert J.whitelist({"a": "xyz", "b": 3, "c": 1}, {"a": (str, 2), "b": (str, 2)}) == {"a": "xy"}
+    text = "Bibliografía\n- Robles, A. (1999). El agua.\n[2] Pérez Luna, B. El riego, 2001\nRobles, A. (1999). El agua.\nnada"
+    assert J.references(text) == ["Robles, A. (1999). El agua.", "Pérez Luna, B. El riego, 2001"] and J.references(None) == []
