@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from lumbrera.functions import text as X
 from lumbrera.operators.relational import top_per
+from lumbrera.plans.lineage import cut
 
 #: Words that say nothing about a topic.
 STOPWORDS = (
@@ -41,7 +42,8 @@ def term_counts(docs: DataFrame, group: str, key: str, text: Column, bigrams: bo
 
     Words are numbered over the whole group, so pairs span texts. Each text contributes its inner pairs where it is
     read; only its last word and the next text's first one meet, through a lag over one row a text."""
-    d = docs.select(F.col(group).alias("g"), F.col(key).alias("k"), tokens(text).alias("ws")).where(F.size("ws") > 0)
+    # Written out once: left in the plan, the words of a text would be computed anew wherever they are mentioned.
+    d = cut(docs.select(F.col(group).alias("g"), F.col(key).alias("k"), tokens(text).alias("ws")), "words").where(F.size("ws") > 0)
     ones = d.select("g", F.explode("ws").alias("term"))
     if not bigrams:
         return ones.groupBy("g", "term").agg(F.count("*").alias("n")).withColumnRenamed("g", group)
