@@ -152,11 +152,11 @@ def find_truncated(df: DataFrame, key: str, column: str, source: str, display: s
     n = F.length("v")
     at_random = apart.where((n > 8) & (dice(10, 2) < 6)).withColumn("to", F.greatest(F.lit(5), (n * (F.lit(0.25) + dice(75, 3) / 100.0)).cast("int")))
     hanging = F.regexp_extract("v", r"^(.{4,}(?:,|\s[|;/&]|;))\s*\S", 1)
-    at_random = at_random.withColumn("to", F.when((dice(7, 6) == 0) & (F.length(hanging) > 0), F.length(hanging)).otherwise(F.col("to")))
     at_random = at_random.withColumn("v", F.concat(F.rtrim(F.expr("substring(v, 1, to)")), F.when(dice(8, 4) == 0, "…").when(dice(8, 4) == 1, "...").otherwise("")))
     # Cuts at a limit: a value too long for a source that has one, as that source would keep it.
     held_to = chosen.crossJoin(F.broadcast(limits.withColumnRenamed("origen", "o").orderBy(F.desc("size"), "o", "unit").limit(200))) if limits.limit(1).count() else None
-    training = at_random.select("k", "origen", "v", "held", "first").withColumn("y", F.lit(1))
+    hung = apart.where((dice(6, 6) == 0) & (F.length(hanging) > 0)).withColumn("v", hanging)  # cut just behind a separator
+    training = at_random.select("k", "origen", "v", "held", "first").unionByName(hung.select("k", "origen", "v", "held", "first")).withColumn("y", F.lit(1))
     if held_to is not None:
         long = held_to.where(F.when(F.col("unit") == "c", F.length("v")).otherwise(F.octet_length("v")) > F.col("size"))
         clipped = long.withColumn("v", F.when(F.col("unit") == "c", F.expr("substring(v, 1, size)")).otherwise(F.expr("make_valid_utf8(cast(substring(cast(v AS binary), 1, size) AS string))"))).withColumn("v", F.regexp_replace("v", "�$", ""))
@@ -171,11 +171,12 @@ def find_truncated(df: DataFrame, key: str, column: str, source: str, display: s
     # that length by nature, the least suspicious ones; of the others, those that the model takes for cut leave.
     limited = ((examples["ac"] | examples["ab"] | examples["near"]) & (examples["y"] == 0)).to_numpy()
     natural = int(np.ceil(examples["natural"].to_numpy()[limited & (examples["ac"] | examples["ab"]).to_numpy()].sum()))
-    keep = ~limited
+    open_end = (examples["v"].str.contains(r"(?:[,|;/&…]|\.\.\.)\s*$") & (examples["y"] == 0)).to_numpy()  # not known to be whole
+    keep = ~limited & ~open_end
     for _ in range(PASSES):
         weights = train(x[keep], y[keep])
         z = weights[x].sum(axis=1)
-        keep = (y == 1) | ((z < 0) & ~limited)
+        keep = (y == 1) | ((z < 0) & ~limited & ~open_end)
         keep[np.nonzero(limited)[0][np.argsort(z[limited], kind="stable")[:natural]]] = True
     trained = float(y[keep].mean())
     shared = spark.sparkContext.broadcast(weights)
