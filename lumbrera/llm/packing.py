@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rounds of multiplicative weights, and salts over which equal lengths are numbered.
-ROUNDS = 600
+#: Rounds of multiplicative weights at most, and salts over which equal lengths are numbered.
+ROUNDS = 700
 SALTS = 64
+#: Configurations that one knapsack gives, and how fast a covered length loses weight.
+COLUMNS, ETA = 48, 0.7
 
 
 @dataclass
@@ -32,53 +34,73 @@ class Plan:
     bound: float  # no packing has fewer containers
 
 
-def price(values: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of greatest value: unbounded knapsack over lengths (ascending), then clipped to counts."""
+def best_fills(values: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over lengths (ascending): for every room up to the capacity, the greatest value that fits,
+    and the index of a length that begins such a filling (-1: leave a unit empty)."""
     best = np.zeros(capacity + 1)
     take = np.full(capacity + 1, -1)
     ends = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for w in range(1, capacity + 1):
-        best[w], take[w] = best[w - 1], -1
+        best[w] = best[w - 1]
         if k := ends[w]:
             gain = best[w - lengths[:k]] + values[:k]
             j = int(np.argmax(gain))
             if gain[j] > best[w] + 1e-15:
                 best[w], take[w] = gain[j], j
+    return best, take
+
+
+def filling(take: np.ndarray, lengths: np.ndarray, room: int) -> Counter:
+    """The lengths (by index) of the best filling of a room."""
     out: Counter = Counter()
-    w = capacity
-    while w > 0:
-        if take[w] < 0:
-            w -= 1
+    while room > 0:
+        if take[room] < 0:
+            room -= 1
         else:
-            out[int(take[w])] += 1
-            w -= int(lengths[take[w]])
-    return {k: min(n, int(counts[k])) for k, n in out.items()}
+            out[int(take[room])] += 1
+            room -= int(lengths[take[room]])
+    return out
+
+
+def price(values: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration of greatest value, clipped to counts."""
+    return {k: min(n, int(counts[k])) for k, n in filling(best_fills(values, lengths, capacity)[1], lengths, capacity).items()}
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[float, dict[int, int]]]:
-    """Multiplicative weights for: cover every length's count by configurations, using as few as possible."""
-    n = len(lengths)
-    weight = np.ones(n)
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int, columns: int = COLUMNS, eta: float = ETA) -> list[tuple[float, dict[int, int]]]:
+    """Multiplicative weights for the covering program: every length's count covered by configurations, as few as can be.
+
+    A length's weight falls exponentially with the part of it that is covered; its price is its weight times its
+    length (at an even covering the optimal dual is the length itself). One knapsack a round prices all rooms; the
+    lengths with most left to cover each begin a configuration that the knapsack completes, and it enters the solution
+    with half of what its scarcest length has left, all of it once little is left."""
+    left = counts.astype(float).copy()
     used: dict[tuple, float] = {}
-    covered = np.zeros(n)
-    step = 0.15
-    for _ in range(rounds):
-        config = price(weight / counts, lengths, counts, capacity)
-        if not config:
-            break
-        ks = np.fromiter(config.keys(), int)
-        a = np.fromiter(config.values(), int)
-        amount = float(np.min(counts[ks] / a)) * 0.25  # the share of the most limited length that one round may cover
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0.0) + amount
-        covered[ks] += a * amount / counts[ks]
-        weight[ks] *= np.exp(-step * a * amount / counts[ks] * n / max(1, len(ks)))
-        weight /= weight.max()
-        weight = np.maximum(weight, 1e-12)
-        weight[covered >= 1] = 0.0  # fully covered lengths add nothing
-        if covered.min() >= 1:
+    for r in range(rounds):
+        open_ = left > 1e-6
+        if not open_.any():
             break
-    return [(x, {k: a for k, a in key}) for key, x in used.items()]
+        weight = np.exp(-eta * (1 - left / counts)) * open_
+        _, take = best_fills(weight * lengths, lengths, capacity)
+        share, fresh = 0.5 if r < rounds // 2 else 1.0, False
+        for k in np.argsort(-left * lengths, kind="stable")[:columns]:
+            if left[k] <= 1e-6:
+                continue
+            config = filling(take, lengths, capacity - int(lengths[k]))
+            config[int(k)] += 1
+            gone = [j for j in config if left[j] <= 1e-6]
+            if gone and fresh:
+                continue  # the knapsack's filling is used up: the next round finds another
+            fresh = True
+            for j in gone:
+                del config[j]
+            scarce = min(left[j] / a for j, a in config.items())
+            amount = scarce if scarce < 1 else scarce * share
+            key = tuple(sorted(config.items()))
+            used[key] = used.get(key, 0.0) + amount
+            for j, a in config.items():
+                left[j] = max(0.0, left[j] - a * amount)
+    return [(x, dict(key)) for key, x in used.items()]
 
 
 def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan:
