@@ -104,18 +104,24 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: i
 
 
 def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan:
-    """Whole containers for all items of a histogram {length: items}, 0 < length <= capacity."""
+    """Whole containers for all items of a histogram {length: items}, 0 < length <= capacity: the program's solution
+    rounded down and completed, or what completes an empty solution should that take fewer containers."""
     if not histogram:
         return Plan([], 0.0)
     lengths = np.array(sorted(histogram))
     counts = np.array([histogram[x] for x in lengths], dtype=float)
-    left = counts.astype(np.int64).copy()
+    bound = float(np.dot(lengths, counts)) / capacity
+    made = [_whole(lengths, counts, x, capacity) for x in (fractional(lengths, counts, capacity, rounds), [])]
+    return Plan(min(made, key=lambda cs: sum(t for t, _ in cs)), bound)
+
+
+def _whole(lengths: np.ndarray, counts: np.ndarray, solution: list[tuple[float, dict[int, int]]], capacity: int) -> list[tuple[int, dict[int, int]]]:
+    left = counts.astype(np.int64)
     configs: list[tuple[int, dict[int, int]]] = []
-    full = [(x, c) for x, c in fractional(lengths, counts, capacity, rounds)]
-    for x, c in sorted(full, key=lambda p: (-sum(int(lengths[k]) * a for k, a in p[1].items()), sorted(p[1].items()))):
+    for x, c in sorted(solution, key=lambda p: (-sum(int(lengths[k]) * a for k, a in p[1].items()), sorted(p[1].items()))):
         if capacity - sum(int(lengths[k]) * a for k, a in c.items()) > capacity // 64:
             continue  # a loose configuration is worth less than best fit over what is left
-        times = min([int(np.floor(x)), *(int(left[k]) // a for k, a in c.items())])
+        times = min([int(np.floor(x + 1e-9)), *(int(left[k]) // a for k, a in c.items())])
         if times > 0:
             configs.append((times, {int(lengths[k]): a for k, a in c.items()}))
             for k, a in c.items():
@@ -136,7 +142,7 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan
         for x, a in content.items():
             rest[x] -= times * a
         order = [x for x in order if rest[x]]
-    return Plan(configs, float(np.dot(lengths, counts)) / capacity)
+    return configs
 
 
 def pack(items: DataFrame, size: str, keys: list[str], capacity: int = 2048, rounds: int = ROUNDS, salts: int = SALTS) -> DataFrame:
