@@ -74,23 +74,35 @@ def labels(ranked: DataFrame, group: str) -> DataFrame:
     return ranked.groupBy(group).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda x: x["term"]), " · ").alias("label"))
 
 
-def tfidf_rows(docs: DataFrame, key: str, text: Column) -> DataFrame:
-    """(key, term, w): smoothed TF-IDF, rows scaled to length 1."""
-    t = docs.select(F.col(key).alias("k"), F.explode(tokens(text)).alias("term")).groupBy("k", "term").agg(F.count("*").alias("tf"))
-    n = docs.select(key).agg(F.count("*").alias("n"))
+def ngrams(words: Column, n: int) -> Column:
+    """All runs of 1 to n neighbouring words of an array, joined by blanks."""
+
+    def runs(k: int) -> Column:
+        return F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.array_join(F.slice(words, i, k), " "))).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.array(words, *map(runs, range(2, n + 1))))
+
+
+def tfidf_rows(docs: DataFrame, key: str, text: Column, n: int = 1) -> DataFrame:
+    """(key, term, w): smoothed TF-IDF of runs of 1 to n words, rows scaled to length 1."""
+    words = docs.select(F.col(key).alias("k"), tokens(text).alias("ws"))
+    if n > 1:
+        words = cut(words, "words")  # else the words of a text would be computed anew for every run
+    t = words.select("k", F.explode(ngrams(F.col("ws"), n) if n > 1 else F.col("ws")).alias("term")).groupBy("k", "term").agg(F.count("*").alias("tf"))
+    texts = docs.select(key).agg(F.count("*").alias("n"))
     df = t.groupBy("term").agg(F.count("*").alias("df"))
-    w = t.join(df, "term").crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))  # n: one row
+    w = t.join(df, "term").crossJoin(F.broadcast(texts)).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))  # texts: one row
     length = w.groupBy("k").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
     return w.join(length, "k").select(F.col("k").alias(key), "term", (F.col("w") / F.col("len")).alias("w"))
 
 
-def list_keywords(docs: DataFrame, key: str, text: Column, top: int = 18, least: int = 3, features: int = 400) -> DataFrame:
-    """(term, score): of the commonest terms of a list of texts, those of greatest mean TF-IDF."""
-    rows = tfidf_rows(docs, key, text)
-    n = docs.select(key).agg(F.count("*").alias("n"))
+def list_keywords(docs: DataFrame, key: str, text: Column, top: int = 18, least: int = 3, features: int = 400, n: int = 1) -> DataFrame:
+    """(term, score): of the commonest terms (runs of 1 to n words) of a list of texts, those of greatest mean TF-IDF."""
+    rows = tfidf_rows(docs, key, text, n)
+    texts = docs.select(key).agg(F.count("*").alias("n"))
     total = rows.groupBy("term").agg(F.sum("w").alias("w"), F.count("*").alias("df"))
     common = total.orderBy(F.desc("df"), "term").limit(features)
-    mean = common.crossJoin(F.broadcast(n)).select("term", F.round(F.col("w") / F.col("n"), 6).alias("score"))  # n: one row
+    mean = common.crossJoin(F.broadcast(texts)).select("term", F.round(F.col("w") / F.col("n"), 6).alias("score"))  # texts: one row
     return mean.where(F.length("term") >= least).orderBy(F.desc("score"), "term").limit(top)
 
 

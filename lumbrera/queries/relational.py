@@ -356,9 +356,10 @@ def range_shards(spark: SparkSession, d: str) -> DataFrame:
     return base(spark, d).select("thesis_id", X.id_number(F.col("thesis_id")).alias("num")).withColumn("shard", F.expr("(num - 1) div 1000"))
 
 
-@entry("SELECT area, thesis_id FROM base7_kaggle_clean ORDER BY trim(regexp_replace(translate(lower(coalesce(titulo_limpio, '')), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc'), '[^a-z0-9]+', ' ', 'g')), thesis_id LIMIT 50")
+@entry("SELECT thesis_id, row_number() OVER (ORDER BY trim(regexp_replace(translate(lower(coalesce(titulo_limpio, '')), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc'), '[^a-z0-9]+', ' ', 'g')), thesis_id) AS place FROM base7_kaggle_clean")
 def accentless_order(spark: SparkSession, d: str) -> DataFrame:
-    return base(spark, d).orderBy(X.key(F.col("titulo_limpio")), "thesis_id").limit(50).select("area", "thesis_id")
+    k = base(spark, d).select("thesis_id", X.key(F.col("titulo_limpio")).alias("k"))
+    return R.ids_over(k, [F.col("k"), F.col("thesis_id")], "%d").select("thesis_id", F.col("new_id").cast("long").alias("place"))
 
 
 @entry("SELECT doc_id, source, n_chars, n_chars < max(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS fell FROM documents WHERE n_chars IS NOT NULL")

@@ -122,6 +122,15 @@ def list_keywords(spark: SparkSession, d: str) -> DataFrame:
     return N.list_keywords(base(spark, d), "thesis_id", F.col("titulo_limpio"))
 
 
+@entry(
+    f"WITH d AS (SELECT thesis_id, {_TOK.format(c='titulo_limpio')} AS ws FROM base7_kaggle_clean), t AS (SELECT thesis_id, unnest(ws) AS term FROM d UNION ALL SELECT thesis_id, ws[i] || ' ' || ws[i + 1] FROM (SELECT thesis_id, ws, unnest(generate_series(1, len(ws) - 1)) AS i FROM d) UNION ALL SELECT thesis_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FROM (SELECT thesis_id, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM d)), "
+    "c AS (SELECT thesis_id, term, count(*) AS tf FROM t GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM base7_kaggle_clean), f AS (SELECT term, count(*) AS df FROM c GROUP BY 1), w AS (SELECT thesis_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM c JOIN f USING (term), n), l AS (SELECT thesis_id, sqrt(sum(w * w)) AS l FROM w GROUP BY 1), "
+    "m AS (SELECT term, sum(w / l) AS s, count(*) AS df FROM w JOIN l USING (thesis_id) GROUP BY 1), k AS (SELECT * FROM m ORDER BY df DESC, term LIMIT 400) SELECT term, round(s / n, 6) AS score FROM k, n WHERE length(term) >= 3 ORDER BY score DESC, term LIMIT 18"
+)
+def list_keyphrases(spark: SparkSession, d: str) -> DataFrame:
+    return N.list_keywords(base(spark, d), "thesis_id", F.col("titulo_limpio"), n=3)
+
+
 @entry(f"SELECT term, array_to_string(list_sort(list(DISTINCT doc_id)), ',') AS ids FROM (SELECT doc_id, unnest({_TOK.format(c='text')}) AS term FROM documents) GROUP BY term")
 def inverted_postings(spark: SparkSession, d: str) -> DataFrame:
     return N.postings(table(spark, d, "documents"), "doc_id", F.col("text")).select("term", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
