@@ -33,7 +33,7 @@ def two_level(spark: SparkSession, d: str) -> DataFrame:
     return g.agg(F.count("*").alias("groups"), F.min("n").alias("lo"), F.median("n").alias("med"), F.max("n").alias("hi"), F.sum("programs").alias("programs"), F.sum("authors").alias("authors"))
 
 
-@entry("SELECT target_year, count(*) AS n, count_if(coalesce(trim(texto_completo_url), '') <> '') AS with_url, count_if(coalesce(trim(error), '') <> '') AS failed, round(count_if(coalesce(trim(texto_completo_url), '') <> '') * 100.0 / count(*), 4) AS url_pct FROM marc_status_log GROUP BY 1")
+@entry("SELECT target_year, count(*) AS n, count(*) FILTER (coalesce(trim(texto_completo_url), '') <> '') AS with_url, count(*) FILTER (coalesce(trim(error), '') <> '') AS failed, round(count(*) FILTER (coalesce(trim(texto_completo_url), '') <> '') * 100.0 / count(*), 4) AS url_pct FROM marc_status_log GROUP BY 1")
 def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
     url = ~X.missing(F.col("texto_completo_url"))
     g = table(spark, d, "marc_status_log").groupBy("target_year").agg(F.count("*").alias("n"), F.count_if(url).alias("with_url"), F.count_if(~X.missing(F.col("error"))).alias("failed"))
@@ -101,7 +101,7 @@ def crosstab_shares(spark: SparkSession, d: str) -> DataFrame:
     return A.crosstab_share(base(spark, d), "origen", "nivel_estandar", ["licenciatura", "maestria", "doctorado"])
 
 
-@entry("SELECT target_year, count_if(download_status = 'success_metadata') AS success_metadata, count_if(download_status = 'failed') AS failed FROM marc_status_log GROUP BY 1")
+@entry("SELECT target_year, count(*) FILTER (download_status = 'success_metadata') AS success_metadata, count(*) FILTER (download_status = 'failed') AS failed FROM marc_status_log GROUP BY 1")
 def pivot_year_status(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "marc_status_log").groupBy("target_year").pivot("download_status", ["success_metadata", "failed"]).agg(F.count(F.lit(1))).na.fill(0, ["success_metadata", "failed"])
 
@@ -137,7 +137,7 @@ def dup_rate(spark: SparkSession, d: str) -> DataFrame:
 _FLAG_SQL = {"sin_coma": "^[^,]+$", "con_digitos": "\\d", "con_parentesis": "[()]", "con_punto_final": "\\.$", "doble_espacio": "\\s{2,}", "minusculas": "^[^A-ZÁÉÍÓÚÑÜ]+$", "mayusculas": "^[^a-záéíóúñü]+$", "una_palabra": "^\\S+$", "titulo": "(?i)\\b(dra?|mtr[oa]|lic|ing|prof)\\.", "varias_comas": ",.*,", "signo_raro": "[^\\p{{L}}\\s,.''()\\d-]".replace("{{", "{").replace("}}", "}")}
 
 
-@entry("WITH n AS (SELECT unnest(list_distinct(list_filter(list_transform(string_split(coalesce(asesores_display, ''), '|'), lambda x: trim(x)), lambda x: x <> ''))) AS name FROM base7_kaggle_clean) " + " UNION ALL ".join(f"SELECT '{k}' AS flag, count_if(regexp_matches(name, '{p}')) AS n, count(*) AS total FROM n" for k, p in _FLAG_SQL.items()))
+@entry("WITH n AS (SELECT unnest(list_distinct(list_filter(list_transform(string_split(coalesce(asesores_display, ''), '|'), lambda x: trim(x)), lambda x: x <> ''))) AS name FROM base7_kaggle_clean) " + " UNION ALL ".join(f"SELECT '{k}' AS flag, count(*) FILTER (regexp_matches(name, '{p}')) AS n, count(*) AS total FROM n" for k, p in _FLAG_SQL.items()))
 def flag_summary(spark: SparkSession, d: str) -> DataFrame:
     return A.flag_summary(base(spark, d), X.clean_list(F.col("asesores_display")))
 
@@ -157,7 +157,7 @@ def year_drop_audit(spark: SparkSession, d: str) -> DataFrame:
 
 @entry(
     "WITH l AS (SELECT biblionumber, target_year, arg_max(download_status, log_seq) AS st, arg_max(coalesce(trim(texto_completo_url), '') <> '', log_seq) AS url FROM marc_status_log WHERE biblionumber IS NOT NULL GROUP BY 1, 2), m AS (SELECT target_year, count(DISTINCT biblionumber) AS listed FROM marc_year_manifest WHERE biblionumber <> '' GROUP BY 1), "
-    "c AS (SELECT target_year, count_if(st = 'success_metadata') AS ok, count_if(st = 'failed') AS failed, count_if(url) AS urls, count(*) AS done FROM l GROUP BY 1) SELECT m.target_year, listed, coalesce(ok, 0) AS ok, coalesce(failed, 0) AS failed, greatest(listed - coalesce(ok, 0), 0) AS remaining, round(coalesce(urls * 100.0 / nullif(done, 0), 0), 4) AS url_pct FROM m LEFT JOIN c ON m.target_year IS NOT DISTINCT FROM c.target_year"
+    "c AS (SELECT target_year, count(*) FILTER (st = 'success_metadata') AS ok, count(*) FILTER (st = 'failed') AS failed, count(*) FILTER (url) AS urls, count(*) AS done FROM l GROUP BY 1) SELECT m.target_year, listed, coalesce(ok, 0) AS ok, coalesce(failed, 0) AS failed, greatest(listed - coalesce(ok, 0), 0) AS remaining, round(coalesce(urls * 100.0 / nullif(done, 0), 0), 4) AS url_pct FROM m LEFT JOIN c ON m.target_year IS NOT DISTINCT FROM c.target_year"
 )
 def download_progress(spark: SparkSession, d: str) -> DataFrame:
     log = table(spark, d, "marc_status_log").where("biblionumber IS NOT NULL")
@@ -169,7 +169,7 @@ def download_progress(spark: SparkSession, d: str) -> DataFrame:
 
 
 @entry(
-    "WITH a AS (SELECT \"año\" AS y, count_if(source_record = 'base6') AS base_n, count_if(source_record <> 'base6') AS marc_n FROM base7_kaggle_clean GROUP BY 1) SELECT y, base_n, marc_n, marc_n - base_n AS delta, CASE WHEN marc_n = 0 THEN 'conservar' WHEN base_n = 0 THEN 'agregar' WHEN marc_n > base_n THEN 'reemplazar' ELSE 'conservar' END AS action FROM a"
+    "WITH a AS (SELECT \"año\" AS y, count(*) FILTER (source_record = 'base6') AS base_n, count(*) FILTER (source_record <> 'base6') AS marc_n FROM base7_kaggle_clean GROUP BY 1) SELECT y, base_n, marc_n, marc_n - base_n AS delta, CASE WHEN marc_n = 0 THEN 'conservar' WHEN base_n = 0 THEN 'agregar' WHEN marc_n > base_n THEN 'reemplazar' ELSE 'conservar' END AS action FROM a"
 )
 def merge_plan(spark: SparkSession, d: str) -> DataFrame:
     a = base(spark, d).groupBy(F.col("año").alias("y")).agg(F.count_if(F.col("source_record") == "base6").alias("base_n"), F.count_if(F.col("source_record") != "base6").alias("marc_n"))
@@ -196,7 +196,7 @@ def csr_offsets(spark: SparkSession, d: str) -> DataFrame:
     return p.withColumn("offset_", (F.sum("n").over(Window.partitionBy("macroid").orderBy("clusterid")) - F.col("n")).cast("long"))
 
 
-@entry("SELECT programa, round(count_if(\"año\" >= 2010) / (SELECT count_if(\"año\" >= 2010) FROM base7_kaggle_clean), 6) AS inside_share, round(count(*) / (SELECT count(*) FROM base7_kaggle_clean), 6) AS global_share, round((count_if(\"año\" >= 2010) / (SELECT count_if(\"año\" >= 2010) FROM base7_kaggle_clean)) / (count(*) / (SELECT count(*) FROM base7_kaggle_clean)), 4) AS ratio FROM base7_kaggle_clean GROUP BY 1")
+@entry("SELECT programa, round(count(*) FILTER (\"año\" >= 2010) / (SELECT count(*) FILTER (\"año\" >= 2010) FROM base7_kaggle_clean), 6) AS inside_share, round(count(*) / (SELECT count(*) FROM base7_kaggle_clean), 6) AS global_share, round((count(*) FILTER (\"año\" >= 2010) / (SELECT count(*) FILTER (\"año\" >= 2010) FROM base7_kaggle_clean)) / (count(*) / (SELECT count(*) FROM base7_kaggle_clean)), 4) AS ratio FROM base7_kaggle_clean GROUP BY 1")
 def enrichment_ratio(spark: SparkSession, d: str) -> DataFrame:
     return A.enrichment(base(spark, d), F.col("año") >= 2010, "programa")
 
@@ -208,7 +208,7 @@ def describe_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @entry(
-    "WITH v AS (SELECT cluster, \"año\" AS y FROM sample_50k_embeddings JOIN base7_kaggle_clean USING (thesis_id) WHERE \"año\" > 0) SELECT cluster, min(y) AS lo, max(y) AS hi, median(y) AS med, round(count_if(y >= 2020) / count(*), 4) AS since2020, round(count_if(y >= 2000) / count(*), 4) AS since2000, CASE WHEN count_if(y >= 2020) / count(*) >= 0.5 THEN 'reciente' WHEN max(y) - min(y) >= 40 THEN 'larga' ELSE 'media' END AS depth FROM v GROUP BY 1"
+    "WITH v AS (SELECT cluster, \"año\" AS y FROM sample_50k_embeddings JOIN base7_kaggle_clean USING (thesis_id) WHERE \"año\" > 0) SELECT cluster, min(y) AS lo, max(y) AS hi, median(y) AS med, round(count(*) FILTER (y >= 2020) / count(*), 4) AS since2020, round(count(*) FILTER (y >= 2000) / count(*), 4) AS since2000, CASE WHEN count(*) FILTER (y >= 2020) / count(*) >= 0.5 THEN 'reciente' WHEN max(y) - min(y) >= 40 THEN 'larga' ELSE 'media' END AS depth FROM v GROUP BY 1"
 )
 def temporal_pattern(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "sample_50k_embeddings").select("thesis_id", "cluster").join(base(spark, d).select("thesis_id", F.col("año").alias("y")).where("y > 0"), "thesis_id")

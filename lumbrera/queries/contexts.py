@@ -13,7 +13,7 @@ from lumbrera.queries.vectors import _T, near
 
 
 @entry(
-    f"WITH {_T}, c AS (SELECT cluster, sum(sim * sim) AS w FROM near WHERE cluster >= 0 GROUP BY 1), z AS (SELECT cluster, round(w / sum(w) OVER (), 3) AS pull FROM c) SELECT count_if(pull >= 0.06) AS pulls, CASE WHEN count_if(pull >= 0.06) <= 2 THEN 'definida' WHEN count_if(pull >= 0.06) <= 5 THEN 'frontera' ELSE 'dispersa' END AS zone FROM z"
+    f"WITH {_T}, c AS (SELECT cluster, sum(sim * sim) AS w FROM near WHERE cluster >= 0 GROUP BY 1), z AS (SELECT cluster, round(w / sum(w) OVER (), 3) AS pull FROM c) SELECT count(*) FILTER (pull >= 0.06) AS pulls, CASE WHEN count(*) FILTER (pull >= 0.06) <= 2 THEN 'definida' WHEN count(*) FILTER (pull >= 0.06) <= 5 THEN 'frontera' ELSE 'dispersa' END AS zone FROM z"
 )
 def zone_hint(spark: SparkSession, d: str) -> DataFrame:
     """How many groups pull at a document, and what that says of its place."""

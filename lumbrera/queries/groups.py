@@ -59,7 +59,7 @@ def heterogeneous_parts(spark: SparkSession, d: str) -> DataFrame:
     return C.heterogeneous(c, C.hierarchy(c, "label", 1.4, 0.9), "label")
 
 
-@entry("WITH p AS (SELECT DISTINCT macroid AS macro_id, clusterid AS meso_id FROM cluster_nodes_final_50k WHERE clusterid IS NOT NULL AND macroid IS NOT NULL) SELECT meso_id, CASE WHEN meso_id = 1 THEN (SELECT max(macro_id) + 1 FROM p) WHEN meso_id = 2 THEN 7 ELSE macro_id END AS macro_id FROM p")
+@entry("WITH p AS (SELECT DISTINCT macroid AS macro_id, clusterid AS meso_id FROM cluster_nodes_final_50k WHERE clusterid IS NOT NULL AND macroid IS NOT NULL) SELECT meso_id, CAST(CASE WHEN meso_id = 1 THEN (SELECT max(macro_id) + 1 FROM p) WHEN meso_id = 2 THEN 7 ELSE macro_id END AS BIGINT) AS macro_id FROM p")
 def edited_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "cluster_nodes_final_50k").where("clusterid IS NOT NULL AND macroid IS NOT NULL").select(F.col("macroid").cast("long").alias("macro_id"), F.col("clusterid").alias("meso_id")).distinct()
     edits = spark.createDataFrame([(1, None), (2, 7)], "meso_id int, target long")

@@ -81,7 +81,7 @@ def retry_states(spark: SparkSession, d: str) -> DataFrame:
     return log.select("log_seq", R.retry_plan(kind, F.col("log_seq") % 3, F.col("downloaded_at")).alias("p")).select("log_seq", "p.state")
 
 
-@entry("SELECT user_id, string_agg(event_type, ',' ORDER BY ts, event_id) AS kinds, count_if(event_type = 'error') AS failed FROM events GROUP BY 1")
+@entry("SELECT user_id, string_agg(event_type, ',' ORDER BY ts, event_id) AS kinds, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1")
 def event_sequences(spark: SparkSession, d: str) -> DataFrame:
     parts = table(spark, d, "events").select("user_id", F.struct("ts", "event_id").alias("seq"), F.col("event_type").alias("kind"), F.col("props").alias("payload"))
     return R.analysis_events(parts, "user_id").select("user_id", F.array_join(F.transform("events", lambda e: e["kind"]), ",").alias("kinds"), "failed")

@@ -189,7 +189,7 @@ _T = "t AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[])
 
 
 @entry(
-    f"WITH {_T}, w AS (SELECT cluster, sum(sim * sim) AS w FROM near WHERE cluster IS NOT NULL AND cluster >= 0 GROUP BY 1), v AS (SELECT cluster, round(w / sum(w) OVER (), 3) AS share, row_number() OVER (ORDER BY round(w, 6) DESC, cluster) AS r FROM w), m AS (SELECT avg(sim) FILTER (rank <= 10) AS mean10, max(sim) AS top, count_if(cluster >= 0) AS grouped, count(*) AS n FROM near) "
+    f"WITH {_T}, w AS (SELECT cluster, sum(sim * sim) AS w FROM near WHERE cluster IS NOT NULL AND cluster >= 0 GROUP BY 1), v AS (SELECT cluster, round(w / sum(w) OVER (), 3) AS share, row_number() OVER (ORDER BY round(w, 6) DESC, cluster) AS r FROM w), m AS (SELECT avg(sim) FILTER (rank <= 10) AS mean10, max(sim) AS top, count(*) FILTER (cluster >= 0) AS grouped, count(*) AS n FROM near) "
     "SELECT n AS neighbours, grouped, round(top, 4) AS sim_max, round(mean10, 4) AS sim_mean10, (SELECT cluster FROM v WHERE r = 1) AS cluster, (SELECT share FROM v WHERE r = 1) AS share, CASE WHEN mean10 < 0.80 THEN 'ninguna' WHEN (SELECT share FROM v WHERE r = 1) >= 0.6 AND mean10 >= 0.86 THEN 'clara' WHEN (SELECT share FROM v WHERE r = 1) >= 0.35 THEN 'entre' ELSE 'dispersa' END AS lectura FROM m"
 )
 def context_analysis(spark: SparkSession, d: str) -> DataFrame:
@@ -216,7 +216,7 @@ def saturation_by_decade(spark: SparkSession, d: str) -> DataFrame:
     return j.select("decade", "n", F.round(F.try_divide(F.col("n") * 1000.0, "total"), 4).alias("per_mille"))
 
 
-@entry(f"WITH {_T}, kw AS (SELECT unnest(['agua', 'riego', 'estudio', 'propuesta', 'lectura']) AS keyword) SELECT keyword, count_if(regexp_matches(translate(lower(coalesce(titulo_limpio, '')), 'áéíóúüñ', 'aeiouun'), '\\b' || keyword || '\\b')) AS n FROM near, kw GROUP BY 1")
+@entry(f"WITH {_T}, kw AS (SELECT unnest(['agua', 'riego', 'estudio', 'propuesta', 'lectura']) AS keyword) SELECT keyword, count(*) FILTER (regexp_matches(translate(lower(coalesce(titulo_limpio, '')), 'áéíóúüñ', 'aeiouun'), '\\b' || keyword || '\\b')) AS n FROM near, kw GROUP BY 1")
 def keyword_coverage(spark: SparkSession, d: str) -> DataFrame:
     from lumbrera.operators.textindex import keyword_hits
 
