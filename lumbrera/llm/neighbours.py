@@ -1,9 +1,10 @@
-"""The k most similar vectors of every vector, by shifted space-filling curves.
+"""The k most similar vectors of every vector, exactly.
 
-Each of several curves projects all vectors onto a few random directions, shifts and quantises them, and orders them
-by their Hilbert key. Spark range-partitions each order; along it, every vector is compared with all others in a
-window of neighbouring keys, in blocked matrix products. The windows of all curves are merged and ranked by exact
-cosine. Exact copies are folded beforehand and expanded afterwards, so they are never missed.
+Every vector is compared with every other in blocked matrix products, in single precision with a proven margin;
+what may be among the k best is computed again in double precision. Vectors are ordered by the Hilbert key of a few
+random directions: a block first meets the vectors around its own place, so that hardly any of the others come near
+its k-th best. The vectors are sent to the tasks in parts of bounded size, a pass each. Exact copies are folded
+beforehand and expanded afterwards.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbrera.llm.vectors import directions, first_ids, fold, matrix, unit, usable
-from lumbrera.plans.lineage import cut
+from lumbrera.llm.vectors import directions, first_ids, fold, matrix, sent, slack, unit, usable
+from lumbrera.plans.lineage import cut, width
 
-#: Curves, directions and bits of each, rows compared at once, rows to either side of them, rows of a range.
-CURVES, DIMS, BITS, BLOCK, REACH, RANGE = 12, 6, 10, 1024, 3072, 16384
+#: Directions and bits of the order, rows compared at once, rows to either side of them met in one product.
+DIMS, BITS, BLOCK, REACH = 6, 10, 1024, 3072
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -50,90 +51,96 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_key(u: np.ndarray, curve: int, dims: int = DIMS, bits: int = BITS) -> np.ndarray:
-    """Hilbert keys of unit vectors on one of the curves."""
-    p = u @ directions(u.shape[1], dims, 1000 + curve)
-    shift = np.random.default_rng(curve).uniform(0, 1, p.shape[1])
-    cells = np.clip((p * 0.5 + 0.5 + shift * 0.25) / 1.25 * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
+def curve_key(u: np.ndarray, dims: int = DIMS, bits: int = BITS) -> np.ndarray:
+    """Hilbert keys of unit vectors."""
+    p = u @ directions(u.shape[1], dims, 1000)
+    cells = np.clip((p * 0.5 + 0.5) * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
     return hilbert(cells, bits)
 
 
-def _best(ids: np.ndarray, rows: np.ndarray, lo: int, hi: int, a: int, b: int, k: int, floor: float):
-    """For rows a..b of the ordered window lo..hi: the ids and cosines of the k most similar."""
-    x = rows[lo:hi].astype(np.float32)
-    sims = rows[a:b].astype(np.float32) @ x.T
-    sims[np.arange(b - a), np.arange(a - lo, b - lo)] = -2
-    k_ = min(k, sims.shape[1] - 1)
-    if k_ < 1:
-        return [(ids[i], [], []) for i in range(a, b)]
-    top = np.argpartition(-sims, k_ - 1, axis=1)[:, :k_]
-    exact = np.einsum("ikd,id->ik", rows[lo:hi][top], rows[a:b]).round(9)
-    out = []
-    for i in range(b - a):
-        good = exact[i] >= floor
-        out.append((ids[a + i], ids[lo + top[i][good]], exact[i][good]))
-    return out
-
-
-def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURVES, block: int = BLOCK, reach: int = REACH) -> DataFrame:
-    """(id, nb, sim): for distinct vectors, the k best partners over all curves with cosine >= floor."""
-    n = distinct.count()
+def _best(own: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rows: np.ndarray, sections: list, k: int, floor: float):
+    """(row, id, cosine) of the k most similar for unit vectors ``q`` among ``x``, whose unit vectors in single
+    precision are ``rows``, by row, cosine and id. Sections are met in their order."""
+    n, gap = len(own), slack(q.shape[1])
+    q32 = q.astype(np.float32)
+    at, to, sim = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    least = np.full(n, floor - 1e-9)
+    for lo, hi in sections:
+        s = q32 @ rows[lo:hi].T
+        hit = s >= (least - gap).astype(np.float32)[:, None]
+        if hi - lo > k + 1 and np.count_nonzero(hit) > 4 * k * n:  # the k + 1 best of the section, the row itself being one
+            some = np.partition(s, hi - lo - k - 1, axis=1)[:, hi - lo - k - 1].astype(np.float64)
+            hit = s >= (np.maximum(least, some - gap) - gap).astype(np.float32)[:, None]
+        r, c = np.nonzero(hit)
+        c += lo
+        other = ids[c] != own[r]
+        r, c = r[other], c[other]
+        if not len(r):
+            continue
+        e = np.concatenate([np.einsum("id,id->i", unit(x[c[i : i + 65536]]), q[r[i : i + 65536]]) for i in range(0, len(r), 65536)]).round(9)
+        good = e >= floor
+        at, to, sim = np.concatenate([at, r[good]]), np.concatenate([to, ids[c[good]]]), np.concatenate([sim, e[good]])
+        order = np.lexsort((to, -sim, at))
+        at, to, sim = at[order], to[order], sim[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        last = place == k - 1
+        least[at[last]] = np.maximum(least[at[last]], sim[last] - 1e-9)
+        at, to, sim = at[place < k], to[place < k], sim[place < k]
+    return at, to, sim
+
+
+def rep_neighbours(distinct: DataFrame, k: int, floor: float, block: int = BLOCK, reach: int = REACH) -> DataFrame:
+    """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                u = unit(matrix(pdf["vec"]))
-                for c in range(curves):
-                    yield pd.DataFrame({"curve": np.int32(c), "key": curve_key(u, c), "id": pdf["id"], "vec": pdf["vec"]})
-
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # A sliding buffer over one order: rows before ``at`` are done, ``reach`` of them are kept as partners.
-        ids, rows, curve, at = np.zeros(0, np.int64), np.zeros((0, 1)), None, 0
-        out: list = []
-
-        def flush(last: bool):
-            nonlocal ids, rows, at
-            while at < len(ids) and (last or at + block + reach <= len(ids)):
-                b = min(at + block, len(ids))
-                out.extend(_best(ids, rows, max(0, at - reach), min(len(ids), b + reach), at, b, k, floor))
-                at = b
-            if at > reach and not last:
-                ids, rows, at = ids[at - reach :], rows[at - reach :], reach
-
-        def frame() -> list[pd.DataFrame]:
-            got = [r for r in out if len(r[1])]
-            out.clear()
-            return [pd.DataFrame({"id": [r[0] for r in got], "nbs": [r[1] for r in got], "sims": [r[2] for r in got]})] if got else []
-
-        for pdf in batches:
-            for c, part in pdf.groupby("curve", sort=False):
-                if c != curve:
-                    flush(True)
-                    ids, rows, curve, at = np.zeros(0, np.int64), np.zeros((0, 1)), c, 0
-                u = unit(matrix(part["vec"]))
-                ids, rows = np.concatenate([ids, part["id"].to_numpy()]), u if not len(ids) else np.concatenate([rows, u])
-                flush(False)
-            yield from frame()
-        flush(True)
-        yield from frame()
-
-    parts = max(curves, -(-n * curves // RANGE))
-    ordered = distinct.select("id", "vec").mapInPandas(keyed, "curve int, key long, id long, vec binary").repartitionByRange(parts, "curve", "key", "id").sortWithinPartitions("curve", "key", "id")
-    lists = ordered.mapInPandas(windows, "id long, nbs array<long>, sims array<double>")
-    merged = lists.groupBy("id").agg(F.flatten(F.collect_list(F.transform(F.arrays_zip("nbs", "sims"), lambda p: F.struct((-p["sims"]).alias("s"), p["nbs"].alias("nb"))))).alias("a"))
-    best = merged.select("id", F.explode(F.slice(F.array_sort(F.array_distinct("a")), 1, k)).alias("p"))
-    return best.select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
-
-
-def most_similar(df: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 5, floor: float = -1.0, curves: int = CURVES, block: int = BLOCK, reach: int = REACH) -> DataFrame:
+                yield pd.DataFrame({"key": curve_key(unit(matrix(pdf["vec"]))), "id": pdf["id"], "vec": pdf["vec"]})
+
+    parts = width(distinct.sparkSession, 4)
+    ordered = cut(distinct.select("id", "vec").mapInPandas(keyed, "key long, id long, vec binary").repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id"), "ordered")
+    out, passes = None, 0
+    for shared in sent(ordered):
+
+        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            ids, x = shared.value
+            rows = np.concatenate([unit(x[i : i + 8192]).astype(np.float32) for i in range(0, len(x), 8192)])
+            keys = np.concatenate([curve_key(rows[i : i + 8192]) for i in range(0, len(x), 8192)])
+            order = np.argsort(keys, kind="stable")
+            ids, x, rows, keys = ids[order], x[order], rows[order], keys[order]
+            step = block + 2 * reach
+            starts = np.arange(0, len(ids), step)
+            for pdf in batches:
+                for lo in range(0, len(pdf), block):
+                    some = pdf.iloc[lo : lo + block]
+                    place = np.searchsorted(keys, some["key"].iloc[len(some) // 2])
+                    sections = [(int(i), int(min(i + step, len(ids)))) for i in starts[np.argsort(np.abs(starts + step / 2 - place), kind="stable")]]
+                    own = some["id"].to_numpy()
+                    at, to, sim = _best(own, unit(matrix(some["vec"])), ids, x, rows, sections, k, floor)
+                    if len(at):
+                        yield pd.DataFrame({"id": own[at], "nb": to, "sim": sim})
+
+        found = cut(ordered.mapInPandas(search, "id long, nb long, sim double"), "nearest")
+        shared.unpersist()
+        out, passes = found if out is None else out.unionByName(found), passes + 1
+    if out is None:
+        return distinct.sparkSession.createDataFrame([], "id long, nb long, sim double")
+    if passes == 1:
+        return out
+    merged = out.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "nb"))), 1, k).alias("a"))
+    return merged.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
+
+
+def most_similar(df: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 5, floor: float = -1.0, block: int = BLOCK, reach: int = REACH) -> DataFrame:
     """(id, nb, sim, rank): the k vectors of the table most similar to each, cosine rounded to 9 decimals.
 
     Ties go to the smaller id, the vector itself is left out, copies of it count. ``floor`` keeps partners of at
     least that cosine. Vectors without a direction (null, empty, all-zero, not finite) neither ask nor answer. An
-    empty table gives no rows. Other columns are dropped.
+    empty table gives no rows. Other columns are dropped. ``block`` and ``reach`` set how many rows are compared at once;
+    the result doesn't depend on them.
     """
     distinct, members = fold(usable(df, key, column))
-    near = cut(rep_neighbours(distinct, k + 1, floor, curves, block, reach), "neighbours")
+    near = cut(rep_neighbours(distinct, k + 1, floor, block, reach), "neighbours")
     some = cut(first_ids(members, k + 1), "first-copies")
     own = distinct.where("copies > 1").select("id", F.col("id").alias("nb"), F.lit(1.0).alias("sim"))
     options = near.unionByName(own).join(some.select(F.col("rep").alias("nb"), F.col("id").alias("m")), "nb")

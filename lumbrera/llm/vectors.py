@@ -12,6 +12,9 @@ from pyspark.sql.window import Window
 
 from lumbrera.plans.lineage import cut, spread
 
+#: Bytes of vectors that are broadcast at once.
+SENT = 64 << 20
+
 
 def usable(df: DataFrame, key: str, column: str) -> DataFrame:
     """(id, vec): vectors as float32 bytes. Left out: null, empty and all-zero ones, those with null or non-finite
@@ -62,3 +65,19 @@ def directions(dim: int, count: int, seed: int) -> np.ndarray:
     """Orthonormal random directions (as many as the dimension allows), the same everywhere for a seed."""
     g = np.random.default_rng(seed).standard_normal((dim, max(1, min(count, dim))))
     return np.linalg.qr(g)[0]
+
+
+def slack(dim: int) -> float:
+    """Bound on the error of an inner product of unit vectors of single precision, whatever the order of its sum."""
+    return (dim + 4) * 6e-8
+
+
+def sent(vectors: DataFrame, size: int | None = None) -> Iterator:
+    """Broadcasts of (ids, rows) that together hold all vectors (id, vec), each of at most about ``size`` bytes."""
+    spark = vectors.sparkSession
+    total = vectors.agg(F.sum(F.length("vec")).alias("b")).collect()[0]["b"] or 0
+    rounds = -(-total // (size or SENT))
+    for r in range(rounds):
+        part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("id", "vec").toPandas()
+        if len(part):
+            yield spark.sparkContext.broadcast((part["id"].to_numpy(np.int64), matrix(part["vec"])))

@@ -52,6 +52,19 @@ def test_recall_with_narrow_windows(spark):
     assert len(got & want) / len(want) >= 0.9
 
 
+@pytest.mark.parametrize("size", [64 << 20, 40_000])
+def test_neighbours_exact_in_a_group_beyond_the_windows(spark, monkeypatch, size):
+    from lumbrera.llm import vectors
+
+    monkeypatch.setattr(vectors, "SENT", size, raising=False)  # the small one takes several passes
+    rng = np.random.default_rng(7)
+    c = rng.normal(size=24)
+    x = (c / np.linalg.norm(c) * 6 + rng.normal(size=(1500, 24)) * 0.5).astype(np.float32)
+    ids = rng.permutation(1500)
+    got = {(r["vec_a"], r["vec_b"]) for r in N.pairs(N.most_similar(table(spark, list(zip(ids.tolist(), x))), k=5, floor=0.8, block=16, reach=16)).collect()}
+    assert got == truth(x, ids, 5, 0.8)[1]
+
+
 def test_all_copies(spark):
     df = table(spark, [(i, [1.0, 2.0, 2.0]) for i in range(30)])
     rows = N.most_similar(df, k=3).orderBy("id", "rank").collect()
