@@ -1,9 +1,9 @@
-"""Groups of mutually similar vectors: grid density clustering, its result being connected components of links.
+"""Groups of mutually similar vectors: connected components of the links of cosine >= threshold, exactly.
 
 Several shifted grids quantise random projections of the vectors. SQL counts the cells; a cell with one vector links
-nothing. In each dense cell, exact cosines link the vectors; a vector lies in one cell of each grid, so cells that are
-adjacent, overlapping in another grid, are joined by the vectors they share. Minimum labels are then propagated over
-the links, with shortcuts, until nothing changes. Hot cells are split by salt; what represents their parts meets again.
+nothing. In each dense cell, or part of a hot one, exact cosines link the vectors; minimum labels are propagated over
+the links. What this leaves apart is completed: every vector is compared with all those that have another label, in
+blocked products, and labels with a link between them are merged.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lumbrera.llm.vectors import directions, fold, matrix, unit, usable
+from lumbrera.llm.vectors import directions, fold, matrix, sent, slack, unit, usable
 from lumbrera.operators.graph import components
-from lumbrera.plans.lineage import cut
+from lumbrera.plans.lineage import cut, spread
 
 #: Grids, cell width, vectors that a cell should hold by chance, rows of a cell compared at once.
 GRIDS, WIDTH, CHANCE, CHUNK = 10, 0.2, 300, 3072
@@ -92,6 +92,69 @@ def cell_links(cells: DataFrame, threshold: float) -> DataFrame:
     return cells.repartition(n, "cell").sortWithinPartitions("cell", "id").mapInPandas(link, "a long, b long")
 
 
+def label_links(labelled: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between labels of vectors (id, vec, label) that join all labels with a cosine >= threshold between
+    their vectors. Rows and columns of one label are passed over; a task emits no link between labels that it has
+    joined before, so no more links than labels."""
+    rows = spread(labelled.select("id", "vec", "label"), 4)
+    out = labelled.sparkSession.createDataFrame([], "a long, b long")
+    for shared in sent(labelled, "label"):
+
+        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            own = [pdf for pdf in batches if len(pdf)]
+            if not own:
+                return
+            mine = pd.concat(own).sort_values("label", kind="stable")
+            _, x, label = shared.value
+            order = np.argsort(label, kind="stable")
+            x, label = x[order], label[order]
+            x32 = np.concatenate([unit(x[i : i + 8192]).astype(np.float32) for i in range(0, len(x), 8192)])
+            q, asked = unit(matrix(mine["vec"])), mine["label"].to_numpy()
+            names, at = np.unique(np.concatenate([label, asked]), return_inverse=True)
+            c_at, q_at, top = at[: len(label)], at[len(label) :], np.arange(len(names))  # labels in order, what they have become
+            least = np.float32(threshold - 1e-9 - slack(x.shape[1]) - 1e-7)
+
+            def root(i: int) -> int:
+                while top[i] != i:
+                    top[i] = top[top[i]]
+                    i = top[i]
+                return i
+
+            a, b = [], []
+            for lo in range(0, len(q), 512):
+                qa, q32 = q_at[lo : lo + 512], q[lo : lo + 512].astype(np.float32)
+                for s in range(int(np.searchsorted(c_at, qa[0], "right")) // 4096 * 4096, len(x), 4096):
+                    ca = c_at[s : s + 4096]
+                    qt, ct = top[qa], top[ca]
+                    if ct[0] == qt[0] and (ct == ct[0]).all() and (qt == qt[0]).all():
+                        continue
+                    hit = q32 @ x32[s : s + 4096].T >= least
+                    if not hit.any():
+                        continue
+                    r, c = np.nonzero(hit & (qa[:, None] < ca) & (qt[:, None] != ct))
+                    while len(r):  # those that a link found meanwhile has joined are left out
+                        some, r, c_some, c = r[:65536], r[65536:], c[:65536], c[65536:]
+                        good = np.einsum("id,id->i", q[lo + some], unit(x[s + c_some])).round(9) >= threshold
+                        joined = False
+                        for i, j in np.unique(np.stack([qa[some[good]], ca[c_some[good]]], axis=1), axis=0):
+                            u, v = root(i), root(j)
+                            if u != v:
+                                top[max(u, v)] = min(u, v)
+                                a.append(names[i])
+                                b.append(names[j])
+                                joined = True
+                        if joined:
+                            while (top != top[top]).any():
+                                top = top[top]
+                            open_ = top[qa[r]] != top[ca[c]]
+                            r, c = r[open_], c[open_]
+            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+        out = out.unionByName(cut(rows.mapInPandas(search, "a long, b long"), "label-links"))
+        shared.unpersist()
+    return out
+
+
 def group_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding", threshold: float = 0.8, grids: int = GRIDS, width: float = WIDTH) -> DataFrame:
     """(id, grupo, copies, rep): the group of every usable vector, named after its smallest id.
 
@@ -117,14 +180,12 @@ def group_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding",
     counts = cells.groupBy("cell").agg(F.count("*").alias("size"))
     dense = counts.where("size > 1")
     placed = cells.join(dense, "cell").withColumn("salt", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / CHUNK)).cast("long"))
-    split = placed.select(F.xxhash64("cell", "salt").alias("cell"), "id", F.col("cell").alias("whole"), "size").join(distinct.select("id", "vec"), "id")
-    first = cut(cell_links(split, threshold), "cell-links")
-    # Parts of a split cell meet again through the smallest vector of each of their components.
-    rooted = placed.where(F.col("size") > CHUNK).select("cell", "id")
-    heads = rooted.join(first.select(F.col("b").alias("id")).distinct(), "id", "left_anti").join(first.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-    again = cell_links(heads.join(distinct.select("id", "vec"), "id"), threshold)
-    labels = components(first.unionByName(again))
-    of_rep = distinct.select("id", "copies").join(labels, "id", "left").select(F.col("id").alias("rep"), F.coalesce("label", "id").alias("grupo"), "copies")
+    split = placed.select(F.xxhash64("cell", "salt").alias("cell"), "id").join(distinct.select("id", "vec"), "id")
+    found = components(cell_links(split, threshold))
+    labelled = cut(distinct.join(found, "id", "left").select("id", "vec", F.coalesce("label", "id").alias("label")), "labelled")
+    merged = components(label_links(labelled, threshold)).select(F.col("id").alias("label"), F.col("label").alias("to"))
+    labels = labelled.select("id", "label").join(merged, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+    of_rep = distinct.select("id", "copies").join(labels, "id").select(F.col("id").alias("rep"), F.col("label").alias("grupo"), "copies")
     return members.join(of_rep, "rep").select("id", "grupo", "copies", "rep")
 
 

@@ -72,12 +72,13 @@ def slack(dim: int) -> float:
     return (dim + 4) * 6e-8
 
 
-def sent(vectors: DataFrame, size: int | None = None) -> Iterator:
-    """Broadcasts of (ids, rows) that together hold all vectors (id, vec), each of at most about ``size`` bytes."""
+def sent(vectors: DataFrame, extra: str | None = None) -> Iterator:
+    """Broadcasts of (ids, rows), or (ids, rows, ``extra``), that together hold all vectors (id, vec), of at most about
+    SENT bytes each."""
     spark = vectors.sparkSession
     total = vectors.agg(F.sum(F.length("vec")).alias("b")).collect()[0]["b"] or 0
-    rounds = -(-total // (size or SENT))
+    rounds = -(-total // SENT)
     for r in range(rounds):
-        part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("id", "vec").toPandas()
+        part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("id", "vec", *([extra] if extra else [])).toPandas()
         if len(part):
-            yield spark.sparkContext.broadcast((part["id"].to_numpy(np.int64), matrix(part["vec"])))
+            yield spark.sparkContext.broadcast((part["id"].to_numpy(np.int64), matrix(part["vec"]), *([part[extra].to_numpy(np.int64)] if extra else [])))

@@ -116,6 +116,29 @@ def test_groups_against_brute_force(spark, monkeypatch, chunk):
     assert sum(got[i] == want[i] for i in want) / len(want) > (0.99 if chunk == 3072 else 0.9)
 
 
+def components_of(x, threshold):
+    s, _ = truth(x, np.arange(len(x)), 1, threshold)
+    label = np.arange(len(x))
+    while True:
+        new = np.minimum(label, np.where(s >= threshold, label, len(x)).min(axis=1))
+        if (new == label).all():
+            return label.tolist()
+        label = new
+
+
+def test_parts_of_a_split_cell_joined_by_a_bridge(spark, monkeypatch):
+    import importlib
+
+    monkeypatch.setattr(importlib.import_module("lumbrera.llm.groups"), "CHUNK", 17)
+    rng = np.random.default_rng(4)
+    a, b = np.linalg.qr(rng.normal(size=(24, 2)))[0].T
+    lobes = [a + rng.normal(size=(90, 24)) * 0.02, 0.5 * a + 0.75**0.5 * b + rng.normal(size=(90, 24)) * 0.02]
+    x = np.concatenate([*lobes, [0.75**0.5 * a + 0.5 * b]]).astype(np.float32)
+    want = components_of(x, 0.8)
+    got = {r["id"]: r["grupo"] for r in G.group_vectors(table(spark, list(enumerate(x))), grids=1, width=50).collect()}
+    assert set(want) == {0} and got == dict(enumerate(want))
+
+
 def test_description(spark):
     x = planted(2, groups=4)
     df = table(spark, list(enumerate(x)))
