@@ -139,6 +139,26 @@ def test_parts_of_a_split_cell_joined_by_a_bridge(spark, monkeypatch):
     assert set(want) == {0} and got == dict(enumerate(want))
 
 
+def test_sparse_chains_with_the_directions_of_a_large_table(spark, monkeypatch):
+    import importlib
+
+    monkeypatch.setattr(importlib.import_module("lumbrera.llm.groups"), "grid_dims", lambda n: 14)  # as for 5 million
+    rng = np.random.default_rng(11)
+    x = []
+    for _ in range(6):
+        v = rng.normal(size=48)
+        for _ in range(25):
+            v /= np.linalg.norm(v)
+            x.append(v)
+            w = rng.normal(size=48)
+            w -= (w @ v) * v
+            v = 0.81 * v + (1 - 0.81**2) ** 0.5 * w / np.linalg.norm(w)
+    x = np.array(x, dtype=np.float32)
+    want = components_of(x, 0.8)
+    assert len(set(want)) == 6
+    assert {r["id"]: r["grupo"] for r in G.group_vectors(table(spark, list(enumerate(x)))).collect()} == dict(enumerate(want))
+
+
 def test_description(spark):
     x = planted(2, groups=4)
     df = table(spark, list(enumerate(x)))
