@@ -64,12 +64,22 @@ def flag_summary(df: DataFrame, names: Column) -> DataFrame:
 
 
 def crosstab_share(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts of ``column`` by ``row`` as shares of each row's total."""
+    """Counts of the given values of ``column`` by ``row`` as shares of their sum. For all values, see crosstab_long."""
     wide = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
     total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
     return wide.select(row, *[F.round(F.try_divide(F.col(f"`{v}`"), total), 4).alias(str(v)) for v in values])
 
 
+def crosstab_long(df: DataFrame, row: str, column: str) -> DataFrame:
+    """(row, column, n, share): every value of ``column``, null as well, in every ``row``, as shares of all rows of it;
+    cells without rows have 0. The values are a table, so any number of them is possible."""
+    counts = df.groupBy(F.col(row).alias("r"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    totals = counts.groupBy("r").agg(F.sum("n").alias("total"))
+    cells = totals.select("r", F.lit(0).cast("long").alias("n")).crossJoin(counts.select("v").distinct())  # the result has these rows
+    full = counts.unionByName(cells).groupBy("r", "v").agg(F.sum("n").alias("n")).join(totals.withColumnRenamed("r", "of"), F.col("r").eqNullSafe(F.col("of")))
+    return full.select(F.col("r").alias(row), F.col("v").alias(column), "n", F.round(F.col("n") / F.col("total"), 4).alias("share"))
+
+
 def enrichment(df: DataFrame, inside: Column, value: str) -> DataFrame:
     """(value, inside_share, global_share, ratio): how much commoner a value is in a subset than altogether."""
     counts = df.groupBy(value).agg(F.count("*").alias("n"), F.count_if(inside).alias("m"))

@@ -101,6 +101,15 @@ def crosstab_shares(spark: SparkSession, d: str) -> DataFrame:
     return A.crosstab_share(base(spark, d), "origen", "nivel_estandar", ["licenciatura", "maestria", "doctorado"])
 
 
+@entry(
+    "WITH c AS (SELECT origen, nivel_estandar, count(*) AS n FROM base7_kaggle_clean GROUP BY 1, 2), t AS (SELECT origen, sum(n) AS total FROM c GROUP BY 1), v AS (SELECT DISTINCT nivel_estandar FROM c) SELECT t.origen, v.nivel_estandar, coalesce(n, 0) AS n, round(coalesce(n, 0) / total, 4) AS share "
+    "FROM t CROSS JOIN v LEFT JOIN c ON c.origen IS NOT DISTINCT FROM t.origen AND c.nivel_estandar IS NOT DISTINCT FROM v.nivel_estandar"
+)
+def crosstab_shares_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of all levels, where crosstab_shares has the three that its SQL names."""
+    return A.crosstab_long(base(spark, d), "origen", "nivel_estandar")
+
+
 @entry("SELECT target_year, count(*) FILTER (download_status = 'success_metadata') AS success_metadata, count(*) FILTER (download_status = 'failed') AS failed FROM marc_status_log GROUP BY 1")
 def pivot_year_status(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "marc_status_log").groupBy("target_year").pivot("download_status", ["success_metadata", "failed"]).agg(F.count(F.lit(1))).na.fill(0, ["success_metadata", "failed"])
@@ -119,6 +128,18 @@ def column_decisions(spark: SparkSession, d: str) -> DataFrame:
     return A.coverage(base(spark, d), _COV).select("column", A.column_decision(F.col("pct"), F.col("distinct_values"), F.col("total")).alias("decision"))
 
 
+@entry()
+def cov_profile_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of every column, where cov_profile has the twelve that its SQL names."""
+    return A.coverage(base(spark, d))
+
+
+@entry()
+def column_decisions_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The decision on every column, where column_decisions has the twelve that its SQL names."""
+    return A.coverage(base(spark, d)).select("column", A.column_decision(F.col("pct"), F.col("distinct_values"), F.col("total")).alias("decision"))
+
+
 @entry(f"SELECT programa AS \"before\", {_UNACC.format(c='trim(programa)')} AS \"after\", count(*) AS n FROM base7_kaggle_clean WHERE programa IS DISTINCT FROM {_UNACC.format(c='trim(programa)')} GROUP BY 1, 2")
 def change_summary(spark: SparkSession, d: str) -> DataFrame:
     return A.changes(base(spark, d), F.col("programa"), X.unaccent(F.lower(F.trim("programa"))))

@@ -228,3 +228,14 @@ def test_parsing():
     assert J.whitelist({"a": "xyz", "b": 3, "c": 1}, {"a": (str, 2), "b": (str, 2)}) == {"a": "xy"}
     text = "Bibliografía\n- Robles, A. (1999). El agua.\n[2] Pérez Luna, B. El riego, 2001\nRobles, A. (1999). El agua.\nnada"
     assert J.references(text) == ["Robles, A. (1999). El agua.", "Pérez Luna, B. El riego, 2001"] and J.references(None) == []
+
+
+def test_crosstab_and_coverage_leave_nothing_out(spark, data):
+    from lumbrera.operators import profile as A
+    from lumbrera.queries import aggregates, base
+
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", None), ("a", "x"), (None, "z")], "r string, v string")
+    got = {(r["r"], r["v"]): (r["n"], r["share"]) for r in A.crosstab_long(df, "r", "v").collect()}
+    assert len(got) == 8 and got["a", "x"] == (2, 0.5) and got["a", None] == (1, 0.25) and got[None, "z"] == (1, 1.0) and got[None, "x"] == (0, 0.0)
+    columns = set(base(spark, data).columns)
+    assert {r["column"] for r in aggregates.cov_profile_whole(spark, data).collect()} == columns == {r["column"] for r in aggregates.column_decisions_whole(spark, data).collect()}
