@@ -28,13 +28,13 @@ def tokens(c: Column, least: int = 2) -> Column:
     return F.filter(words, lambda w: (F.length(w) >= least) & ~w.isin(*STOPWORDS))
 
 
-def keyword_hits(df: DataFrame, text: Column, keywords: Sequence[str]) -> DataFrame:
-    """(keyword, n): rows in which a keyword stands as a whole word."""
+def keyword_hits(df: DataFrame, text: Column, keywords: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, keyword, n): rows in which a keyword stands as a whole word."""
     plain = X.unaccent(F.lower(F.coalesce(text, F.lit(""))))
     import re
 
-    sums = df.agg(*[F.count_if(plain.rlike(rf"\b{re.escape(k)}\b")).alias(k) for k in keywords])
-    return sums.unpivot([], list(keywords), "keyword", "n")
+    sums = df.groupBy(*keys).agg(*[F.count_if(plain.rlike(rf"\b{re.escape(k)}\b")).alias(k) for k in keywords])
+    return sums.unpivot(list(keys), list(keywords), "keyword", "n")
 
 
 def term_counts(docs: DataFrame, group: str, key: str, text: Column, bigrams: bool = True) -> DataFrame:

@@ -8,31 +8,50 @@ from pyspark.sql import functions as F
 from lumbrera.functions import parsing as J
 from lumbrera.operators import textindex as N
 from lumbrera.operators import vectors as V
+from lumbrera.operators.relational import top_per
 from lumbrera.queries import base, entry, queries_of, table
 from lumbrera.queries.vectors import _T, near
 
 
+def _zones(n: DataFrame) -> DataFrame:
+    pulls = V.vote(n.where("cluster >= 0"), ["src"], "cluster", 1000).groupBy("src").agg(F.count_if(F.col("share") >= 0.06).alias("pulls"))
+    all_ = n.select("src").distinct().join(pulls, "src", "left").na.fill(0, ["pulls"])
+    return all_.withColumn("zone", F.when(F.col("pulls") <= 2, "definida").when(F.col("pulls") <= 5, "frontera").otherwise("dispersa"))
+
+
 @entry(
     f"WITH {_T}, c AS (SELECT cluster, sum(sim * sim) AS w FROM near WHERE cluster >= 0 GROUP BY 1), z AS (SELECT cluster, round(w / sum(w) OVER (), 3) AS pull FROM c) SELECT count(*) FILTER (pull >= 0.06) AS pulls, CASE WHEN count(*) FILTER (pull >= 0.06) <= 2 THEN 'definida' WHEN count(*) FILTER (pull >= 0.06) <= 5 THEN 'frontera' ELSE 'dispersa' END AS zone FROM z"
 )
 def zone_hint(spark: SparkSession, d: str) -> DataFrame:
     """How many groups pull at a document, and what that says of its place."""
-    pulls = V.vote(near(spark, d).where("cluster >= 0").withColumn("one", F.lit(1)), ["one"], "cluster", 1000)
-    n = pulls.agg(F.count_if(F.col("share") >= 0.06).alias("pulls"))
-    return n.withColumn("zone", F.when(F.col("pulls") <= 2, "definida").when(F.col("pulls") <= 5, "frontera").otherwise("dispersa"))
+    return _zones(near(spark, d)).drop("src")
+
+
+@entry()
+def zone_hint_each(spark: SparkSession, d: str) -> DataFrame:
+    return _zones(near(spark, d, each=True))
+
+
+def _main(n: DataFrame) -> DataFrame:
+    c = n.where("cluster >= 0 AND rank <= 20").groupBy("src", F.col("cluster").alias("main_cluster")).agg(F.count("*").alias("n"))
+    return top_per(c, ["src"], 1, F.desc("n"), F.col("main_cluster")).drop("rank")
 
 
 @entry(f"WITH {_T}, m AS (SELECT cluster, count(*) AS n FROM near WHERE cluster >= 0 AND rank <= 20 GROUP BY 1 ORDER BY n DESC, cluster LIMIT 1) SELECT cluster AS main_cluster, n FROM m")
 def main_cluster(spark: SparkSession, d: str) -> DataFrame:
-    c = near(spark, d).where("cluster >= 0 AND rank <= 20").groupBy(F.col("cluster").alias("main_cluster")).agg(F.count("*").alias("n"))
-    return c.orderBy(F.desc("n"), "main_cluster").limit(1)
+    return _main(near(spark, d)).drop("src")
+
+
+@entry()
+def main_cluster_each(spark: SparkSession, d: str) -> DataFrame:
+    return _main(near(spark, d, each=True))
 
 
 @entry()
 def context_payload(spark: SparkSession, d: str) -> DataFrame:
-    """What is handed on about a context: its nearest theses, capped, as JSON."""
-    n = near(spark, d).where("rank <= 15").select("rank", F.struct(F.substring("titulo_limpio", 1, 200).alias("titulo"), "anio", "sim").alias("t"))
-    return n.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("rank", "t"))), lambda x: x["t"])).alias("payload"))
+    """What is handed on about the context of each query: its nearest theses, capped, as JSON."""
+    n = near(spark, d, each=True).where("rank <= 15").select("src", "rank", F.struct(F.substring("titulo_limpio", 1, 200).alias("titulo"), "anio", "sim").alias("t"))
+    return n.groupBy("src").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("rank", "t"))), lambda x: x["t"])).alias("payload"))
 
 
 @entry("SELECT thesis_id, trim(regexp_replace(trim(lower(grado)), '^(?:(?:título de|licenciatura en|licenciatura de|maestría en|doctorado en|título)\\s+)+', '')) AS programa FROM base7_kaggle_clean WHERE grado IS NOT NULL")

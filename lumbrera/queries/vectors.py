@@ -1,4 +1,5 @@
-"""Queries of vector search. Searches ask with every row whose id is divisible by 20, against all rows."""
+"""Queries of vector search. Searches ask with every row whose id is divisible by 20, against all rows; those whose SQL
+asks with the row of smallest id have a companion of their name and ``_each`` that asks with every such row."""
 
 from __future__ import annotations
 
@@ -26,12 +27,12 @@ def theses(spark: SparkSession, d: str) -> DataFrame:
     return v.join(base(spark, d).select("thesis_id", F.col("año").alias("anio"), "programa", "plantel_display", "area", "titulo_limpio", "asesores_display"), "thesis_id", "left")
 
 
-def near(spark: SparkSession, d: str, n: int = 100) -> DataFrame:
-    """The n theses nearest to the query, which is the vector of smallest id."""
+def near(spark: SparkSession, d: str, n: int = 100, each: bool = False) -> DataFrame:
+    """The n theses nearest to each query ``src``: the vector of smallest id, or every one whose id is divisible by 20."""
     t = theses(spark, d)
-    q = t.orderBy("id").limit(1).select("id", "v")
-    found = V.knn(q, t, n, decimals=4)
-    return cut(found.select(F.col("dst").alias("id"), "sim", "rank").join(t.drop("v"), "id"), "near")
+    q = t.where("id % 20 = 0") if each else t.orderBy("id").limit(1)
+    found = V.knn(q.select("id", "v"), t, n, decimals=4)
+    return cut(found.select("src", F.col("dst").alias("id"), "sim", "rank").join(t.drop("v"), "id"), "near")
 
 
 _E = "e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label FROM embeddings)"
@@ -50,6 +51,11 @@ def query_topk(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d).select("id", F.round(V.dot(F.col("v"), qv), 4).alias("sim")).orderBy(F.desc("sim"), "id").limit(20)
 
 
+@entry()
+def query_topk_each(spark: SparkSession, d: str) -> DataFrame:
+    return V.knn(asked(spark, d), rows(spark, d), 20, exclude_self=False, decimals=4).select("src", F.col("dst").alias("id"), "sim", "rank")
+
+
 @entry()
 def knn_inverted_lists(spark: SparkSession, d: str) -> DataFrame:
     r = rows(spark, d)
@@ -188,50 +194,104 @@ def recall_at_k(spark: SparkSession, d: str) -> DataFrame:
 _T = "t AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM sample_50k_embeddings WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0), q AS (SELECT * FROM t ORDER BY id LIMIT 1), s AS (SELECT t.id, t.thesis_id, t.cluster, round(list_inner_product(t.e, q.e) / t.n / q.n, 4) AS sim FROM t, q WHERE t.id <> q.id), k AS (SELECT *, row_number() OVER (ORDER BY sim DESC, id) AS rank FROM s), near AS (SELECT k.*, b.\"año\" AS anio, b.programa, b.plantel_display, b.area, b.titulo_limpio, b.asesores_display FROM k LEFT JOIN base7_kaggle_clean b USING (thesis_id) WHERE rank <= 100)"
 
 
+def _analysis(n: DataFrame) -> DataFrame:
+    m = n.groupBy("src").agg(F.count("*").alias("neighbours"), F.count_if(F.col("cluster") >= 0).alias("grouped"), F.round(F.max("sim"), 4).alias("sim_max"), F.avg(F.when(F.col("rank") <= 10, F.col("sim"))).alias("mean10"))
+    lead = V.vote(n.where("cluster >= 0"), ["src"], "cluster", 1).select("src", "cluster", "share")
+    return m.join(lead, "src", "left").select("src", "neighbours", "grouped", "sim_max", F.round("mean10", 4).alias("sim_mean10"), "cluster", "share", V.reading(F.col("mean10"), F.col("share")).alias("lectura"))
+
+
 @entry(
     f"WITH {_T}, w AS (SELECT cluster, sum(sim * sim) AS w FROM near WHERE cluster IS NOT NULL AND cluster >= 0 GROUP BY 1), v AS (SELECT cluster, round(w / sum(w) OVER (), 3) AS share, row_number() OVER (ORDER BY round(w, 6) DESC, cluster) AS r FROM w), m AS (SELECT avg(sim) FILTER (rank <= 10) AS mean10, max(sim) AS top, count(*) FILTER (cluster >= 0) AS grouped, count(*) AS n FROM near) "
     "SELECT n AS neighbours, grouped, round(top, 4) AS sim_max, round(mean10, 4) AS sim_mean10, (SELECT cluster FROM v WHERE r = 1) AS cluster, (SELECT share FROM v WHERE r = 1) AS share, CASE WHEN mean10 < 0.80 THEN 'ninguna' WHEN (SELECT share FROM v WHERE r = 1) >= 0.6 AND mean10 >= 0.86 THEN 'clara' WHEN (SELECT share FROM v WHERE r = 1) >= 0.35 THEN 'entre' ELSE 'dispersa' END AS lectura FROM m"
 )
 def context_analysis(spark: SparkSession, d: str) -> DataFrame:
     """Where a document falls in the corpus: neighbours, leading group and its share, how clear that reading is."""
-    n = near(spark, d)
-    m = n.agg(F.count("*").alias("neighbours"), F.count_if(F.col("cluster") >= 0).alias("grouped"), F.round(F.max("sim"), 4).alias("sim_max"), F.avg(F.when(F.col("rank") <= 10, F.col("sim"))).alias("mean10"))
-    lead = V.vote(n.where("cluster >= 0").withColumn("one", F.lit(1)), ["one"], "cluster", 1).select("cluster", "share")
-    return m.join(lead, F.lit(True), "left").select("neighbours", "grouped", "sim_max", F.round("mean10", 4).alias("sim_mean10"), "cluster", "share", V.reading(F.col("mean10"), F.col("share")).alias("lectura"))
+    return _analysis(near(spark, d)).drop("src")
+
+
+@entry()
+def context_analysis_each(spark: SparkSession, d: str) -> DataFrame:
+    return _analysis(near(spark, d, each=True))
+
+
+def _advisors(n: DataFrame) -> DataFrame:
+    a = n.where(~X.missing(F.col("asesores_display"))).select("src", "id", "sim", F.explode(X.clean_list(F.col("asesores_display"))).alias("asesor"))
+    scores = a.groupBy("src", "asesor").agg(F.count("*").alias("n"), F.round(F.sum(F.col("sim") * F.col("sim")), 4).alias("score"))
+    return top_per(scores, ["src"], 15, F.desc("score"), F.col("asesor"))
 
 
 @entry(f"WITH {_T}, a AS (SELECT DISTINCT id, sim, unnest(list_filter(list_transform(string_split(asesores_display, '|'), lambda x: trim(x)), lambda x: x <> '')) AS asesor FROM near WHERE trim(asesores_display) <> '') SELECT asesor, count(*) AS n, round(sum(sim * sim), 4) AS score FROM a GROUP BY 1 ORDER BY score DESC, asesor LIMIT 15")
 def advisor_rank(spark: SparkSession, d: str) -> DataFrame:
-    a = near(spark, d).where(~X.missing(F.col("asesores_display"))).select("id", "sim", F.explode(X.clean_list(F.col("asesores_display"))).alias("asesor"))
-    return a.groupBy("asesor").agg(F.count("*").alias("n"), F.round(F.sum(F.col("sim") * F.col("sim")), 4).alias("score")).orderBy(F.desc("score"), "asesor").limit(15)
+    return _advisors(near(spark, d)).drop("src", "rank").orderBy(F.desc("score"), "asesor")
 
 
-@entry(f"WITH {_T}, sp AS (SELECT unnest(generate_series(1950, 2020, 10)) AS decade), a AS (SELECT anio // 10 * 10 AS decade, count(*) AS n FROM near WHERE anio >= 1950 GROUP BY 1), b AS (SELECT \"año\" // 10 * 10 AS decade, count(*) AS total FROM base7_kaggle_clean WHERE \"año\" >= 1950 GROUP BY 1) SELECT sp.decade, coalesce(n, 0) AS n, round(coalesce(n, 0) * 1000.0 / nullif(total, 0), 4) AS per_mille FROM sp LEFT JOIN a USING (decade) LEFT JOIN b USING (decade)")
-def saturation_by_decade(spark: SparkSession, d: str) -> DataFrame:
+@entry()
+def advisor_rank_each(spark: SparkSession, d: str) -> DataFrame:
+    return _advisors(near(spark, d, each=True))
+
+
+def _saturation(spark: SparkSession, d: str, n: DataFrame) -> DataFrame:
     dec = lambda c: F.expr(f"`{c}` div 10 * 10")
-    spine = spark.range(1950, 2021, 10).select(F.col("id").alias("decade"))
-    a = near(spark, d).where("anio >= 1950").groupBy(dec("anio").alias("decade")).agg(F.count("*").alias("n"))
+    spine = n.select("src").distinct().select("src", F.explode(F.expr("sequence(1950L, 2020L, 10L)")).alias("decade"))
+    a = n.where("anio >= 1950").groupBy("src", dec("anio").alias("decade")).agg(F.count("*").alias("n"))
     b = base(spark, d).where("`año` >= 1950").groupBy(dec("año").alias("decade")).agg(F.count("*").alias("total"))
-    j = spine.join(a, "decade", "left").join(b, "decade", "left").na.fill(0, ["n"])
-    return j.select("decade", "n", F.round(F.try_divide(F.col("n") * 1000.0, "total"), 4).alias("per_mille"))
+    j = spine.join(a, ["src", "decade"], "left").join(b, "decade", "left").na.fill(0, ["n"])
+    return j.select("src", "decade", "n", F.round(F.try_divide(F.col("n") * 1000.0, "total"), 4).alias("per_mille"))
+
+
+@entry(f"WITH {_T}, sp AS (SELECT unnest(generate_series(1950, 2020, 10)) AS decade), a AS (SELECT anio // 10 * 10 AS decade, count(*) AS n FROM near WHERE anio >= 1950 GROUP BY 1), b AS (SELECT \"año\" // 10 * 10 AS decade, count(*) AS total FROM base7_kaggle_clean WHERE \"año\" >= 1950 GROUP BY 1) SELECT sp.decade, coalesce(n, 0) AS n, round(coalesce(n, 0) * 1000.0 / nullif(total, 0), 4) AS per_mille FROM sp LEFT JOIN a USING (decade) LEFT JOIN b USING (decade)")
+def saturation_by_decade(spark: SparkSession, d: str) -> DataFrame:
+    return _saturation(spark, d, near(spark, d)).drop("src")
+
+
+@entry()
+def saturation_by_decade_each(spark: SparkSession, d: str) -> DataFrame:
+    return _saturation(spark, d, near(spark, d, each=True))
+
+
+def _keywords(n: DataFrame) -> DataFrame:
+    from lumbrera.operators.textindex import keyword_hits
+
+    return keyword_hits(n, F.col("titulo_limpio"), ["agua", "riego", "estudio", "propuesta", "lectura"], ["src"])
 
 
 @entry(f"WITH {_T}, kw AS (SELECT unnest(['agua', 'riego', 'estudio', 'propuesta', 'lectura']) AS keyword) SELECT keyword, count(*) FILTER (regexp_matches(translate(lower(coalesce(titulo_limpio, '')), 'áéíóúüñ', 'aeiouun'), '\\b' || keyword || '\\b')) AS n FROM near, kw GROUP BY 1")
 def keyword_coverage(spark: SparkSession, d: str) -> DataFrame:
-    from lumbrera.operators.textindex import keyword_hits
+    return _keywords(near(spark, d)).drop("src")
+
+
+@entry()
+def keyword_coverage_each(spark: SparkSession, d: str) -> DataFrame:
+    return _keywords(near(spark, d, each=True))
 
-    return keyword_hits(near(spark, d), F.col("titulo_limpio"), ["agua", "riego", "estudio", "propuesta", "lectura"])
+
+def _preview(n: DataFrame) -> DataFrame:
+    return n.where("rank <= 50").select("src", "id", "sim", "rank", "titulo_limpio", "anio", "area", (F.col("cluster") >= 0).alias("in_group"))
 
 
 @entry(f"WITH {_T} SELECT id, sim, rank, titulo_limpio, anio, area, cluster >= 0 AS in_group FROM near WHERE rank <= 50")
 def neighbour_preview(spark: SparkSession, d: str) -> DataFrame:
-    return near(spark, d).where("rank <= 50").select("id", "sim", "rank", "titulo_limpio", "anio", "area", (F.col("cluster") >= 0).alias("in_group"))
+    return _preview(near(spark, d)).drop("src")
+
+
+@entry()
+def neighbour_preview_each(spark: SparkSession, d: str) -> DataFrame:
+    return _preview(near(spark, d, each=True))
+
+
+def _distributions(n: DataFrame) -> DataFrame:
+    c = n.where("programa IS NOT NULL").groupBy("src", "programa").agg(F.count("*").alias("n"))
+    return top_per(c, ["src"], 10, F.desc("n"), F.col("programa")).select("src", F.col("rank").cast("long").alias("rank"), "programa", "n")
 
 
 @entry(f"WITH {_T}, c AS (SELECT programa, count(*) AS n FROM near WHERE programa IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, programa) AS k FROM c) SELECT k AS rank, programa, n FROM r WHERE k <= 10")
 def context_distributions(spark: SparkSession, d: str) -> DataFrame:
-    c = near(spark, d).where("programa IS NOT NULL").groupBy("programa").agg(F.count("*").alias("n")).withColumn("one", F.lit(1))
-    return top_per(c, ["one"], 10, F.desc("n"), F.col("programa")).select(F.col("rank").cast("long").alias("rank"), "programa", "n")
+    return _distributions(near(spark, d)).drop("src")
+
+
+@entry()
+def context_distributions_each(spark: SparkSession, d: str) -> DataFrame:
+    return _distributions(near(spark, d, each=True))
 
 
 @entry("SELECT vec_id, round(sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 4) AS n FROM sample_50k_embeddings WHERE embedding IS NOT NULL")

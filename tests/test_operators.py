@@ -239,3 +239,32 @@ def test_crosstab_and_coverage_leave_nothing_out(spark, data):
     assert len(got) == 8 and got["a", "x"] == (2, 0.5) and got["a", None] == (1, 0.25) and got[None, "z"] == (1, 1.0) and got[None, "x"] == (0, 0.0)
     columns = set(base(spark, data).columns)
     assert {r["column"] for r in aggregates.cov_profile_whole(spark, data).collect()} == columns == {r["column"] for r in aggregates.column_decisions_whole(spark, data).collect()}
+
+
+def test_searches_ask_with_every_query(spark, data):
+    from lumbrera.queries import table, vectors
+    from lumbrera.queries import contexts as Q
+
+    t = table(spark, data, "sample_50k_embeddings").select("vec_id", "embedding").toPandas().dropna()
+    x = np.stack([np.asarray(v, float) for v in t["embedding"]])
+    norm = np.linalg.norm(x, axis=1)
+    ids, x = t["vec_id"].to_numpy()[norm > 0], x[norm > 0] / norm[norm > 0][:, None]
+    sims = (x @ x.T).round(4)
+    np.fill_diagonal(sims, -2)
+    asked = {int(i) for i in ids if i % 20 == 0}
+    n = vectors.near(spark, data, each=True)
+    got = {}
+    for r in n.collect():
+        got.setdefault(r["src"], {})[r["rank"]] = r["sim"]
+    assert set(got) == asked and len(asked) > 1
+    for i, row in zip(ids, sims):
+        if i % 20 == 0:
+            want = np.sort(row)[::-1][: min(100, len(ids) - 1)]
+            assert len(got[i]) == len(want) and np.allclose([got[i][k] for k in sorted(got[i])], want, atol=1.01e-4)
+    whole = [vectors.context_analysis_each, vectors.saturation_by_decade_each, vectors.keyword_coverage_each, vectors.neighbour_preview_each, Q.zone_hint_each, Q.context_payload]
+    for f in whole:
+        assert {r["src"] for r in f(spark, data).select("src").distinct().collect()} == asked, f.__name__
+    for f in (vectors.advisor_rank_each, vectors.context_distributions_each, Q.main_cluster_each):
+        assert len({r["src"] for r in f(spark, data).select("src").distinct().collect()} & asked) > 1, f.__name__
+    every = {r["vec_id"] for r in table(spark, data, "embeddings").where("vec_id % 20 = 0").collect()}
+    assert {r["src"] for r in vectors.query_topk_each(spark, data).select("src").distinct().collect()} == every
