@@ -67,18 +67,44 @@ def same_bag(v: DataFrame) -> DataFrame:
     return _links(v.where("NOT comma").select("bag", "label"), _only(v.where("comma"), ["bag"]), ["bag"])
 
 
+def _deletions(c: str, most: int) -> Column:
+    """A text and what is left of it after up to ``most`` deletions; texts within ``most`` edits have one in common."""
+    one = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    w = F.col(c)
+    return F.array_distinct(F.concat(F.array(w), one(w), *([F.flatten(F.transform(one(w), one))] if most > 1 else [])))
+
+
+def _compatible() -> Column:
+    """Whether the given names ``no`` are, in order, words of ``lno`` or their initials."""
+    word = lambda w: F.concat(F.lit("\\Q"), w, F.when(F.length(w) == 1, F.lit("\\E\\S*")).otherwise(F.lit("\\E")))
+    pattern = F.concat(F.lit("^(?:\\S+ )*"), F.array_join(F.transform("no", word), " (?:\\S+ )*"), F.lit("(?: \\S+)*$"))
+    return F.rlike(_joined("lno"), pattern)
+
+
+def _sole(found: DataFrame) -> DataFrame:
+    """Links of the candidates (node, label, target) of forms all of whose candidates have one label."""
+    only = found.groupBy("node").agg(F.first("label").alias("a"), F.min("target").alias("b"), F.max("target").alias("_hi"))
+    return only.where("b = _hi AND a <> b").select("a", "b")
+
+
 def shorter_given(v: DataFrame) -> DataFrame:
-    """R3: two surnames or more in common and a given name that is the beginning of one longer form."""
+    """R3: the same surnames, two or more, and given names that are, in order, some of those of one longer form or their
+    initials; a single given name needs a shared program. Longer forms that have a longer one themselves don't count."""
     v = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).withColumn("s", _joined("ap"))
-    long = v.where(F.size("no") > 1).select("s", F.get("no", F.lit(0)).alias("g"), "label")
-    return _links(v.where((F.size("no") == 1) & (F.length(F.get("no", F.lit(0))) > 1)).select("s", F.get("no", F.lit(0)).alias("g"), "label"), _only(long, ["s", "g"]), ["s", "g"])
+    initial = lambda w: F.substring(w, 1, 1)
+    long = v.where(F.size("no") > 1).select("s", F.explode(F.array_distinct(F.concat("no", F.transform("no", initial)))).alias("k"), F.col("node").alias("to"), F.col("no").alias("lno"), F.col("label").alias("target"), F.col("programs").alias("tp"))
+    pairs = v.withColumn("k", F.get("no", F.lit(0))).join(long, ["s", "k"]).where((F.size("lno") > F.size("no")) & _compatible())
+    pairs = cut(pairs.select("node", "label", "to", "target", ((F.size("no") > 1) | F.arrays_overlap("programs", "tp")).alias("fits")).distinct(), "shorter")
+    top = pairs.join(pairs.select(F.col("node").alias("to")).distinct(), "to", "left_anti")
+    return _sole(top.withColumn("all", F.min("fits").over(Window.partitionBy("node"))).where("all"))
 
 
 def initials(v: DataFrame) -> DataFrame:
-    """R3: two surnames or more in common and given names told by their initials, of which one full form has those."""
+    """R3: the same surnames, two or more, and as many given names, some of them told by their initials, as one form."""
     v = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).withColumn("s", _joined("ap")).withColumn("i", _initials("no"))
-    short = F.forall("no", lambda w: F.length(w) == 1)
-    return _links(v.where(short).select("s", "i", "label"), _only(v.where(~short), ["s", "i"]), ["s", "i"])
+    long = v.select("s", "i", F.col("node").alias("to"), F.col("no").alias("lno"), F.col("label").alias("target"))
+    short = v.where(F.exists("no", lambda w: F.length(w) == 1))
+    return _sole(short.join(long, ["s", "i"]).where((F.col("no") != F.col("lno")) & _compatible()))
 
 
 def one_surname(v: DataFrame) -> DataFrame:
@@ -101,28 +127,53 @@ def misplaced_comma(v: DataFrame) -> DataFrame:
     return k.join(top, "bag").where("label <> target AND build <> tb").select(F.col("label").alias("a"), F.col("target").alias("b"))
 
 
+def _groups(v: DataFrame) -> DataFrame:
+    """(label, gn, gp): mentions and programs of the groups so far."""
+    return v.groupBy("label").agg(F.sum("n").alias("gn"), F.array_distinct(F.flatten(F.collect_list("programs"))).alias("gp"))
+
+
+def _by_group(found: DataFrame, groups: DataFrame, ratio: int) -> DataFrame:
+    """Links of groups (label) all of whose candidates (target), ``ratio`` times as frequent and with a shared program,
+    are one group."""
+    t = groups.select(F.col("label").alias("target"), F.col("gn").alias("tn"), F.col("gp").alias("tp"))
+    fit = found.where("label <> target").select("label", "target").distinct().join(groups, "label").join(t, "target").where((F.col("tn") >= ratio * F.col("gn")) & F.arrays_overlap("gp", "tp"))
+    return _sole(fit.withColumn("node", F.col("label")))
+
+
 def inverted(v: DataFrame) -> DataFrame:
-    """R9: surnames in the other order, against a form at least ten times as frequent."""
-    k = v.where((F.size("ap") == 2) & (F.size("no") > 0)).select(_bare("ap").alias("s"), _joined("no").alias("g"), "label", "n")
-    top = k.groupBy("s", "g").agg(F.max_by(F.struct("label", "n"), F.struct("n", F.col("label"))).alias("t")).select("s", "g", F.col("t.label").alias("target"), F.col("t.n").alias("tn"))
-    return k.join(top, ["s", "g"]).where("label <> target AND tn >= 10 * n").select(F.col("label").alias("a"), F.col("target").alias("b"))
+    """R9: surnames in the other order, each within an edit, against the only group that is at least ten times as frequent."""
+    k = v.where((F.size("ap") == 2) & (F.size("no") > 0)).select("label", _joined("no").alias("g"), F.get("ap", F.lit(0)).alias("s1"), F.get("ap", F.lit(1)).alias("s2"))
+    to = k.select("g", F.explode(_deletions("s2", 1)).alias("k"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("label").alias("target"))
+    near = k.withColumn("k", F.explode(_deletions("s1", 1))).join(to, ["g", "k"]).where((F.levenshtein("s1", "t2") <= 1) & (F.levenshtein("s2", "t1") <= 1))
+    return _by_group(near, _groups(v), 10)
 
 
 def typos(v: DataFrame, ratio: int = 3) -> DataFrame:
-    """R5 and R10: all words but one in common, and that one within two edits (one below eight letters) of a form at
-    least ``ratio`` times as frequent. Neighbours in sorted order are compared, forwards and backwards."""
-    words = F.concat("ap", "no")
-    k = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).select("label", "n", F.posexplode(words).alias("i", "w"), words.alias("ws"))
-    k = k.where(F.length("w") >= 4).withColumn("key", F.xxhash64("i", F.array_join(F.filter("ws", lambda x, j: j != F.col("i")), " ")))
-    out = None
-    for order in (F.col("w"), F.reverse("w")):
-        win = Window.partitionBy("key").orderBy(order, "label")
-        p = k.withColumn("o", F.lag(F.struct("label", "n", "w")).over(win)).where("o IS NOT NULL AND o.label <> label")
-        d = F.levenshtein("w", F.col("o.w"), 2)
-        close = p.where((d > 0) & ((d == 1) | (F.least(F.length("w"), F.length("o.w")) >= 8)) & (F.greatest("n", F.col("o.n")) >= ratio * F.least("n", F.col("o.n"))) & (F.least("n", F.col("o.n")) <= 2))
-        found = close.select(F.col("label").alias("a"), F.col("o.label").alias("b"))
-        out = found if out is None else out.unionByName(found)
-    return out.distinct()
+    """R5: a form of at most two mentions and the only group with a form at least ``ratio`` times as frequent, in a shared
+    program, whose given names (with equal surnames) or surnames (with equal given names and first letter) are within
+    two edits, or one below eight letters. Candidates come from deletion keys, whatever the size of a block."""
+    k = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).withColumn("s", _joined("ap")).withColumn("g", _joined("no"))
+    k = k.select("node", "label", "n", "programs", F.explode(F.array(F.struct(F.concat_ws("|", F.lit("s"), "s").alias("same"), F.col("g").alias("w")), F.struct(F.concat_ws("|", F.lit("g"), F.substring("s", 1, 1), "g").alias("same"), F.col("s").alias("w")))).alias("e"))
+    k = k.select("node", "label", "n", "programs", "e.same", "e.w").withColumn("k", F.explode(_deletions("w", 2))).withColumn("key", F.xxhash64("same", "k")).drop("k")
+    to = k.where(F.col("n") >= ratio).select("key", F.col("same").alias("tsame"), F.col("w").alias("tw"), F.col("n").alias("tn"), F.col("programs").alias("tp"), F.col("node").alias("to"), F.col("label").alias("target"))
+    p = k.where("n <= 2").join(to, "key").where((F.col("same") == F.col("tsame")) & (F.col("node") != F.col("to")) & (F.col("tn") >= ratio * F.col("n")) & F.arrays_overlap("programs", "tp"))
+    return _sole(p.where(F.levenshtein("w", "tw") <= F.when(F.length("w") >= 8, 2).otherwise(1)))
+
+
+def whole_typos(v: DataFrame, ratio: int = 3, common: int = 20) -> DataFrame:
+    """R10: whole names within two edits (one below fourteen letters), first letters as well, with a surname and the
+    given name's initial in common, against the only group at least ``ratio`` times as frequent in a shared program.
+    Names of three words or fewer that differ only in words that are both common are other persons."""
+    k = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).select("label", "n", F.concat("ap", "no").alias("ws"), F.slice("ap", 1, 2).alias("s"), F.substring(F.get("no", F.lit(0)), 1, 1).alias("i")).withColumn("w", _joined("ws"))
+    keyed = k.withColumn("k", F.explode(_deletions("w", 2))).withColumn("key", F.xxhash64("i", "k")).drop("k")
+    to = keyed.select("key", F.col("i").alias("ti"), F.col("w").alias("tw"), F.col("ws").alias("tws"), F.col("s").alias("ts"), F.col("label").alias("target"))
+    p = keyed.join(to, "key").where((F.col("label") != F.col("target")) & (F.col("i") == F.col("ti")) & F.arrays_overlap("s", "ts"))
+    p = cut(p.where(F.levenshtein("w", "tw") <= F.when(F.length("w") >= 14, 2).otherwise(1)).select("label", "target", "ws", "tws").distinct(), "whole-typos")
+    usual = v.select(F.explode(F.concat("ap", "no")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("f")).where(F.col("f") >= common).select("word")
+    short = (F.size("ws") == F.size("tws")) & (F.size("ws") <= 3)
+    differ = p.where(short).select("label", "target", "ws", "tws", F.explode(F.filter(F.arrays_zip("ws", "tws"), lambda x: x["ws"] != x["tws"])).alias("d"))
+    rare = differ.join(usual.select(F.col("word").alias("x"), F.lit(1).alias("fx")), F.col("d.ws") == F.col("x"), "left").join(usual.select(F.col("word").alias("y"), F.lit(1).alias("fy")), F.col("d.tws") == F.col("y"), "left").where("fx IS NULL OR fy IS NULL")
+    return _by_group(p.where(~short).select("label", "target").unionByName(rare.select("label", "target")), _groups(v), ratio)
 
 
 def same_sound(v: DataFrame) -> DataFrame:
@@ -131,7 +182,7 @@ def same_sound(v: DataFrame) -> DataFrame:
     return _links(k, k.groupBy("f").agg(F.max_by("label", F.struct("n", F.col("label"))).alias("target")), ["f"])
 
 
-RULES = (("R2", same_bag), ("R3", shorter_given), ("R3i", initials), ("R4", one_surname), ("R5", typos), ("R6", reordered), ("R8", misplaced_comma), ("R9", inverted), ("R11", same_sound))
+RULES = (("R2", same_bag), ("R3i", initials), ("R3", shorter_given), ("R4", one_surname), ("R5", typos), ("R6", reordered), ("R8", misplaced_comma), ("R9", inverted), ("R10", whole_typos), ("R11", same_sound))
 
 
 def resolve(m: DataFrame) -> DataFrame:

@@ -268,3 +268,15 @@ def test_searches_ask_with_every_query(spark, data):
         assert len({r["src"] for r in f(spark, data).select("src").distinct().collect()} & asked) > 1, f.__name__
     every = {r["vec_id"] for r in table(spark, data, "embeddings").where("vec_id % 20 = 0").collect()}
     assert {r["src"] for r in vectors.query_topk_each(spark, data).select("src").distinct().collect()} == every
+
+
+def test_resolution_of_rare_variants_in_a_full_block(spark):
+    fill = [f"Solares Mireda, {g} Luz" for g in ("Anabel", "Anahi", "Anais", "Analia", "Anastasia")]
+    many = ["Solares Mireda, Ana Luisa"] * 9 + ["Juarez Robles, Marcela Ines"] * 9 + ["Prado Quiroga, Elena"] * 12
+    names = [*many, *fill, "Solares Mireda, Ana L.", "Solares Mireda, Anu Luysa", "Solares Mireda, Luisa", "Suarez Robles, Marcela Inez", "Quirog Prado, Elena"]
+    df = spark.createDataFrame([(f"T{i}", n, "p") for i, n in enumerate(names)], "id string, n string, p string")
+    by = {r["display"]: r["label"] for r in E.resolve(E.mentions(df, "id", F.col("n"), F.col("p"))).collect()}
+    ana, marcela = by["Solares Mireda, Ana Luisa"], by["Juarez Robles, Marcela Ines"]
+    assert by["Solares Mireda, Ana L."] == ana and by["Solares Mireda, Luisa"] == ana and by["Solares Mireda, Anu Luysa"] == ana
+    assert by["Suarez Robles, Marcela Inez"] == marcela and by["Quirog Prado, Elena"] == by["Prado Quiroga, Elena"]
+    assert all(by[n] != ana for n in fill) and len({by[n] for n in fill}) == len(fill)
