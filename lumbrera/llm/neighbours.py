@@ -1,10 +1,15 @@
-"""The k most similar vectors of every vector, exactly.
+"""The k most similar vectors of every vector, by shifted space-filling curves.
 
-Every vector is compared with every other in blocked matrix products, in single precision with a proven margin;
-what may be among the k best is computed again in double precision. Vectors are ordered by the Hilbert key of a few
-random directions: a block first meets the vectors around its own place, so that hardly any of the others come near
-its k-th best. The vectors are sent to the tasks in parts of bounded size, a pass each. Exact copies are folded
-beforehand and expanded afterwards.
+Each of several curves projects all vectors onto a few random directions of its own, shifts and quantises them, and
+orders them by their Hilbert key. Spark range-partitions each order and numbers it; ranges of equal length take a halo
+of rows from either side, so that every vector is compared with all others within REACH places of it, in blocked
+matrix products. The windows of all curves are merged and ranked by exact cosine. Only (curve, key, id) travels
+through the sort; vectors follow once, to their ranges.
+
+How many curves met each of the k best partners tells how likely one was missed by all of them (what is met again and
+again is complete, what was met once has siblings unseen). Vectors whose partners were met by few curves, as in a
+group far larger than the windows, are asked again: they are compared with all vectors, in blocks of bounded size and
+in single precision with a proven margin. Exact copies are folded beforehand and expanded afterwards.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbrera.llm.vectors import directions, first_ids, fold, matrix, sent, slack, unit, usable
-from lumbrera.plans.lineage import cut, width
+from lumbrera.plans.lineage import cut, spread, width
 
-#: Directions and bits of the order, rows compared at once, rows to either side of them met in one product.
-DIMS, BITS, BLOCK, REACH = 6, 10, 1024, 3072
+#: Curves, directions and bits of each, rows compared at once, rows to either side of them, rows of a range.
+CURVES, DIMS, BITS, BLOCK, REACH, RANGE = 8, 6, 10, 512, 1024, 16384
+#: Curves that must have met a vector's partners, on the mean, for its list to be taken as complete.
+MET = 3.0
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -51,10 +58,11 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_key(u: np.ndarray, dims: int = DIMS, bits: int = BITS) -> np.ndarray:
-    """Hilbert keys of unit vectors."""
-    p = u @ directions(u.shape[1], dims, 1000)
-    cells = np.clip((p * 0.5 + 0.5) * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
+def curve_key(u: np.ndarray, curve: int, dims: int = DIMS, bits: int = BITS) -> np.ndarray:
+    """Hilbert keys of unit vectors on one of the curves."""
+    p = u @ directions(u.shape[1], dims, 1000 + curve)
+    shift = np.random.default_rng(curve).uniform(-0.125, 0.125, p.shape[1])
+    cells = np.clip((p * 0.5 + 0.5 + shift) * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
     return hilbert(cells, bits)
 
 
@@ -89,58 +97,173 @@ def _best(own: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rows:
     return at, to, sim
 
 
-def rep_neighbours(distinct: DataFrame, k: int, floor: float, block: int = BLOCK, reach: int = REACH) -> DataFrame:
-    """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor."""
+def _window(ids: np.ndarray, rows: np.ndarray, q: slice, w: slice, k: int, floor: float):
+    """(row, id, cosine) of the up to k most similar among rows ``w`` for each of rows ``q``, the row itself left out."""
+    a, b, lo, hi = q.start, q.stop, w.start, w.stop
+    s = rows[a:b].astype(np.float32) @ rows[lo:hi].astype(np.float32).T
+    s[np.arange(b - a), np.arange(a - lo, b - lo)] = -2
+    least = np.float32(max(floor, -1.5) - slack(rows.shape[1]) - 1e-6)
+    open_ = np.nonzero((s >= least).any(axis=1))[0]
+    if not len(open_):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    s = s[open_]
+    if s.shape[1] > k + 2:  # two more than asked, since single precision may order near ties otherwise
+        c = np.argpartition(s, s.shape[1] - k - 2, axis=1)[:, s.shape[1] - k - 2 :]
+    else:
+        c = np.broadcast_to(np.arange(s.shape[1]), s.shape)
+    r = np.repeat(np.arange(len(open_)), c.shape[1])
+    c = c.ravel()
+    near = s[r, c] >= least
+    r, c = r[near], c[near]
+    e = np.einsum("id,id->i", rows[a + open_[r]], rows[lo + c]).round(9)
+    good = e >= floor
+    r, c, e = open_[r[good]], ids[lo + c[good]], e[good]
+    order = np.lexsort((c, -e, r))
+    r, c, e = r[order], c[order], e[order]
+    first = (np.arange(len(r)) - np.searchsorted(r, r)) < k
+    return r[first], c[first], e[first]
+
+
+def numbered(distinct: DataFrame, curves: int, length: int) -> tuple[DataFrame, int]:
+    """((curve, id, rank), rows of all orders): places along the curves, one curve after the other. Ranks are taken per
+    partition of the range-partitioned order, whose sizes, one number a partition, give the offsets."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pd.DataFrame({"key": curve_key(unit(matrix(pdf["vec"]))), "id": pdf["id"], "vec": pdf["vec"]})
+                u = unit(matrix(pdf["vec"]))
+                for c in range(curves):
+                    yield pd.DataFrame({"curve": np.int32(c), "key": curve_key(u, c), "id": pdf["id"]})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        pid, at = TaskContext.get().partitionId(), 0
+        for pdf in batches:
+            yield pdf.assign(pid=np.int32(pid), place=np.arange(at, at + len(pdf)))
+            at += len(pdf)
+
+    parts = max(width(distinct.sparkSession, 1), -(-distinct.count() * curves // (length * 8)))
+    keys = spread(distinct.select("id", "vec")).mapInPandas(keyed, "curve int, key long, id long")
+    ordered = keys.repartitionByRange(parts, "curve", "key", "id").sortWithinPartitions("curve", "key", "id").select("curve", "id")
+    placed = cut(ordered.mapInPandas(count, "curve int, id long, pid int, place long"), "placed")
+    sizes = {r["pid"]: r["n"] for r in placed.groupBy("pid").agg(F.count("*").alias("n")).collect()}  # a row a partition
+    offsets, total = [], 0
+    for pid in sorted(sizes):
+        offsets.append((pid, total))
+        total += sizes[pid]
+    starts = distinct.sparkSession.createDataFrame(offsets, "pid int, first long")
+    return placed.join(F.broadcast(starts), "pid").select("curve", "id", (F.col("first") + F.col("place")).alias("rank")), total
+
+
+def window_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURVES, block: int = BLOCK, reach: int = REACH, length: int = RANGE) -> DataFrame:
+    """(id, a array<struct<s, nb>>, met): for distinct vectors, the k best partners over all curves with cosine >=
+    floor, s being the negative cosine, and on how many curves they were met on the mean."""
+    spark = distinct.sparkSession
+    length = max(length, 2 * reach)
+    ranked, total = numbered(distinct, curves, length)
+    at, last = F.expr(f"rank div {length}"), F.col("rank") % length
+    own = F.array(F.struct(at.alias("range"), F.lit(True).alias("own")))
+    before = F.when(last < reach, F.array(F.struct((at - 1).alias("range"), F.lit(False).alias("own")))).otherwise(F.array())
+    after = F.when(last >= length - reach, F.array(F.struct((at + 1).alias("range"), F.lit(False).alias("own")))).otherwise(F.array())
+    placed = ranked.select("curve", "id", "rank", F.explode(F.concat(own, before, after)).alias("p")).select("curve", "id", "rank", "p.range", "p.own")
+    ranges = max(1, -(-total // length))
+    wide = placed.join(distinct.select("id", "vec"), "id").repartition(min(ranges, 20000), "range").sortWithinPartitions("range", "rank")
 
-    parts = width(distinct.sparkSession, 4)
-    ordered = cut(distinct.select("id", "vec").mapInPandas(keyed, "key long, id long, vec binary").repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id"), "ordered")
-    out, passes = None, 0
-    for shared in sent(ordered):
+    def work(parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(parts) if len(parts) > 1 else parts[0]
+        ids, curve, mine = pdf["id"].to_numpy(), pdf["curve"].to_numpy(), np.nonzero(pdf["own"].to_numpy())[0]
+        rows = unit(matrix(pdf["vec"]))
+        out = []
+        for lo in range(int(mine[0]), int(mine[-1]) + 1, block) if len(mine) else ():
+            hi = min(lo + block, int(mine[-1]) + 1)
+            for c in np.unique(curve[lo:hi]):  # ranks are consecutive, so are the rows of a curve
+                a, b = np.searchsorted(curve, c), np.searchsorted(curve, c, "right")
+                q = slice(max(lo, int(a)), min(hi, int(b)))
+                r, nb, sim = _window(ids, rows, q, slice(max(int(a), q.start - reach), min(int(b), q.stop + reach)), k, floor)
+                out.append((ids[q.start + r], nb, sim))
+        if out:
+            yield pd.DataFrame({"id": np.concatenate([x[0] for x in out]), "nb": np.concatenate([x[1] for x in out]), "sim": np.concatenate([x[2] for x in out])})
+
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # the rows of one range, at most length + 2 x reach
+        for pdf in batches:
+            for r, part in pdf.groupby("range", sort=True):
+                if held and held[0]["range"].iloc[0] != r:
+                    yield from work(held)
+                    held = []
+                held.append(part)
+        if held:
+            yield from work(held)
+
+    met = wide.mapInPandas(windows, "id long, nb long, sim double").groupBy("id", "nb").agg(F.max("sim").alias("sim"), F.count("*").alias("curves"))
+    listed = met.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "nb", "curves"))), 1, k).alias("a"))
+    mean = F.aggregate("a", F.lit(0).cast("long"), lambda x, p: x + p["curves"]) / F.size("a")
+    return listed.select("id", F.transform("a", lambda p: F.struct(p["s"].alias("s"), p["nb"].alias("nb"))).alias("a"), mean.alias("met"))
+
+
+def exact_neighbours(asked: DataFrame, distinct: DataFrame, k: int, floor: float, block: int = 1024) -> DataFrame:
+    """(id, a array<struct<s, nb>>): the k best partners of each vector of ``asked`` among all distinct vectors, which
+    are sent to the tasks in parts of bounded size, a pass each."""
+    rows_of, out = spread(asked.select("id", "vec"), 4), None
+    for shared in sent(distinct):
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             ids, x = shared.value
-            rows = np.concatenate([unit(x[i : i + 8192]).astype(np.float32) for i in range(0, len(x), 8192)])
-            keys = np.concatenate([curve_key(rows[i : i + 8192]) for i in range(0, len(x), 8192)])
-            order = np.argsort(keys, kind="stable")
-            ids, x, rows, keys = ids[order], x[order], rows[order], keys[order]
-            step = block + 2 * reach
-            starts = np.arange(0, len(ids), step)
+            rows = None
             for pdf in batches:
+                if len(pdf) and rows is None:
+                    rows = np.concatenate([unit(x[i : i + 8192]).astype(np.float32) for i in range(0, len(x), 8192)])
+                    sections = [(i, min(i + 8192, len(ids))) for i in range(0, len(ids), 8192)]
                 for lo in range(0, len(pdf), block):
                     some = pdf.iloc[lo : lo + block]
-                    place = np.searchsorted(keys, some["key"].iloc[len(some) // 2])
-                    sections = [(int(i), int(min(i + step, len(ids)))) for i in starts[np.argsort(np.abs(starts + step / 2 - place), kind="stable")]]
                     own = some["id"].to_numpy()
                     at, to, sim = _best(own, unit(matrix(some["vec"])), ids, x, rows, sections, k, floor)
                     if len(at):
                         yield pd.DataFrame({"id": own[at], "nb": to, "sim": sim})
 
-        found = cut(ordered.mapInPandas(search, "id long, nb long, sim double"), "nearest")
+        found = cut(rows_of.mapInPandas(search, "id long, nb long, sim double"), "nearest")
         shared.unpersist()
-        out, passes = found if out is None else out.unionByName(found), passes + 1
+        out = found if out is None else out.unionByName(found)
     if out is None:
-        return distinct.sparkSession.createDataFrame([], "id long, nb long, sim double")
-    if passes == 1:
-        return out
-    merged = out.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "nb"))), 1, k).alias("a"))
-    return merged.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
+        out = distinct.sparkSession.createDataFrame([], "id long, nb long, sim double")
+    return out.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "nb"))), 1, k).alias("a"))
+
+
+def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURVES, block: int = BLOCK, reach: int = REACH, met: float = MET, length: int = RANGE) -> DataFrame:
+    """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor."""
+    near = cut(window_neighbours(distinct, k, floor, curves, block, reach, length), "windows")
+    doubtful = near.where(F.col("met") < met).select("id")
+    if doubtful.limit(1).count():
+        again = cut(exact_neighbours(distinct.join(doubtful, "id", "left_semi"), distinct, k, floor), "asked-again")
+        near = near.where(F.col("met") >= met).select("id", "a").unionByName(again)
+    return near.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
+
+
+def recall(df: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 5, floor: float = 0.8, every: int = 20, **options) -> DataFrame:
+    """(asked, wanted, found, recall): how many of the k best partners most_similar() finds, held against a comparison
+    with all vectors, for the vectors whose id is divisible by ``every``."""
+    distinct, _ = fold(usable(df, key, column))
+    asked = distinct.where(F.col("id") % every == 0)
+    pairs_of = lambda d: d.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"))
+    want = cut(pairs_of(exact_neighbours(asked, distinct, k, floor)), "wanted")
+    got = rep_neighbours(distinct, k, floor, **options).select("id", "nb", F.lit(1).alias("hit"))
+    n = asked.agg(F.count("*").alias("asked"))
+    held = want.join(got, ["id", "nb"], "left").agg(F.count("*").alias("wanted"), F.count("hit").alias("found"))
+    return n.join(held).withColumn("recall", F.when(F.col("wanted") > 0, F.round(F.col("found") / F.col("wanted"), 6)))
 
 
-def most_similar(df: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 5, floor: float = -1.0, block: int = BLOCK, reach: int = REACH) -> DataFrame:
+def most_similar(df: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 5, floor: float = -1.0, curves: int = CURVES, block: int = BLOCK, reach: int = REACH, met: float = MET) -> DataFrame:
     """(id, nb, sim, rank): the k vectors of the table most similar to each, cosine rounded to 9 decimals.
 
     Ties go to the smaller id, the vector itself is left out, copies of it count. ``floor`` keeps partners of at
     least that cosine. Vectors without a direction (null, empty, all-zero, not finite) neither ask nor answer. An
-    empty table gives no rows. Other columns are dropped. ``block`` and ``reach`` set how many rows are compared at once;
-    the result doesn't depend on them.
+    empty table gives no rows. Other columns are dropped. Vectors whose partners were met by fewer than ``met`` curves
+    are compared with all others: 0 keeps to the windows, more than ``curves`` compares every vector that has partners
+    with all others. What no window of any curve met at all isn't asked again.
     """
     distinct, members = fold(usable(df, key, column))
-    near = cut(rep_neighbours(distinct, k + 1, floor, block, reach), "neighbours")
+    near = cut(rep_neighbours(distinct, k + 1, floor, curves, block, reach, met), "neighbours")
     some = cut(first_ids(members, k + 1), "first-copies")
     own = distinct.where("copies > 1").select("id", F.col("id").alias("nb"), F.lit(1.0).alias("sim"))
     options = near.unionByName(own).join(some.select(F.col("rep").alias("nb"), F.col("id").alias("m")), "nb")

@@ -22,6 +22,10 @@ def p1_similar(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.most_similar(table(spark, folder, "sample_50k_embeddings"), k=10)
 
 
+def p1_recall(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.recall(table(spark, folder, "sample_50k_embeddings"), k=5, floor=0.8)
+
+
 NAMES = ["asesores_limpios_v2", "autor_limpio_v2"]
 
 
@@ -113,4 +117,4 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, tuple] = {"p10_found": (p10_found, None), "p10_statistics": (p10_statistics, None), "p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p3_found": (p3_found, None), "p3_people": (p3_people, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}
+QUERIES: dict[str, tuple] = {"p10_found": (p10_found, None), "p10_statistics": (p10_statistics, None), "p1_found": (p1_found, None), "p1_similar": (p1_similar, None), "p1_recall": (p1_recall, None), "p5_found": (p5_found, None), "p5_mapped": (p5_mapped, None), "p5_misses": (p5_misses, None), "p6_found": (p6_found, None), "p6_shares": (p6_shares, None), "p7_found": (p7_found, None), "p7_described": (p7_described, None), "p2_found": (p2_found, None), "p2_restored": (p2_restored, None), "p3_found": (p3_found, None), "p3_people": (p3_people, None), "p8_ids": (p8_ids, None), "p9_packing": (p9_packing, None)}

@@ -65,6 +65,24 @@ def test_neighbours_exact_in_a_group_beyond_the_windows(spark, monkeypatch, size
     assert got == truth(x, ids, 5, 0.8)[1]
 
 
+def test_windows_do_not_depend_on_the_ranges(spark):
+    x = planted(6, groups=14)
+    distinct, _ = N.fold(N.usable(table(spark, list(enumerate(x))), "vec_id", "embedding"))
+    got = [{(r["id"], p["nb"]) for r in N.window_neighbours(distinct, 4, 0.8, curves=2, block=16, reach=40, length=length).collect() for p in r["a"]} for length in (80, 100_000)]
+    assert got[0] == got[1] and got[0]  # every range has a halo of its neighbours' rows
+
+
+def test_windows_alone_and_vectors_asked_again(spark):
+    rng = np.random.default_rng(3)
+    c = rng.normal(size=24)
+    x = (c / np.linalg.norm(c) * 6 + rng.normal(size=(900, 24)) * 0.5).astype(np.float32)
+    df = table(spark, list(enumerate(x)))
+    some = N.recall(df, every=3, block=64, reach=10, met=0.0).collect()[0]
+    whole = N.recall(df, every=3, block=64, reach=10).collect()[0]
+    assert some["asked"] == 300 and some["wanted"] == 1500 and some["recall"] < 0.9
+    assert whole["recall"] == 1.0
+
+
 def test_all_copies(spark):
     df = table(spark, [(i, [1.0, 2.0, 2.0]) for i in range(30)])
     rows = N.most_similar(df, k=3).orderBy("id", "rank").collect()
