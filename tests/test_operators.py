@@ -131,6 +131,15 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_long_path_in_random_order(spark):
+    import random
+
+    ids = list(range(700))
+    random.Random(2).shuffle(ids)  # local minima far apart: labels that only creep from neighbour to neighbour need hundreds of rounds
+    rows = components(spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")).collect()
+    assert {r["label"] for r in rows} == {0} and len(rows) == 700
+
+
 def test_ward_and_density(spark):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(c, 0.02, (25, 3)) for c in ([1, 0, 0], [0, 1, 0], [0, 0, 1])])
