@@ -130,3 +130,23 @@ def test_quality(spark):
 def test_document_statistics():
     assert Q.document_statistics("El agua sube.\nBaja") == (4, 3.5, 0.0667, 0.5, 0.25)
     assert Q.document_statistics(None) == (0, 0.0, 0.0, 0.0, 0.0)
+
+
+def test_slips_in_a_full_block_and_richer_persons(spark):
+    given = [f"{a}{b}ela" for a in "bcdfglmnprst" for b in ("an", "or", "il", "us")]  # given names of one block
+    block = [f"Quirante Oldaz, {g.title()} Luz" for g in given for _ in (0, 1, 2)]
+    typo = "Quirante Oldaz, Banlea Luz"  # sorted order puts others between it and its twin
+    long = ["Villa Marte, Ana Luz José Inés Ramón Sofía Andrés", "Villa Marte, A. L. J. I. R. S. A."]
+    rich = ["Arcadio P., Ana Luz", "Arcadio Penalte, A. L.", "Arcadio Penalte, Ana Luz Inés"]
+    names = [*NAMES * 3, *block, typo, *long, *rich, *(f"{x}, {g.title()} Inés" for g in given for x in ("Otero Salim", "Marte Calvo", "Rueda Ponte"))]
+    got = {r["name"]: r["person"] for r in P.link_spellings(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert got[typo] == got["Quirante Oldaz, Banela Luz"] and len({got[n] for n in block}) == len(given)
+    assert got[long[0]] == got[long[1]]
+    assert got[rich[0]] != got[rich[2]]
+
+
+def test_fits():
+    given = frozenset({"jose", "ana", "luz", "luis"})
+    assert P.fits(["l.", "ana"], ["ana", "luz"], given) and P.fits(["pepe"], ["jose"], given)
+    assert not P.fits(["l.", "luz"], ["ana", "luz"], given) and not P.fits(["l."], ["ana", "luz"], given)
+    assert "acd" in P.deletions("abcd") and "abce" in P.deletions("abcdef") | P.deletions("abced") and len(P.deletions("abc")) == 4
