@@ -1,9 +1,11 @@
 """Groups of mutually similar vectors: connected components of the links of cosine >= threshold, exactly.
 
 Several shifted grids quantise random projections of the vectors. SQL counts the cells; a cell with one vector links
-nothing. In each dense cell, or part of a hot one, exact cosines link the vectors; minimum labels are propagated over
-the links. What this leaves apart is completed: every vector is compared with all those that have another label, in
-blocked products, and labels with a link between them are merged.
+nothing. In each dense cell, or part of a hot one, exact cosines link the vectors, and minimum labels are propagated
+over the links. Then SQL joins adjacent dense cells: what one label holds in a cell and another in the next cell of any
+direction is linked if their first vectors are, and minimum labels are propagated again. A check of every vector with
+all those that have another label, in blocked products, follows; it merges labels that a link still joins, so the
+result doesn't depend on how many links the grids find.
 """
 
 from __future__ import annotations
@@ -92,6 +94,26 @@ def cell_links(cells: DataFrame, threshold: float) -> DataFrame:
     return cells.repartition(n, "cell").sortWithinPartitions("cell", "id").mapInPandas(link, "a long, b long")
 
 
+def adjacent_links(cells: DataFrame, labels: DataFrame, distinct: DataFrame, steps: list[tuple[int, int]], threshold: float) -> DataFrame:
+    """Links (a, b) between labels that hold two vectors or more in adjacent cells, if the cosine of their first vectors
+    there is at least the threshold. Cells (grid, cell, id) are adjacent if they differ by one of the grid's ``steps``
+    (grid, step); a cell holds few labels by chance, so the join stays near the number of cells times the directions."""
+    spark = cells.sparkSession
+    parts = cut(cells.join(labels, "id").groupBy("grid", "cell", "label").agg(F.min("id").alias("rep"), F.count("*").alias("m")).where("m > 1"), "dense-parts")
+    moves = spark.createDataFrame(steps, "grid int, step long")  # a row a grid and direction
+    asked = parts.join(F.broadcast(moves), "grid").select("grid", (F.col("cell") + F.col("step")).alias("cell"), F.col("label").alias("a"), F.col("rep").alias("ra"))
+    met = asked.join(parts.select("grid", "cell", F.col("label").alias("b"), F.col("rep").alias("rb")), ["grid", "cell"]).where("a <> b").select("a", "b", "ra", "rb").distinct()
+    vec = distinct.select("id", "vec")
+    both = met.join(vec.select(F.col("id").alias("ra"), F.col("vec").alias("va")), "ra").join(vec.select(F.col("id").alias("rb"), F.col("vec").alias("vb")), "rb")
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pdf[["a", "b"]][np.einsum("id,id->i", unit(matrix(pdf["va"])), unit(matrix(pdf["vb"]))).round(9) >= threshold]
+
+    return both.select("a", "b", "va", "vb").mapInPandas(near, "a long, b long")
+
+
 def label_links(labelled: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between labels of vectors (id, vec, label) that join all labels with a cosine >= threshold between
     their vectors. Rows and columns of one label are passed over; a task emits no link between labels that it has
@@ -155,6 +177,12 @@ def label_links(labelled: DataFrame, threshold: float) -> DataFrame:
     return out
 
 
+def dims_of(vectors: DataFrame) -> int:
+    """Elements of the vectors, which all have the same number."""
+    first = vectors.select(F.length("vec").alias("b")).limit(1).collect()
+    return first[0]["b"] // 4 if first else 1
+
+
 def group_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding", threshold: float = 0.8, grids: int = GRIDS, width: float = WIDTH) -> DataFrame:
     """(id, grupo, copies, rep): the group of every usable vector, named after its smallest id.
 
@@ -166,6 +194,11 @@ def group_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding",
     n = distinct.count()
     dims = grid_dims(n)
 
+    dim = dims_of(distinct)
+
+    def mix(g: int) -> np.ndarray:  # a cell is a sum over its coordinates, so that the next cell is a step away
+        return np.random.default_rng(77 + g).integers(1, 2**54, min(dims, dim), dtype=np.int64)
+
     def quantise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
@@ -173,18 +206,20 @@ def group_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding",
                 for g in range(grids):
                     p = u @ directions(u.shape[1], dims, 5000 + g)
                     q = np.floor((p + np.random.default_rng(g).uniform(0, width, p.shape[1])) / width).astype(np.int64)
-                    mix = np.random.default_rng(77 + g).integers(1, 2**62, q.shape[1], dtype=np.int64) | 1
-                    yield pd.DataFrame({"cell": (q * mix).sum(axis=1) + g, "id": pdf["id"]})
-
-    cells = cut(distinct.select("id", "vec").mapInPandas(quantise, "cell long, id long"), "cells")
-    counts = cells.groupBy("cell").agg(F.count("*").alias("size"))
-    dense = counts.where("size > 1")
-    placed = cells.join(dense, "cell").withColumn("salt", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / CHUNK)).cast("long"))
-    split = placed.select(F.xxhash64("cell", "salt").alias("cell"), "id").join(distinct.select("id", "vec"), "id")
-    found = components(cell_links(split, threshold))
-    labelled = cut(distinct.join(found, "id", "left").select("id", "vec", F.coalesce("label", "id").alias("label")), "labelled")
-    merged = components(label_links(labelled, threshold)).select(F.col("id").alias("label"), F.col("label").alias("to"))
-    labels = labelled.select("id", "label").join(merged, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+                    yield pd.DataFrame({"grid": np.int32(g), "cell": (q * mix(g)).sum(axis=1), "id": pdf["id"]})
+
+    cells = cut(distinct.select("id", "vec").mapInPandas(quantise, "grid int, cell long, id long"), "cells")
+    dense = cells.groupBy("grid", "cell").agg(F.count("*").alias("size")).where("size > 1")
+    placed = cells.join(dense, ["grid", "cell"]).withColumn("salt", F.pmod(F.xxhash64("grid", "cell", "id"), F.ceil(F.col("size") / CHUNK)).cast("long"))
+    split = placed.select(F.xxhash64("grid", "cell", "salt").alias("cell"), "id").join(distinct.select("id", "vec"), "id")
+
+    def renamed(labels: DataFrame, links: DataFrame) -> DataFrame:
+        merged = components(links).select(F.col("id").alias("label"), F.col("label").alias("to"))
+        return cut(labels.join(merged, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+
+    labels = renamed(distinct.select("id", F.col("id").alias("label")), cell_links(split, threshold))
+    labels = renamed(labels, adjacent_links(cells, labels, distinct, [(g, int(x)) for g in range(grids) for x in mix(g)], threshold))
+    labels = renamed(labels, label_links(cut(distinct.join(labels, "id").select("id", "vec", "label"), "labelled"), threshold))
     of_rep = distinct.select("id", "copies").join(labels, "id").select(F.col("id").alias("rep"), F.col("label").alias("grupo"), "copies")
     return members.join(of_rep, "rep").select("id", "grupo", "copies", "rep")
 

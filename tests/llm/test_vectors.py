@@ -131,7 +131,16 @@ def test_groups_against_brute_force(spark, monkeypatch, chunk):
         monkeypatch.setattr(source, "CHUNK", chunk)  # hot cells are split; links between parts come through their heads
     got = {r["id"]: r["grupo"] for r in G.group_vectors(df).collect()}
     assert set(got) == set(want)
-    assert sum(got[i] == want[i] for i in want) / len(want) > (0.99 if chunk == 3072 else 0.9)
+    assert sum(got[i] == want[i] for i in want) / len(want) > 0.99
+
+
+def test_adjacent_dense_cells_are_joined(spark):
+    x = np.array([[np.cos(t), np.sin(t)] for t in np.linspace(0.0, 1.2, 40)], dtype=np.float32)
+    distinct, _ = G.fold(G.usable(table(spark, list(enumerate(x))), "vec_id", "embedding"))
+    cells = spark.createDataFrame([(0, 100 + i // 10 * 7, i) for i in range(40)], "grid int, cell long, id long")
+    labels = spark.createDataFrame([(i, i // 10 * 10) for i in range(40)], "id long, label long")
+    links = {tuple(r) for r in G.adjacent_links(cells, labels, distinct, [(0, 7), (1, 14)], 0.8).collect()}
+    assert links == {(0, 10), (10, 20), (20, 30)}
 
 
 def components_of(x, threshold):
