@@ -43,6 +43,15 @@ def test_lost_letters_come_back_where_one_value_fits(spark):
     assert got == {"b": "Peñalba Ruidíaz, José", "c": None}
 
 
+def test_every_letter_beyond_ascii_competes():
+    coder = G.Coder({"es": [*NAMES, "VILLÀ SOLARES, ANA", "ELCHÀ PEÑALBA, JOSÉ", *(f"Pérez {x}, Luz" for x in SURNAMES)] * 3, "pt": ["Magalhães, Ângelo", "Gonçalves, João"]})
+    for text in ("VILLÀ SOLARES, ANA", "Pérez Solares, Luz"):
+        for written, read in (("utf-8", "latin-1"), ("cp1252", "cp850")):
+            if written == "utf-8" or text[0] == "P":
+                assert G.restore(read_as(text, written, read), coder)[0] == text, (text, written)
+    assert [G.restore(x, coder)[2] for x in ("Peñalba Ruidíaz, José", "Magalhães, Ângelo", "Sol?res, Ana", "??igo Solares, Ana", "? | ?")] == [False, False, True, True, False]
+
+
 def test_people(spark):
     same = ["Solares Peñalba, Ana Luz", "SOLARES PENALBA, ANA LUZ", "Ana Luz Solares Peñalba", "Solares, Peñalba Ana Luz", "Dra. Solares Peñalba, Ana Luz", "Solares Peñalba, A. L.", "Solares Peñalba, Ana Luz, 1950", "Solares de Peñalba, Ana Luz", "Solares-Peñalba, Ana Luz", "Peñalba Solares, Ana Luz", "Solares P., Ana Luz", "Solares Peñalva, Ana Luz", "S0lares Peñalba, Ana Luz", "Solares Peñalba, A. L. (Ana Luz)"]
     other = ["Solares Peñalba, Ramón Andrés", "Solares Mireda, Inés Luz", "Taller de Oficios y Memoria"]
