@@ -24,8 +24,8 @@ from lumbrera.operators.packed import shape
 from lumbrera.plans.lineage import cut, spread
 
 #: Intact values cut for training, at most; hashed weights; a length is a limit from so many
-#: values, and so many times its neighbours; rounds in which values found cut leave the negatives.
-SAMPLE, SLOTS, LIMIT_VALUES, LIMIT_FACTOR, PASSES = 30_000, 1 << 16, 12, 3.0, 3
+#: values, and so many times its neighbours; rounds in which values found cut leave the negatives; limits a value draws.
+SAMPLE, SLOTS, LIMIT_VALUES, LIMIT_FACTOR, PASSES, DRAWS = 30_000, 1 << 16, 12, 3.0, 3, 16
 _PART = re.compile(r"\s[ye&/]\s|\s//\s|[|;\n\r\t]|(?<=\")\s*,\s*(?=\")")
 _WORD = re.compile(r"[^\s,|;/&\"()\[\].…]+\.?")
 
@@ -64,10 +64,11 @@ def slots(names: list[str]) -> np.ndarray:
 
 
 def train(rows: np.ndarray, y: np.ndarray, epochs: int = 8, rate: float = 0.15, ridge: float = 1e-5) -> np.ndarray:
-    """Weights of a logistic regression over rows of slots (equally many each), by Adagrad in a fixed order."""
-    w, g2 = np.zeros(SLOTS), np.full(SLOTS, 1e-6)
+    """Weights of a logistic regression over rows of slots (equally many each), by Adagrad in a fixed order; the mean
+    over the second half of the epochs, which hangs less on the order."""
+    w, g2, mean = np.zeros(SLOTS), np.full(SLOTS, 1e-6), np.zeros(SLOTS)
     rng = np.random.default_rng(7)
-    for _ in range(epochs):
+    for epoch in range(epochs):
         order = rng.permutation(len(y))
         for k in range(0, len(y), 128):
             i = order[k : k + 128]
@@ -79,7 +80,9 @@ def train(rows: np.ndarray, y: np.ndarray, epochs: int = 8, rate: float = 0.15,
             step = total[touched] + ridge * w[touched]
             g2[touched] += step * step
             w[touched] -= rate * step / np.sqrt(g2[touched])
-    return w
+        if epoch >= epochs // 2:
+            mean += w
+    return mean / (epochs - epochs // 2)
 
 
 def prior(bins: np.ndarray, counts: np.ndarray, trained: float = 0.5) -> float:
@@ -104,15 +107,25 @@ def _core(v: str) -> Column:
     return F.regexp_replace(F.col(v), r"\s*(…|\.\.\.)$", "")
 
 
-def _limits(lengths: DataFrame) -> DataFrame:
-    """(origen, unit, size, natural): lengths that stand out from those just below and that little exceeds, with the
-    share of values of that length that would be expected without a limit."""
-    hist = lengths.groupBy("origen", "unit", "size").agg(F.count("*").alias("c"))
-    w = Window.partitionBy("origen", "unit").orderBy("size")
-    wide = hist.withColumn("below", F.coalesce(F.sum("c").over(w.rangeBetween(-4, -1)), F.lit(0)) / 4.0).withColumn("above", F.coalesce(F.sum("c").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
-    out = wide.where((F.col("c") >= LIMIT_VALUES) & (F.col("c") > LIMIT_FACTOR * (F.col("below") + 1)) & (F.col("above") < F.col("c")))
-    # Damage after the cut (a space trimmed, a letter recoded) spreads a limit a little: the commonest one counts.
-    return out.groupBy("origen", "unit").agg(F.max_by(F.struct("size", (F.col("below") / F.col("c")).alias("natural")), F.struct("c", "size")).alias("x")).select("origen", "unit", "x.size", "x.natural")
+def _limits(lengths: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(origen, unit, size, natural): lengths at which a source stops, with the share of values of that length that
+    would be expected without a limit.
+
+    The last limit of a source stands out from the lengths just below it and little exceeds it; damage after the cut (a
+    space trimmed, a letter recoded) spreads it a little, so the commonest one counts. Any other field limit stands out,
+    among different values, from the lengths on both sides."""
+    near = Window.partitionBy("origen", "unit").orderBy("size")
+
+    def wide(rows: DataFrame) -> DataFrame:
+        hist = rows.groupBy("origen", "unit", "size").agg(F.count("*").alias("c"))  # a row a length, whatever the number of values
+        below = F.coalesce(F.sum("c").over(near.rangeBetween(-4, -1)), F.lit(0)) / 4.0
+        return hist.withColumn("below", below).withColumn("next", F.coalesce(F.sum("c").over(near.rangeBetween(1, 4)), F.lit(0)) / 4.0).withColumn("above", F.coalesce(F.sum("c").over(near.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
+
+    out = (F.col("c") >= LIMIT_VALUES) & (F.col("c") > LIMIT_FACTOR * (F.col("below") + 1))
+    natural = (F.col("below") / F.col("c")).alias("natural")
+    last = wide(lengths).where(out & (F.col("above") < F.col("c"))).groupBy("origen", "unit").agg(F.max_by(F.struct("size", natural), F.struct("c", "size")).alias("x")).select("origen", "unit", "x.size", "x.natural")
+    inner = wide(distinct).where(out & (F.col("c") > LIMIT_FACTOR * (F.col("next") + 1)) & (F.col("above") >= F.col("c"))).select("origen", "unit", "size", natural)
+    return last.unionByName(inner.join(last.select("origen", "unit", "size"), ["origen", "unit", "size"], "left_anti"))
 
 
 def find_truncated(df: DataFrame, key: str, column: str, source: str, display: str | None = None, principal: str | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -130,16 +143,17 @@ def find_truncated(df: DataFrame, key: str, column: str, source: str, display: s
     held = F.when(F.col("d") == "", -1).otherwise(F.greatest(F.lit(0), F.least(F.lit(3), letters("d") - letters("v"))))
     base = cut(spread(base.select("k", "origen", "v", held.cast("int").alias("held"), first.cast("int").alias("first"))), "values")
     sizes = lambda d: d.select("origen", F.explode(F.array(F.struct(F.lit("c").alias("unit"), F.length(_core("v")).alias("size")), F.struct(F.lit("b").alias("unit"), F.octet_length(_core("v")).alias("size")))).alias("s")).select("origen", "s.unit", "s.size")
-    limits = cut(_limits(sizes(base)), "limits")
-    wide = limits.groupBy("origen").agg(F.max(F.when(F.col("unit") == "c", F.col("size"))).alias("lc"), F.max(F.when(F.col("unit") == "b", F.col("size"))).alias("lb"), F.max("natural").alias("natural"))
+    limits = cut(_limits(sizes(base), sizes(base.select("origen", "v").distinct())), "limits")
+    of = lambda u: F.collect_set(F.when(F.col("unit") == u, F.col("size")))  # noqa: E731  (few limits a source and unit)
+    wide = limits.groupBy("origen").agg(of("c").alias("lc"), of("b").alias("lb"), F.max("natural").alias("natural"))
     inner = base.select("v").distinct().select(F.explode(F.filter(F.split(F.lower(F.regexp_replace("v", r'[^\s,|;/&"()\[\].…]+[\s,|;/&"()\[\].…]*$', "")), r'[\s,|;/&"()\[\].…]+'), lambda x: x != "")).alias("w"))
     known = cut(inner.groupBy("w").agg(F.count("*").alias("known")), "known-words")
 
     def prepared(rows: DataFrame) -> DataFrame:
         out = rows.withColumn("w", _last_word(F.col("v"))).join(known, "w", "left").join(wide, "origen", "left")
-        at = lambda n, c: F.coalesce(n == F.col(c), F.lit(False))
+        at = lambda n, c: F.coalesce(F.array_contains(c, n), F.lit(False))
         chars, size = F.length(_core("v")), F.octet_length(_core("v"))
-        near = F.coalesce(chars.between(F.col("lc") - 2, F.col("lc") - 1), F.lit(False)) | F.coalesce(size.between(F.col("lb") - 2, F.col("lb") - 1), F.lit(False))
+        near = F.coalesce(F.exists("lc", lambda x: chars.between(x - 2, x - 1)), F.lit(False)) | F.coalesce(F.exists("lb", lambda x: size.between(x - 2, x - 1)), F.lit(False))
         return out.select(*rows.columns, F.coalesce("known", F.lit(0)).alias("known"), at(chars, "lc").alias("ac"), at(size, "lb").alias("ab"), near.alias("near"), F.coalesce("natural", F.lit(0.0)).alias("natural"))
 
     def rows_of(pdf: pd.DataFrame) -> np.ndarray:
@@ -153,8 +167,12 @@ def find_truncated(df: DataFrame, key: str, column: str, source: str, display: s
     at_random = apart.where((n > 8) & (dice(10, 2) < 6)).withColumn("to", F.greatest(F.lit(5), (n * (F.lit(0.25) + dice(75, 3) / 100.0)).cast("int")))
     hanging = F.regexp_extract("v", r"^(.{4,}(?:,|\s[|;/&]|;))\s*\S", 1)
     at_random = at_random.withColumn("v", F.concat(F.rtrim(F.expr("substring(v, 1, to)")), F.when(dice(8, 4) == 0, "…").when(dice(8, 4) == 1, "...").otherwise("")))
-    # Cuts at a limit: a value too long for a source that has one, as that source would keep it.
-    held_to = chosen.crossJoin(F.broadcast(limits.withColumnRenamed("origen", "o").orderBy(F.desc("size"), "o", "unit").limit(200))) if limits.limit(1).count() else None
+    # Cuts at a limit: a value too long for a source that has one, as that source would keep it. Each value draws DRAWS
+    # limits, all sources alike.
+    count = limits.count()
+    placed = limits.select(F.col("origen").alias("o"), "unit", "size", (F.row_number().over(Window.orderBy("origen", "unit", "size")) - 1).alias("at"))  # a few rows a source
+    drawn = chosen.withColumn("at", F.explode(F.array_distinct(F.array(*[F.pmod(F.xxhash64("k", F.lit(100 + i)), F.lit(max(count, 1))) for i in range(DRAWS)])))).withColumn("at", F.col("at").cast("int"))
+    held_to = drawn.join(placed, "at") if count else None
     hung = apart.where((dice(6, 6) == 0) & (F.length(hanging) > 0)).withColumn("v", hanging)  # cut just behind a separator
     training = at_random.select("k", "origen", "v", "held", "first").unionByName(hung.select("k", "origen", "v", "held", "first")).withColumn("y", F.lit(1))
     if held_to is not None:
