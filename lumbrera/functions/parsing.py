@@ -82,3 +82,18 @@ def references(text: str | None, most: int = 15) -> list[str]:
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def reference_lines(s: pd.Series) -> pd.Series:
     return s.map(references)
+
+
+def origin(note: Column, home: str) -> Column:
+    """Where a document comes from by its note: ``home`` in it means our own, any other note another institution."""
+    return F.when(F.coalesce(note, F.lit("")).contains(home), "propia").when(F.coalesce(F.trim(note), F.lit("")) != "", "externa/incorporada").otherwise("")
+
+
+def normalised(body: Column, fields: dict[str, tuple[Sequence[str], str, str]]) -> Column:
+    """struct: a JSON object's fields under their standard names. ``fields`` maps a name to (names it may have, in order
+    of preference, its type, its default as text); what is missing, null or of another type takes the default."""
+    out = []
+    for name, (aliases, kind, default) in fields.items():
+        found = [F.get_json_object(body, f"$.{a}").try_cast(kind) for a in aliases]
+        out.append(F.coalesce(*found, F.lit(default).cast(kind)).alias(name))
+    return F.struct(*out)

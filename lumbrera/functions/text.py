@@ -38,8 +38,8 @@ def unaccent(c: Column) -> Column:
 
 @F.pandas_udf(T.StringType())
 def unaccent_any(s: pd.Series) -> pd.Series:
-    """Any letters without combining marks. Runs in Python, by Arrow batches."""
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c)))
+    """Any letters without combining marks. Runs in Python, by Arrow batches; ASCII passes untouched."""
+    return s.map(lambda x: x if x is None or x.isascii() else "".join(c for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c)))
 
 
 @F.pandas_udf(T.StringType())
@@ -86,7 +86,7 @@ def clean_list(c: Column, sep: str = r"\|") -> Column:
 
 def invert_name(c: Column) -> Column:
     """``A, B`` becomes ``B A``; a name without a comma stays."""
-    return F.when(F.instr(c, ",") > 0, F.trim(F.concat_ws(" ", F.trim(F.regexp_extract(c, r"^[^,]*,(.*)$", 1)), F.trim(F.substring_index(c, ",", 1))))).otherwise(F.trim(c))
+    return F.when(F.instr(c, ",") > 0, F.trim(F.concat_ws(" ", F.trim(F.regexp_extract(c, r"(?s)^[^,]*,(.*)$", 1)), F.trim(F.substring_index(c, ",", 1))))).otherwise(F.trim(c))
 
 
 def two_segments(c: Column) -> Column:
@@ -136,19 +136,28 @@ def objectives(c: Column) -> Column:
 
 
 def sanitise(c: Column) -> Column:
-    """Free text made safe to show: control and format characters gone, angle brackets harmless, runs of the same
-    non-digit unit cut to three, white space single. Compose beforehand (see compose) for compatibility forms."""
-    out = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\p{Cc}\p{Cf}&&[^\n\t]]", "")
+    """Free text made safe to show: control, format and private characters gone, angle brackets harmless, runs of the
+    same non-digit unit cut to three, runs of blanks single. Line breaks stay, at most two together, without blanks
+    around them. Compose beforehand (see compose) for compatibility forms."""
+    out = F.translate(F.coalesce(c, F.lit("")), "\t\r", "  ")
+    out = F.regexp_replace(out, r"[\p{Cc}\p{Cf}\p{Co}\p{Cs}&&[^\n]]", "")
     out = F.translate(out, "<>", "‹›")
-    out = F.regexp_replace(out, r"(\D{1,40}?)\1{4,}", "$1$1$1")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    for pattern, to in ((r"(?s)(\D{1,40}?)\1{4,}", "$1$1$1"), ("[ \u00a0]{2,}", " "), (" *\n *", "\n"), ("\n{3,}", "\n\n"), (r"^\s+|\s+$", "")):
+        out = F.regexp_replace(out, pattern, to)
+    return out
 
 
-#: Openings that try to give orders to a reader of the text.
+#: Patterns of texts that try to give orders to a reader, looked for after sanitise().
 INJECTIONS = (
-    r"(?i)ignora\w*\s+(?:\w+\s+){0,3}instrucciones", r"(?i)ignore\s+(?:\w+\s+){0,3}instructions", r"(?i)system\s*prompt", r"(?i)\bact[úu]a\s+como\b",
-    r"(?i)\byou\s+are\s+now\b", r"(?i)</?\s*(?:system|assistant|user)\s*>", r"(?i)olvida\s+(?:\w+\s+){0,3}anterior", r"(?i)\bjailbreak\b",
-)
+    r"(?i)\b(ignora|olvida|omite|descarta)\w*\s+(\w+\s+){0,3}(instrucci|indicaci|reglas|anterior)",
+    r"(?i)\b(ignore|disregard|forget)\s+(\w+\s+){0,3}(instructions|rules|previous|above)",
+    r"(?i)\b(system|developer)\s*(prompt|message|mensaje)",
+    r"(?i)\bprompt\s+(del\s+)?sistema\b",
+    r"(?im)^\s*(system|assistant|user|sistema|asistente)\s*:",
+    r"(?i)\b(act[úuÚ]a|comp[óoÓ]rtate|responde)\s+como\b",
+    r"(?i)\b(you are now|from now on|a partir de ahora eres)\b",
+    r"(?i)‹/?\s*(entrada_usuario|system|instructions?|instrucciones)",
+)
 
 
 def injection_count(*cs: Column) -> Column:
@@ -185,9 +194,13 @@ def rate_key(ip: Column) -> Column:
     return F.when(ip.contains(":"), F.concat(F.array_join(F.slice(F.split(F.regexp_replace(ip, "::", ":0:0:0:0:"), ":"), 1, 4), ":"), F.lit("::/64"))).otherwise(ip)
 
 
+#: Letters that sound alike in Spanish, in the order in which they become one; 1 stands for ch.
+SOUNDS = (("[^a-z]", ""), ("ch", "1"), ("ll", "y"), ("qu", "k"), ("ph", "f"), ("c(?=[ei])", "s"), ("c", "k"), ("z", "s"), ("v", "b"), ("w", "u"), ("h", ""), ("y", "i"))
+
+
 def phonetic(c: Column) -> Column:
-    """Spanish sound key: letters that sound alike become one, doubled letters single."""
+    """Spanish sound key of all words together: letters that sound alike become one, doubled letters single."""
     out = unaccent(F.lower(c))
-    for a, b in (("[^a-z ]", ""), ("ll", "y"), ("qu", "k"), ("gu([ei])", "g$1"), ("g([ei])", "j$1"), ("c([ei])", "s$1"), ("[zx]", "s"), ("v", "b"), ("h", ""), ("c", "k"), (r"(.)\1+", "$1")):
+    for a, b in (*SOUNDS, (r"(.)\1+", "$1")):
         out = F.regexp_replace(out, a, b)
     return out

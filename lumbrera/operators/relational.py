@@ -106,10 +106,10 @@ def cap_per_title(df: DataFrame, group: str, title: str, order: Sequence[Column]
 
 
 def dense_codes(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): non-empty values in alphabetical order as 1, 2, ...; what is missing has code 0. Values are
-    distinct before they are ranked, so the one task that ranks them sees no repeated rows."""
+    """(value, code): non-empty values in alphabetical order as 1, 2, ...; what is missing has code 0. Distinct values
+    are numbered in two steps (see ids_over), so that no task sees them all."""
     v = df.select(X.nonempty(F.col(column)).alias("value")).where("value IS NOT NULL").distinct()
-    return v.withColumn("code", F.row_number().over(Window.orderBy("value")).cast("long"))
+    return ids_over(v, [F.col("value")], "%d").select("value", F.col("new_id").cast("long").alias("code"))
 
 
 def year_spine(counts: DataFrame, year: str, n: str) -> DataFrame:

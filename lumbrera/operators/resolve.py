@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from lumbrera.functions import text as X
 from lumbrera.operators.graph import relabel
-from lumbrera.operators.relational import keep_first
+from lumbrera.operators.relational import ids_over, keep_first
 from lumbrera.plans.lineage import cut
 
 #: Titles, particles.
@@ -210,7 +210,7 @@ def catalogue(groups: DataFrame) -> DataFrame:
     accents = F.length("display") - F.length(F.regexp_replace("display", "[áéíóúüñÁÉÍÓÚÜÑ]", ""))
     best = keep_first(good, ["label"], F.desc(F.size("ap") + F.size("no")), F.desc("n"), F.desc(accents), F.col("display"))
     named = best.select("label", F.col("display").alias("nombre"), "n_tesis", "n_variantes")
-    return named.withColumn("asesor_id", F.row_number().over(Window.orderBy(F.desc("n_tesis"), "nombre", "label")).cast("long"))
+    return ids_over(named, [F.desc("n_tesis"), F.col("nombre"), F.col("label")], "%d").withColumn("asesor_id", F.col("new_id").cast("long")).drop("new_id")
 
 
 def suspicious(groups: DataFrame) -> DataFrame:

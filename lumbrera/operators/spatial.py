@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,23 +59,50 @@ def nearest_in_plane(queries: DataFrame, points: DataFrame, k: int, cell: float,
     return top_per(d, ["src"], k, F.col("dist"), F.col("dst")).select("src", "dst", "dist", F.col("rank").cast("long").alias("rank"), (F.col("dist") <= reach * cell).alias("exact"))
 
 
-def k_nearest(queries: DataFrame, points: DataFrame, k: int, cell: float, most: int = 12) -> DataFrame:
-    """As nearest_in_plane, widened for queries whose k-th neighbour may lie beyond the cells looked at; those left
-    after ``most`` doublings of the reach (fewer than k other points) keep what they have."""
+def k_nearest(queries: DataFrame, points: DataFrame, k: int, cell: float, most: int = 16) -> DataFrame:
+    """As nearest_in_plane, widened for queries whose k-th neighbour may lie beyond the cells looked at. Queries that
+    ``most`` cells in every direction can't answer (far points, or fewer than k others) are compared with all points,
+    so every answer is exact however the points lie."""
     from lumbrera.plans.lineage import cut
 
     out, left, reach = None, queries, 1
     total = points.count()
-    for _ in range(most):
+    while reach <= most:
         got = cut(nearest_in_plane(left, points, k, cell, reach), "plane")
         sure = got.groupBy("src").agg(F.count("*").alias("n"), F.min(F.col("exact").cast("int")).alias("e")).where((F.col("e") == 1) & (F.col("n") >= min(k, total - 1)))
-        done = got.join(sure.select("src"), "src", "left_semi")
+        done = got.join(sure.select("src"), "src", "left_semi").drop("exact")
         out = done if out is None else out.unionByName(done)
         left = left.join(sure.select(F.col("src").alias("id")), "id", "left_anti")
         if not left.limit(1).count():
-            return out.drop("exact")
-        reach *= 2
-    return out.unionByName(got.join(left.select(F.col("id").alias("src")), "src", "left_semi")).drop("exact")
+            return out
+        reach *= 4
+    return out.unionByName(_by_all(cut(left.select("id", "x", "y"), "plane-left"), points, k))
+
+
+def _by_all(queries: DataFrame, points: DataFrame, k: int, block: int = 4096) -> DataFrame:
+    """(src, dst, dist, rank) of queries compared with all points, in blocks of queries of bounded size, a pass each."""
+    spark = points.sparkSession
+    rounds = max(1, -(-queries.count() // block))
+    out = None
+    for r in range(rounds):
+        part = queries.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).toPandas()
+        shared = spark.sparkContext.broadcast((part["id"].to_numpy(), part[["x", "y"]].to_numpy(float)))
+
+        def nearest(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            ids, q = shared.value
+            for pdf in batches:
+                own, p = pdf["id"].to_numpy(), pdf[["x", "y"]].to_numpy(float)
+                for lo in range(0, len(own) if len(ids) else 0, 2048):
+                    d = np.sqrt(((q[:, None] - p[None, lo : lo + 2048]) ** 2).sum(axis=2)).round(6)
+                    d[ids[:, None] == own[None, lo : lo + 2048]] = np.inf
+                    last = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
+                    i, j = np.nonzero((d <= last[:, None]) & np.isfinite(d))
+                    yield pd.DataFrame({"src": ids[i], "dst": own[lo + j], "dist": d[i, j]})
+
+        kind = queries.schema["id"].dataType.simpleString(), points.schema["id"].dataType.simpleString()
+        found = points.select("id", "x", "y").mapInPandas(nearest, f"src {kind[0]}, dst {kind[1]}, dist double")
+        out = found if out is None else out.unionByName(found)
+    return top_per(out, ["src"], k, F.col("dist"), F.col("dst")).select("src", "dst", "dist", F.col("rank").cast("long").alias("rank"))
 
 
 def confusion(voted: DataFrame, truth: str, guess: str) -> DataFrame:

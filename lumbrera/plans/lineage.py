@@ -12,26 +12,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where none is set (tests, local mode)."""
+    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where none is set in local mode. On a cluster
+    a folder that other machines can't see would lose what was cut, so there it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = found.get() if found.isDefined() else None
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="lumbrera-")
         spark.sparkContext.setCheckpointDir(base)
     return base
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes when the driver ends."""
+    sc = spark.sparkContext
+    path = f"{shared_dir(spark).rstrip('/')}/lumbrera/{sc.applicationId}/{label}-{uuid.uuid4().hex[:10]}"
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` as a table to the shared folder and reads it back: the plan behind it ends there and a lost
     executor costs nothing but the tasks it ran. The files go when the driver ends."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    path = f"{shared_dir(spark).rstrip('/')}/lumbrera/{sc.applicationId}/{label}-{uuid.uuid4().hex[:10]}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hpath)
     return spark.read.schema(df.schema).parquet(path)
 
 

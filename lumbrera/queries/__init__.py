@@ -34,10 +34,10 @@ def queries_of(names: dict) -> dict[str, tuple]:
 
 
 def catalogue() -> dict[str, tuple]:
-    from lumbrera.queries import aggregates, contexts, groups, packed, relational, state, texts, vectors
+    from lumbrera.queries import aggregates, contexts, groups, inputs, packed, relational, state, texts, vectors
 
     out: dict[str, tuple] = {}
-    for module in (packed, relational, aggregates, vectors, texts, groups, state, contexts):
+    for module in (packed, relational, aggregates, vectors, texts, groups, state, contexts, inputs):
         out |= module.QUERIES
     return out
 

@@ -115,7 +115,11 @@ def pivot_year_status(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "marc_status_log").groupBy("target_year").pivot("download_status", ["success_metadata", "failed"]).agg(F.count(F.lit(1))).na.fill(0, ["success_metadata", "failed"])
 
 
-_COV = ("thesis_id", "biblionumber", "año", "titulo_limpio", "asesores_limpios_v2", "autores_limpios_v2", "programa", "area", "plantel_estandarizado", "entidad_clean", "texto_completo_url", "materia general")
+_COV = (
+    "source_record", "thesis_id", "thesis_id_old", "id_aleph", "biblionumber", "system_number", "año", "título", "titulo_limpio", "titulo_normalizado", "autores_limpios_v2", "autor_limpio_v2", "autores_display", "autor_display", "autor_ui",
+    "num_autores", "flag_sin_autor", "flag_multiples_autores", "asesores_limpios_v2", "asesor_limpio_v2", "asesores_display", "asesor_display", "asesor_ui", "num_asesores", "flag_sin_asesor", "flag_multiples_asesores", "grado", "grado_norm",
+    "nivel_estandar", "programa", "area", "origen", "universidad_nota", "entidad_clean", "plantel_estandarizado", "plantel_display", "texto_completo_url", "restricciones", "tipo de contenido", "medio", "soporte", "descr física", "materia general",
+)
 
 
 @entry(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS total, count(nullif(trim(CAST(\"{c}\" AS VARCHAR)), '')) AS non_empty, round(count(nullif(trim(CAST(\"{c}\" AS VARCHAR)), '')) * 100.0 / count(*), 4) AS pct, count(DISTINCT nullif(trim(CAST(\"{c}\" AS VARCHAR)), '')) AS distinct_values FROM base7_kaggle_clean" for c in _COV))

@@ -10,7 +10,7 @@ from lumbrera.operators import textindex as N
 from lumbrera.operators import vectors as V
 from lumbrera.operators.relational import top_per
 from lumbrera.queries import base, entry, queries_of, table
-from lumbrera.queries.vectors import _T, near
+from lumbrera.queries.vectors import _T, _TE, near
 
 
 def _zones(n: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def zone_hint(spark: SparkSession, d: str) -> DataFrame:
     return _zones(near(spark, d)).drop("src")
 
 
-@entry()
+@entry(
+    f"WITH {_TE}, c AS (SELECT src, cluster, sum(sim * sim) AS w FROM near WHERE cluster >= 0 GROUP BY 1, 2), z AS (SELECT src, round(w / sum(w) OVER (PARTITION BY src), 3) AS pull FROM c), p AS (SELECT src, count(*) FILTER (pull >= 0.06) AS pulls FROM z GROUP BY 1) SELECT n.src, coalesce(pulls, 0) AS pulls, CASE WHEN coalesce(pulls, 0) <= 2 THEN 'definida' WHEN pulls <= 5 THEN 'frontera' ELSE 'dispersa' END AS zone FROM (SELECT DISTINCT src FROM near) n LEFT JOIN p ON p.src = n.src"
+)
 def zone_hint_each(spark: SparkSession, d: str) -> DataFrame:
     return _zones(near(spark, d, each=True))
 
@@ -42,7 +44,7 @@ def main_cluster(spark: SparkSession, d: str) -> DataFrame:
     return _main(near(spark, d)).drop("src")
 
 
-@entry()
+@entry(f"WITH {_TE}, c AS (SELECT src, cluster, count(*) AS n FROM near WHERE cluster >= 0 AND rank <= 20 GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY n DESC, cluster) AS k FROM c) SELECT src, cluster AS main_cluster, n FROM r WHERE k = 1")
 def main_cluster_each(spark: SparkSession, d: str) -> DataFrame:
     return _main(near(spark, d, each=True))
 

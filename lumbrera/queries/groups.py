@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbrera.functions import text as X
 from lumbrera.operators import clustering as C
 from lumbrera.operators import resolve as E
 from lumbrera.operators import vectors as V
@@ -18,10 +17,9 @@ def mentions(spark: SparkSession, d: str) -> DataFrame:
     return E.mentions(base(spark, d), "thesis_id", F.col("asesores_limpios_v2"), F.col("programa"))
 
 
-@entry("SELECT thesis_id, CAST(i AS INTEGER) AS orden, a[i] AS name FROM (SELECT thesis_id, a, unnest(generate_series(1, len(a))) AS i FROM (SELECT thesis_id, list_filter(list_transform(string_split(coalesce(asesores_display, ''), '|'), lambda x: trim(x)), lambda x: x <> '') AS a FROM base7_kaggle_clean) WHERE len(a) = len(list_distinct(a)))")
+@entry("WITH s AS (SELECT thesis_id, list_filter(list_transform(string_split(coalesce(asesores_display, ''), '|'), lambda x: trim(x)), lambda x: x <> '') AS a FROM base7_kaggle_clean), l AS (SELECT thesis_id, list_filter(a, lambda x, i: list_position(a, x) = i) AS a FROM s) SELECT thesis_id, CAST(i AS INTEGER) AS orden, a[i] AS name FROM (SELECT thesis_id, a, unnest(generate_series(1, len(a))) AS i FROM l)")
 def mention_rows(spark: SparkSession, d: str) -> DataFrame:
-    b = base(spark, d).where(F.size(X.split_list(F.col("asesores_display"))) == F.size(X.clean_list(F.col("asesores_display"))))
-    return E.mentions(b, "thesis_id", F.col("asesores_display"), F.col("programa")).select("thesis_id", "orden", "name")
+    return E.mentions(base(spark, d), "thesis_id", F.col("asesores_display"), F.col("programa")).select("thesis_id", "orden", "name")
 
 
 @entry()

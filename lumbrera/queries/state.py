@@ -24,7 +24,8 @@ def quota_admit(spark: SparkSession, d: str) -> DataFrame:
 
 @entry(
     "WITH t AS (SELECT event_id, user_id, ts, CAST(ts - INTERVAL 6 HOURS AS DATE) AS day, strftime(ts - INTERVAL 6 HOURS, '%Y-%m') AS month FROM events), u AS (SELECT *, row_number() OVER (PARTITION BY day, user_id ORDER BY ts, event_id) <= 2 AS u FROM t), s AS (SELECT *, row_number() OVER (PARTITION BY day, u ORDER BY ts, event_id) <= 100 AS s FROM u), "
-    "m AS (SELECT *, u AND s AS ok, row_number() OVER (PARTITION BY month, u AND s ORDER BY ts, event_id) <= 1500 AS m FROM s) SELECT event_id, CASE WHEN NOT u THEN 'user' WHEN NOT s THEN 'site' WHEN NOT m THEN 'month' ELSE '' END AS refused FROM m"
+    "m AS (SELECT *, CAST(u AND s AND row_number() OVER (PARTITION BY month, u AND s ORDER BY ts, event_id) <= 1500 AS INTEGER) AS a FROM s), c AS (SELECT *, sum(a) OVER (PARTITION BY month ORDER BY ts, event_id) - a AS in_month, sum(a) OVER (PARTITION BY day ORDER BY ts, event_id) - a AS in_day FROM m) "
+    "SELECT event_id, CASE WHEN a = 1 THEN '' WHEN in_month >= 1500 THEN 'month' WHEN in_day >= 100 THEN 'site' ELSE 'user' END AS refused FROM c"
 )
 def quota_levels(spark: SparkSession, d: str) -> DataFrame:
     return R.all_quotas(table(spark, d, "events"), "user_id", 1500, 100, 2).select("event_id", "refused")

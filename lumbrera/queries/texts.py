@@ -34,14 +34,14 @@ def upper_key(spark: SparkSession, d: str) -> DataFrame:
     return base(spark, d).select("thesis_id", X.upper_key(F.col("plantel_estandarizado"), "UAV").alias("k"))
 
 
-@entry("SELECT thesis_id, CASE WHEN contains(autor_limpio_v2, ',') THEN trim(trim(substr(autor_limpio_v2, strpos(autor_limpio_v2, ',') + 1)) || ' ' || trim(string_split(autor_limpio_v2, ',')[1])) ELSE trim(autor_limpio_v2) END AS nombre FROM base7_kaggle_clean WHERE autor_limpio_v2 IS NOT NULL AND NOT contains(autor_limpio_v2, chr(10))")
+@entry("SELECT thesis_id, CASE WHEN contains(autor_limpio_v2, ',') THEN trim(trim(substr(autor_limpio_v2, strpos(autor_limpio_v2, ',') + 1)) || ' ' || trim(string_split(autor_limpio_v2, ',')[1])) ELSE trim(autor_limpio_v2) END AS nombre FROM base7_kaggle_clean WHERE autor_limpio_v2 IS NOT NULL")
 def invert_name(spark: SparkSession, d: str) -> DataFrame:
-    return base(spark, d).where(F.col("autor_limpio_v2").isNotNull() & ~F.col("autor_limpio_v2").contains("\n")).select("thesis_id", X.invert_name(F.col("autor_limpio_v2")).alias("nombre"))
+    return base(spark, d).where("autor_limpio_v2 IS NOT NULL").select("thesis_id", X.invert_name(F.col("autor_limpio_v2")).alias("nombre"))
 
 
-@entry("WITH l AS (SELECT thesis_id, list_filter(list_transform(string_split(coalesce(asesores_display, ''), '|'), lambda x: trim(x)), lambda x: x <> '') AS a FROM base7_kaggle_clean) SELECT thesis_id, len(a) AS n, a[1] AS first, array_to_string(a, ' | ') AS joined FROM l WHERE len(a) = len(list_distinct(a))")
+@entry("WITH s AS (SELECT thesis_id, list_filter(list_transform(string_split(coalesce(asesores_display, ''), '|'), lambda x: trim(x)), lambda x: x <> '') AS a FROM base7_kaggle_clean), l AS (SELECT thesis_id, list_filter(a, lambda x, i: list_position(a, x) = i) AS a FROM s) SELECT thesis_id, len(a) AS n, a[1] AS first, array_to_string(a, ' | ') AS joined FROM l")
 def list_clean(spark: SparkSession, d: str) -> DataFrame:
-    a = base(spark, d).select("thesis_id", X.split_list(F.col("asesores_display")).alias("a")).where(F.size("a") == F.size(F.array_distinct("a")))
+    a = base(spark, d).select("thesis_id", X.clean_list(F.col("asesores_display")).alias("a"))
     return a.select("thesis_id", F.size("a").cast("long").alias("n"), F.get("a", F.lit(0)).alias("first"), F.array_join("a", " | ").alias("joined"))
 
 
@@ -79,10 +79,13 @@ def split_objectives(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(X.objectives(F.col("text"))).cast("long").alias("n"))
 
 
-_INJ = [p.replace("'", "''") for p in X.INJECTIONS]
+_ORDERS = (
+    "(?i)\\b(ignora|olvida|omite|descarta)\\w*\\s+(\\w+\\s+){0,3}(instrucci|indicaci|reglas|anterior)", "(?i)\\b(ignore|disregard|forget)\\s+(\\w+\\s+){0,3}(instructions|rules|previous|above)", "(?i)\\b(system|developer)\\s*(prompt|message|mensaje)", "(?i)\\bprompt\\s+(del\\s+)?sistema\\b",
+    "(?im)^\\s*(system|assistant|user|sistema|asistente)\\s*:", "(?i)\\b(act[úuÚ]a|comp[óoÓ]rtate|responde)\\s+como\\b", "(?i)\\b(you are now|from now on|a partir de ahora eres)\\b", "(?i)‹/?\\s*(entrada_usuario|system|instructions?|instrucciones)",
+)
 
 
-@entry("SELECT doc_id, " + " + ".join(f"CAST(regexp_matches(coalesce(text, ''), '{p}') AS INTEGER)" for p in _INJ) + " AS hits FROM documents")
+@entry("SELECT doc_id, " + " + ".join(f"CAST(regexp_matches(coalesce(text, ''), '{p}') AS INTEGER)" for p in _ORDERS) + " AS hits FROM documents")
 def injection_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", X.injection_count(F.coalesce("text", F.lit(""))).alias("hits"))
 

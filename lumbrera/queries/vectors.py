@@ -51,7 +51,7 @@ def query_topk(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d).select("id", F.round(V.dot(F.col("v"), qv), 4).alias("sim")).orderBy(F.desc("sim"), "id").limit(20)
 
 
-@entry()
+@entry(f"WITH {_E}, s AS (SELECT a.id AS src, b.id, round(list_inner_product(a.v, b.v), 4) AS sim FROM e a, e b WHERE a.id % 20 = 0), k AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, id) AS rank FROM s) SELECT src, id, sim, rank FROM k WHERE rank <= 20")
 def query_topk_each(spark: SparkSession, d: str) -> DataFrame:
     return V.knn(asked(spark, d), rows(spark, d), 20, exclude_self=False, decimals=4).select("src", F.col("dst").alias("id"), "sim", "rank")
 
@@ -194,6 +194,9 @@ def recall_at_k(spark: SparkSession, d: str) -> DataFrame:
 _T = "t AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM sample_50k_embeddings WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0), q AS (SELECT * FROM t ORDER BY id LIMIT 1), s AS (SELECT t.id, t.thesis_id, t.cluster, round(list_inner_product(t.e, q.e) / t.n / q.n, 4) AS sim FROM t, q WHERE t.id <> q.id), k AS (SELECT *, row_number() OVER (ORDER BY sim DESC, id) AS rank FROM s), near AS (SELECT k.*, b.\"año\" AS anio, b.programa, b.plantel_display, b.area, b.titulo_limpio, b.asesores_display FROM k LEFT JOIN base7_kaggle_clean b USING (thesis_id) WHERE rank <= 100)"
 
 
+_TE = "t AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM sample_50k_embeddings WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0), s AS (SELECT q.id AS src, t.id, t.thesis_id, t.cluster, round(list_inner_product(t.e, q.e) / t.n / q.n, 4) AS sim FROM t, t AS q WHERE q.id % 20 = 0 AND t.id <> q.id), k AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, id) AS rank FROM s), near AS (SELECT k.*, b.\"año\" AS anio, b.programa, b.plantel_display, b.area, b.titulo_limpio, b.asesores_display FROM k LEFT JOIN base7_kaggle_clean b USING (thesis_id) WHERE rank <= 100)"
+
+
 def _analysis(n: DataFrame) -> DataFrame:
     m = n.groupBy("src").agg(F.count("*").alias("neighbours"), F.count_if(F.col("cluster") >= 0).alias("grouped"), F.round(F.max("sim"), 4).alias("sim_max"), F.avg(F.when(F.col("rank") <= 10, F.col("sim"))).alias("mean10"))
     lead = V.vote(n.where("cluster >= 0"), ["src"], "cluster", 1).select("src", "cluster", "share")
@@ -209,7 +212,10 @@ def context_analysis(spark: SparkSession, d: str) -> DataFrame:
     return _analysis(near(spark, d)).drop("src")
 
 
-@entry()
+@entry(
+    f"WITH {_TE}, w AS (SELECT src, cluster, sum(sim * sim) AS w FROM near WHERE cluster >= 0 GROUP BY 1, 2), v AS (SELECT src, cluster, round(w / sum(w) OVER (PARTITION BY src), 3) AS share, row_number() OVER (PARTITION BY src ORDER BY round(w, 6) DESC, cluster) AS r FROM w), m AS (SELECT src, avg(sim) FILTER (rank <= 10) AS mean10, max(sim) AS top, count(*) FILTER (cluster >= 0) AS grouped, count(*) AS n FROM near GROUP BY 1) "
+    "SELECT m.src, n AS neighbours, grouped, round(top, 4) AS sim_max, round(mean10, 4) AS sim_mean10, v.cluster, v.share, CASE WHEN mean10 < 0.80 THEN 'ninguna' WHEN v.share >= 0.6 AND mean10 >= 0.86 THEN 'clara' WHEN v.share >= 0.35 THEN 'entre' ELSE 'dispersa' END AS lectura FROM m LEFT JOIN v ON v.src = m.src AND v.r = 1"
+)
 def context_analysis_each(spark: SparkSession, d: str) -> DataFrame:
     return _analysis(near(spark, d, each=True))
 
@@ -225,9 +231,48 @@ def advisor_rank(spark: SparkSession, d: str) -> DataFrame:
     return _advisors(near(spark, d)).drop("src", "rank").orderBy(F.desc("score"), "asesor")
 
 
-@entry()
+_ADV = "a AS (SELECT DISTINCT src, id, sim, anio, unnest(list_filter(list_transform(string_split(asesores_display, '|'), lambda x: trim(x)), lambda x: x <> '')) AS asesor FROM near WHERE trim(asesores_display) <> '')"
+
+
+@entry(f"WITH {_TE}, {_ADV}, g AS (SELECT src, asesor, count(*) AS n, round(sum(sim * sim), 4) AS score FROM a GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, asesor) AS rank FROM g) SELECT src, asesor, n, score, rank FROM r WHERE rank <= 15")
 def advisor_rank_each(spark: SparkSession, d: str) -> DataFrame:
-    return _advisors(near(spark, d, each=True))
+    return _advisors(near(spark, d, each=True)).withColumn("rank", F.col("rank").cast("long"))
+
+
+def _ranked(n: DataFrame) -> DataFrame:
+    """(src, rank, asesor, n, sim_max, ultimo, ejemplos): the 15 advisors of most neighbours, then of the nearest one,
+    then of the latest year, with the ids of three examples, the nearest first. A query has at most 100 neighbours."""
+    a = n.where(~X.missing(F.col("asesores_display"))).select("src", "id", "sim", "anio", F.explode(X.clean_list(F.col("asesores_display"))).alias("asesor"))
+    shown = F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "id"))), 1, 3), lambda x: x["id"])
+    g = a.groupBy("src", "asesor").agg(F.count("*").alias("n"), F.max("sim").alias("sim_max"), F.coalesce(F.max("anio"), F.lit(0)).alias("ultimo"), shown.alias("ejemplos"))
+    return top_per(g, ["src"], 15, F.desc("n"), F.desc("sim_max"), F.desc("ultimo"), F.col("asesor")).withColumn("rank", F.col("rank").cast("long"))
+
+
+@entry(
+    f"WITH {_TE}, {_ADV}, g AS (SELECT src, asesor, count(*) AS n, max(sim) AS sim_max, coalesce(max(anio), 0) AS ultimo, array_to_string(list_slice(list(id ORDER BY sim DESC, id), 1, 3), ',') AS ejemplos FROM a GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY n DESC, sim_max DESC, ultimo DESC, asesor) AS rank FROM g) SELECT src, rank, asesor, n, sim_max, ultimo, ejemplos FROM r WHERE rank <= 15"
+)
+def context_advisors(spark: SparkSession, d: str) -> DataFrame:
+    r = _ranked(near(spark, d, each=True))
+    return r.select("src", "rank", "asesor", "n", "sim_max", "ultimo", F.array_join(F.transform("ejemplos", lambda x: x.cast("string")), ",").alias("ejemplos"))
+
+
+@entry()
+def context_document(spark: SparkSession, d: str) -> DataFrame:
+    """The whole answer to each query in one row: place (up to four groups, how clear the reading is), saturation by
+    decade, the 15 nearest theses, 15 advisors with examples, keyword coverage. The neighbours are searched once."""
+    n = near(spark, d, each=True)
+    ordered = lambda rows, by, *cols: rows.groupBy("src").agg(F.transform(F.array_sort(F.collect_list(F.struct(by, F.struct(*cols).alias("x")))), lambda p: p["x"]).alias("list"))
+    parts = {
+        "ubicacion": ordered(V.vote(n.where("cluster >= 0"), ["src"], "cluster", 4), "rank", "cluster", "weight", "share"),
+        "saturacion": ordered(_saturation(spark, d, n), "decade", "decade", "n", "per_mille"),
+        "cercanas": ordered(n.where("rank <= 15"), "rank", "id", "sim", "titulo_limpio", "anio"),
+        "asesores": ordered(_ranked(n), "rank", "asesor", "n", "sim_max", "ultimo", "ejemplos"),
+        "palabras": ordered(_keywords(n), "keyword", "keyword", "n"),
+    }
+    out = _analysis(n)
+    for name, rows_ in parts.items():
+        out = out.join(rows_.withColumnRenamed("list", name), "src", "left")
+    return out
 
 
 def _saturation(spark: SparkSession, d: str, n: DataFrame) -> DataFrame:
@@ -244,7 +289,7 @@ def saturation_by_decade(spark: SparkSession, d: str) -> DataFrame:
     return _saturation(spark, d, near(spark, d)).drop("src")
 
 
-@entry()
+@entry(f"WITH {_TE}, sp AS (SELECT src, decade FROM (SELECT DISTINCT src FROM near), (SELECT unnest(generate_series(1950, 2020, 10)) AS decade)), a AS (SELECT src, anio // 10 * 10 AS decade, count(*) AS n FROM near WHERE anio >= 1950 GROUP BY 1, 2), b AS (SELECT \"año\" // 10 * 10 AS decade, count(*) AS total FROM base7_kaggle_clean WHERE \"año\" >= 1950 GROUP BY 1) SELECT sp.src, sp.decade, coalesce(n, 0) AS n, round(coalesce(n, 0) * 1000.0 / nullif(total, 0), 4) AS per_mille FROM sp LEFT JOIN a ON a.src = sp.src AND a.decade = sp.decade LEFT JOIN b ON b.decade = sp.decade")
 def saturation_by_decade_each(spark: SparkSession, d: str) -> DataFrame:
     return _saturation(spark, d, near(spark, d, each=True))
 
@@ -260,7 +305,7 @@ def keyword_coverage(spark: SparkSession, d: str) -> DataFrame:
     return _keywords(near(spark, d)).drop("src")
 
 
-@entry()
+@entry(f"WITH {_TE}, kw AS (SELECT unnest(['agua', 'riego', 'estudio', 'propuesta', 'lectura']) AS keyword) SELECT src, keyword, count(*) FILTER (regexp_matches(translate(lower(coalesce(titulo_limpio, '')), 'áéíóúüñ', 'aeiouun'), '\\b' || keyword || '\\b')) AS n FROM near, kw GROUP BY 1, 2")
 def keyword_coverage_each(spark: SparkSession, d: str) -> DataFrame:
     return _keywords(near(spark, d, each=True))
 
@@ -274,7 +319,7 @@ def neighbour_preview(spark: SparkSession, d: str) -> DataFrame:
     return _preview(near(spark, d)).drop("src")
 
 
-@entry()
+@entry(f"WITH {_TE} SELECT src, id, sim, rank, titulo_limpio, anio, area, cluster >= 0 AS in_group FROM near WHERE rank <= 50")
 def neighbour_preview_each(spark: SparkSession, d: str) -> DataFrame:
     return _preview(near(spark, d, each=True))
 
@@ -289,7 +334,7 @@ def context_distributions(spark: SparkSession, d: str) -> DataFrame:
     return _distributions(near(spark, d)).drop("src")
 
 
-@entry()
+@entry(f"WITH {_TE}, c AS (SELECT src, programa, count(*) AS n FROM near WHERE programa IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY n DESC, programa) AS k FROM c) SELECT src, k AS rank, programa, n FROM r WHERE k <= 10")
 def context_distributions_each(spark: SparkSession, d: str) -> DataFrame:
     return _distributions(near(spark, d, each=True))
 

@@ -48,24 +48,33 @@ def csv_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).option("escape", '"').csv(path).na.fill("")
 
 
+def _npy_head(head: bytes) -> tuple[int, np.dtype, tuple[int, int]]:
+    """(where the data begin, type, shape) from the first bytes of a .npy file."""
+    import io
+
+    f = io.BytesIO(head)
+    version = np.lib.format.read_magic(f)
+    shape, fortran, dtype = np.lib.format.read_array_header_1_0(f) if version == (1, 0) else np.lib.format.read_array_header_2_0(f)
+    if fortran or len(shape) != 2:
+        raise ValueError("only two-dimensional arrays in row order")
+    return f.tell(), dtype, shape
+
+
 def npy(spark: SparkSession, path: str, rows: int = 4096) -> DataFrame:
-    """(row, v): rows of a two-dimensional float .npy file (or of all files of a folder, numbered within each file).
-    A file's blocks are read by different tasks, each from its own offset."""
-    found = spark.read.format("binaryFile").load(path).select("path", "length")
-    files = [r["path"].removeprefix("file:") for r in found.collect()]  # names and sizes only
-    blocks = []
-    for f in files:
-        n = np.load(f, mmap_mode="r").shape[0]
-        blocks += [(f, lo, min(lo + rows, n)) for lo in range(0, n, rows)]
-    plan = spark.createDataFrame(blocks, "path string, lo long, hi long").repartition(max(1, len(blocks)))
+    """(path, row, v): rows of two-dimensional float .npy files (of all files of a folder, numbered within each file).
+
+    Files are read where Spark reads files, on any storage: each task gets the content of its files and turns it into
+    batches of ``rows``. A single file may hold 2 GB at most; larger collections are written as several."""
 
     def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            for r in pdf.itertuples():
-                x = np.load(r.path, mmap_mode="r")[r.lo : r.hi]
-                yield pd.DataFrame({"path": r.path, "row": np.arange(r.lo, r.hi), "v": pd.Series(list(np.asarray(x, np.float32)), dtype=object)})
+            for name, content in zip(pdf["path"], pdf["content"]):
+                at, dtype, (n, d) = _npy_head(content[:4096])
+                x = np.frombuffer(content, dtype, n * d, at).reshape(n, d)
+                for lo in range(0, n, rows):
+                    yield pd.DataFrame({"path": name, "row": np.arange(lo, min(lo + rows, n)), "v": pd.Series(list(x[lo : lo + rows].astype(np.float32)), dtype=object)})
 
-    return plan.mapInPandas(read, "path string, row long, v array<float>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "path string, row long, v array<float>")
 
 
 def blob(content: bytes, manifest: list[dict]) -> dict[str, np.ndarray]:
@@ -75,7 +84,8 @@ def blob(content: bytes, manifest: list[dict]) -> dict[str, np.ndarray]:
 
 # Pages -------------------------------------------------------------------------------------------------------------
 
-_HEAD = re.compile(r"^(\d{3})\s*([0-9A-Za-z# ]{0,3})\s*-\s*(.+)$")
+# The head of a field: a tag of three digits, up to three indicators, a dash and the label.
+_TAG = re.compile(r"(?P<tag>\d{3})(?P<ind>[^-]*)-(?P<label>.*)", re.S)
 FIELDS = T.ArrayType(T.StructType([T.StructField("tag", T.StringType()), T.StructField("ind", T.StringType()), T.StructField("label", T.StringType()), T.StructField("subfields", T.ArrayType(T.StringType()))]))
 
 
@@ -91,9 +101,10 @@ def parse_marc(html: str | None) -> list[tuple[str, str, str, list[str]]]:
         cells = [_text(c) for c in re.findall(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>", row)]
         if not cells:
             continue
-        m = _HEAD.match(cells[0])
-        if m:
-            out.append((m[1], m[2].strip(), m[3].strip(), [c for c in cells[1:] if c]))
+        m = _TAG.match(cells[0])
+        ind = m["ind"].strip() if m else ""
+        if m and m["label"].strip() and len(ind) <= 3 and all(c.isalnum() or c in "# " for c in ind):
+            out.append((m["tag"], ind, m["label"].strip(), [c for c in cells[1:] if c]))
         elif out:
             out[-1][3].extend(c for c in cells if c)
     return out
@@ -168,6 +179,7 @@ def stop_after(pages: Sequence[Sequence[str]], last: int, empty: int = 3, same:
 REQUEST = T.StructType([
     T.StructField("title", T.StringType()), T.StructField("problematiza", T.StringType()), T.StructField("keywords", T.ArrayType(T.StringType())),
     T.StructField("objectives", T.ArrayType(T.StringType())), T.StructField("program", T.StringType()), T.StructField("degree", T.StringType()),
+    T.StructField("study_period", T.StructType([T.StructField("applies", T.BooleanType()), T.StructField("start_year", T.IntegerType()), T.StructField("end_year", T.IntegerType()), T.StructField("label", T.StringType())])),
 ])
 
 
@@ -177,33 +189,70 @@ def requests(df: DataFrame, body: str) -> DataFrame:
     r = df.withColumn("r", F.from_json(body, REQUEST))
     n = lambda c: F.length(F.trim(F.coalesce(c, F.lit(""))))
     wrong = F.filter(F.array(
-        F.when(F.col("r").isNull() | F.col("r.title").isNull(), F.lit("title missing")), F.when(n(F.col("r.title")).between(1, 2), F.lit("title too short")), F.when(n(F.col("r.title")) > 400, F.lit("title too long")),
+        F.when(F.col("r").isNull() | F.col("r.title").isNull(), F.lit("title missing")), F.when(F.col("r.title").isNotNull() & (n(F.col("r.title")) < 3), F.lit("title too short")), F.when(n(F.col("r.title")) > 400, F.lit("title too long")),
         F.when(n(F.col("r.problematiza")) > 2000, F.lit("problematiza too long")), F.when(F.size("r.keywords") > 12, F.lit("too many keywords")), F.when(F.size("r.objectives") > 8, F.lit("too many objectives")),
         F.when(n(F.col("r.program")) > 160, F.lit("program too long")), F.when(n(F.col("r.degree")) > 40, F.lit("degree too long")),
+        F.when(n(F.col("r.study_period.label")) > 40, F.lit("study period's label too long")), F.when(F.col("r.study_period.start_year") > F.col("r.study_period.end_year"), F.lit("study period ends before it starts")),
     ), lambda x: x.isNotNull())
     return r.withColumn("errors", wrong)
 
 
-def schema_errors(value, schema: dict, path: str = "$") -> list[str]:
+#: What a keyword of a schema asks of a value: (the values it speaks of, whether they keep it, what is said if not).
+_KINDS = {"object": dict, "array": list, "string": str, "number": (int, float), "integer": int, "boolean": bool}
+_SIZED = {"minLength": (str, len, -1), "maxLength": (str, len, 1), "minItems": (list, len, -1), "maxItems": (list, len, 1), "minimum": ((int, float), abs, -1), "maximum": ((int, float), abs, 1)}
+
+
+def _flat(schema: dict, path: str = "$") -> dict[str, dict]:
+    """Each place of a schema by its path; ``[]`` stands for any element."""
+    out = {path: schema}
+    for name, inner in schema.get("properties", {}).items():
+        out |= _flat(inner, f"{path}.{name}")
+    return out | (_flat(schema["items"], f"{path}[]") if "items" in schema else {})
+
+
+def schema_errors(value, schema: dict) -> list[str]:
     """What a JSON value breaks of a schema (type, required, properties, items, enum, lengths and bounds)."""
-    kinds = {"object": dict, "array": list, "string": str, "number": (int, float), "integer": int, "boolean": bool}
+    places = _flat(schema)
     out: list[str] = []
-    t = schema.get("type")
-    if t and (not isinstance(value, kinds[t]) or t in ("number", "integer") and isinstance(value, bool)):
-        return [f"{path}: not {t}"]
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{path}: not allowed")
-    if isinstance(value, dict):
-        out += [f"{path}.{k}: missing" for k in schema.get("required", ()) if k not in value]
-        for k, v in value.items():
-            if k in schema.get("properties", {}):
-                out += schema_errors(v, schema["properties"][k], f"{path}.{k}")
-            elif schema.get("additionalProperties") is False:
-                out.append(f"{path}.{k}: unknown")
-    size = len(value) if isinstance(value, (str, list)) else value if isinstance(value, (int, float)) else None
-    names = ("minLength", "maxLength") if isinstance(value, str) else ("minItems", "maxItems") if isinstance(value, list) else ("minimum", "maximum")
-    if size is not None:
-        out += [f"{path}: too {'small' if lo else 'large'}" for lo, n in ((True, names[0]), (False, names[1])) if n in schema and (size < schema[n] if lo else size > schema[n])]
-    if isinstance(value, list) and "items" in schema:
-        out += [e for i, v in enumerate(value) for e in schema_errors(v, schema["items"], f"{path}[{i}]")]
+    stack = [("$", "$", value)]
+    while stack:
+        path, place, v = stack.pop()
+        rules = places.get(place)
+        if rules is None:
+            out.append(f"{path}: unknown")
+            continue
+        kind = rules.get("type")
+        if kind and (not isinstance(v, _KINDS[kind]) or isinstance(v, bool) and kind != "boolean"):
+            out.append(f"{path}: not {kind}")
+            continue
+        if v not in rules.get("enum", (v,)):
+            out.append(f"{path}: not allowed")
+        for word, (speaks_of, measure, sign) in _SIZED.items():
+            if word in rules and isinstance(v, speaks_of) and not isinstance(v, bool):
+                size = v if measure is abs else measure(v)
+                if (size - rules[word]) * sign > 0:
+                    out.append(f"{path}: too {'small' if sign < 0 else 'large'}")
+        if isinstance(v, dict):
+            out += [f"{path}.{k}: missing" for k in rules.get("required", ()) if k not in v]
+            known = rules.get("properties", {})
+            stack += [(f"{path}.{k}", f"{place}.{k}", x) for k, x in reversed(v.items()) if k in known or rules.get("additionalProperties") is False]
+        elif isinstance(v, list) and "items" in rules:
+            stack += [(f"{path}[{i}]", f"{place}[]", x) for i, x in reversed(list(enumerate(v)))]
     return out
+
+
+def schema_checked(body: Column, schema: dict) -> Column:
+    """array<string>: what each JSON text breaks of a schema; a text that isn't JSON breaks it as a whole, null stays."""
+    import json
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def check(texts: pd.Series) -> pd.Series:
+        def errors(t):
+            try:
+                return None if t is None else schema_errors(json.loads(t), schema)
+            except ValueError:
+                return ["$: not JSON"]
+
+        return pd.Series([errors(t) for t in texts], dtype=object)
+
+    return check(body)

@@ -36,8 +36,8 @@ def append_shards(df: DataFrame, path: str, shard: str) -> None:
 
 
 def report(df: DataFrame, path: str) -> None:
-    """One CSV with a header, for reports; tables stay parquet."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with a header, a file a task; quotes, line breaks and outer blanks come back as they were."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def documents(df: DataFrame, path: str, key: str, order: Sequence[Column]) -> None:

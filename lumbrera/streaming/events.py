@@ -6,6 +6,7 @@ can stand: ``timed`` casts them first.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -129,17 +130,20 @@ def user_quota(events: DataFrame, key: str, order: list[Column], limit: int, hou
 def all_quotas(events: DataFrame, key: str, month: int, site_day: int, user_day: int) -> DataFrame:
     """Three levels in batch: requests (event_id, ts, key) in time order with ``admitted`` and the level that refused.
 
-    The levels are told apart by rank, which holds because a refusal takes nothing: of the requests that all levels
-    before admit, the first so many of each group are admitted. A user's day ranks first, then a site's day, then a
-    month; each rank is over one group of days, never over all rows."""
+    Who is admitted is told by rank, which holds because a refusal takes nothing: of the requests that a user's day
+    admits, the first so many of a site's day, and of these the first so many of a month. What refused is the first
+    counter, in the order month, site, user, that is full with those admitted before, as the counters themselves say."""
     t = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), key).withColumn("local", F.col("ts") - F.expr("INTERVAL 6 HOURS"))
     t = t.withColumn("day", F.to_date("local")).withColumn("month", F.date_format("local", "yyyy-MM"))
     rank = lambda *k: F.row_number().over(Window.partitionBy(*k).orderBy("ts", "event_id"))
+    before = lambda *k: F.coalesce(F.sum(F.col("admitted").cast("int")).over(Window.partitionBy(*k).orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     t = t.withColumn("u", rank("day", key) <= user_day)
     s = t.withColumn("s", F.when(F.col("u"), rank("day", "u") <= site_day))
-    m = s.withColumn("okay", F.coalesce(F.col("u") & F.col("s"), F.lit(False))).withColumn("m", F.when(F.col("okay"), rank("month", "okay") <= month))
-    refused = F.when(~F.col("u"), "user").when(~F.coalesce("s", F.lit(False)), "site").when(~F.coalesce("m", F.lit(False)), "month").otherwise("")
-    return m.select("event_id", "ts", key, refused.alias("refused")).withColumn("admitted", F.col("refused") == "")
+    m = s.withColumn("okay", F.coalesce(F.col("u") & F.col("s"), F.lit(False)))
+    m = m.withColumn("admitted", F.col("okay") & (rank("month", "okay") <= month))
+    m = m.withColumn("in_month", before("month")).withColumn("in_day", before("day"))
+    refused = F.when(F.col("admitted"), "").when(F.col("in_month") >= month, "month").when(F.col("in_day") >= site_day, "site").otherwise("user")
+    return m.select("event_id", "ts", key, refused.alias("refused"), "admitted")
 
 
 class QuotaProcessor(StatefulProcessor):
@@ -210,7 +214,7 @@ class Queue:
     seats: int
     lease: float
     batch: int = 20
-    waiting: list = field(default_factory=list)
+    waiting: deque = field(default_factory=deque)
     running: dict = field(default_factory=dict)
     started: list = field(default_factory=list)
 
@@ -226,18 +230,18 @@ class Queue:
         lost = [j for j, until in self.running.items() if until <= now]
         for j in sorted(lost, key=lambda x: self.running[x], reverse=True):
             del self.running[j]
-            self.waiting.insert(0, j)
+            self.waiting.appendleft(j)
         for _ in range(self.batch):
             if not self.waiting or len(self.running) >= self.seats:
                 break
-            j = self.waiting.pop(0)
+            j = self.waiting.popleft()
             self.running[j] = now + self.lease
             self.started.append((j, now))
 
 
 def replay_queue(events: DataFrame, key: str, seats: int, lease: float) -> DataFrame:
     """(key, job, started) of an event log (key, job, ts double, kind arrive|finish), each key's queue in time order.
-    A key's log goes to one task in sorted batches; different keys run apart."""
+    A key's log, which its queue must see in order, goes to one task and is held there; different keys run apart."""
     kind = events.schema[key].dataType.simpleString()
 
     def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -249,6 +253,54 @@ def replay_queue(events: DataFrame, key: str, seats: int, lease: float) -> DataF
     return events.groupBy(key).applyInPandas(run, f"k {kind}, job long, started double").withColumnRenamed("k", key)
 
 
+@dataclass
+class RetryLane:
+    """One waiting reading at a time: starts are ``spacing`` seconds apart, the oldest one that is due comes first, and
+    a reading that finds the quota used up puts the lane to rest until the next reset. An error sends its reading back
+    for ``wait`` seconds, ``most`` times."""
+
+    spacing: float = 45.0
+    wait: float = 6 * 3600.0
+    most: int = 2
+    paused_until: float = 0.0
+    last: float = float("-inf")
+    jobs: dict = field(default_factory=dict)  # job -> (due, created, tries)
+
+    def add(self, job, now: float) -> None:
+        self.jobs[job] = (now, now, 0)
+
+    def next_alarm(self, now: float) -> float | None:
+        """When the lane should wake up next; None if nothing waits."""
+        if not self.jobs:
+            return None
+        return max(now, self.paused_until, self.last + self.spacing, min(due for due, _, _ in self.jobs.values()))
+
+    def alarm(self, now: float, outcome, reset) -> object | None:
+        """Takes the oldest reading that is due and returns it; ``outcome(job)`` is ok, error or sin_cuota, ``reset(now)``
+        the next reset. None where the lane rests or nothing is due."""
+        due = sorted((created, job) for job, (at, created, _) in self.jobs.items() if at <= now)
+        if now < self.paused_until or now < self.last + self.spacing or not due:
+            return None
+        job, self.last = due[0][1], now
+        got, (_, created, tries) = outcome(job), self.jobs[job]
+        if got == "sin_cuota":
+            self.paused_until = reset(now)
+        elif got == "error" and tries + 1 <= self.most:
+            self.jobs[job] = (now + self.wait, created, tries + 1)
+        else:
+            del self.jobs[job]
+        return job
+
+
+def spaced(jobs: DataFrame, key: str, due: str, order: list[Column], spacing: float) -> DataFrame:
+    """Adds ``start``: when a lane (key) that begins one job each ``spacing`` seconds, in ``order``, gets to each job
+    that is due at ``due`` (seconds): the latest of its own due time and the start before plus the spacing, which is the
+    running maximum of due - spacing x place, plus spacing x place."""
+    w = Window.partitionBy(key).orderBy(*order)
+    placed = jobs.withColumn("_p", F.row_number().over(w) - 1)
+    return placed.withColumn("start", F.max(F.col(due) - F.col("_p") * spacing).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_p") * spacing).drop("_p")
+
+
 def analysis_events(parts: DataFrame, key: str) -> DataFrame:
     """(key, events, failed): each analysis's events in order; a part that failed leaves the others."""
     return parts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "kind", "payload"))), lambda e: F.struct(e["kind"].alias("kind"), e["payload"].alias("payload"))).alias("events"), F.count_if(F.col("kind") == "error").alias("failed"))
