@@ -3,8 +3,10 @@
 Columns of the program are configurations (how many items of each length share one container). Multiplicative weights
 solve its covering form: each round prices lengths by how little they are covered, a knapsack dynamic program finds
 the configuration worth most, and that configuration enters the solution. The fractional solution is rounded down to
-whole containers, and what is left over, at most the items of one container per configuration, is placed best-fit
-decreasing. The histogram has at most ``capacity`` lengths whatever the number of items, so the driver's work and the
+whole containers, and what is left over, at most the items of one container per configuration, is placed from the
+longest item down, each time with the longest that still fits. The prices of every round, divided by what the best
+configuration is worth at them, are a solution of the dual program: the best of them bounds from below how few
+containers any packing can have. The histogram has at most ``capacity`` lengths whatever the number of items, so the driver's work and the
 plan it broadcasts are bounded; items themselves never leave the executors.
 """
 
@@ -31,7 +33,12 @@ class Plan:
     """configs: (times, {length: items a container}) in the order in which containers are numbered."""
 
     configs: list[tuple[int, dict[int, int]]]
-    bound: float  # no packing has fewer containers
+    bound: float  # no packing has fewer containers: the larger of the volume and the best dual solution
+    by: str = "program"  # or "greedy", should the completion of an empty solution take fewer containers
+
+    @property
+    def containers(self) -> int:
+        return sum(t for t, _ in self.configs)
 
 
 def best_fills(values: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +74,8 @@ def price(values: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity:
     return {k: min(n, int(counts[k])) for k, n in filling(best_fills(values, lengths, capacity)[1], lengths, capacity).items()}
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int, columns: int = COLUMNS, eta: float = ETA) -> list[tuple[float, dict[int, int]]]:
-    """Multiplicative weights for the covering program: every length's count covered by configurations, as few as can be.
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int, columns: int = COLUMNS, eta: float = ETA) -> tuple[list[tuple[float, dict[int, int]]], float]:
+    """(solution, dual bound). Multiplicative weights for the covering program: every length's count covered by configurations, as few as can be.
 
     A length's weight falls exponentially with the part of it that is covered; its price is its weight times its
     length (at an even covering the optimal dual is the length itself). One knapsack a round prices all rooms; the
@@ -76,12 +83,14 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: i
     with half of what its scarcest length has left, all of it once little is left."""
     left = counts.astype(float).copy()
     used: dict[tuple, float] = {}
+    dual = float(np.dot(lengths, counts)) / capacity
     for r in range(rounds):
         open_ = left > 1e-6
         if not open_.any():
             break
         weight = np.exp(-eta * (1 - left / counts)) * open_
-        _, take = best_fills(weight * lengths, lengths, capacity)
+        worth, take = best_fills(weight * lengths, lengths, capacity)
+        dual = max(dual, float(np.dot(counts, weight * lengths)) / worth[capacity])
         share, fresh = 0.5 if r < rounds // 2 else 1.0, False
         for k in np.argsort(-left * lengths, kind="stable")[:columns]:
             if left[k] <= 1e-6:
@@ -100,7 +109,7 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: i
             used[key] = used.get(key, 0.0) + amount
             for j, a in config.items():
                 left[j] = max(0.0, left[j] - a * amount)
-    return [(x, dict(key)) for key, x in used.items()]
+    return [(x, dict(key)) for key, x in used.items()], dual
 
 
 def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan:
@@ -110,9 +119,10 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan
         return Plan([], 0.0)
     lengths = np.array(sorted(histogram))
     counts = np.array([histogram[x] for x in lengths], dtype=float)
-    bound = float(np.dot(lengths, counts)) / capacity
-    made = [_whole(lengths, counts, x, capacity) for x in (fractional(lengths, counts, capacity, rounds), [])]
-    return Plan(min(made, key=lambda cs: sum(t for t, _ in cs)), bound)
+    solution, bound = fractional(lengths, counts, capacity, rounds)
+    program = Plan(_whole(lengths, counts, solution, capacity), bound)
+    greedy = Plan(_whole(lengths, counts, [], capacity), bound, "greedy")
+    return program if program.containers <= greedy.containers else greedy
 
 
 def _whole(lengths: np.ndarray, counts: np.ndarray, solution: list[tuple[float, dict[int, int]]], capacity: int) -> list[tuple[int, dict[int, int]]]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,3 +125,12 @@ def test_corpus_matches_other_library(spark, data):
     got = {r["doc_id"]: list(r["ids"]) for r in K.encode_corpus(docs.where(F.col("text").isNotNull())).collect()}
     for r in docs.where("text IS NOT NULL").select("doc_id", "text").collect():
         assert got[r["doc_id"]] == t.encode(r["text"], add_special_tokens=False).ids
+
+
+def test_the_program_wins_and_its_dual_bounds_it():
+    rng = np.random.default_rng(3)
+    sizes = np.concatenate([rng.integers(20, 300, 4000), rng.integers(700, 1400, 900)])
+    p = P.plan({int(k): int(v) for k, v in zip(*np.unique(sizes, return_counts=True))}, 2048)
+    assert p.by == "program" and sizes.sum() / 2048 <= p.bound <= p.containers <= 1.01 * p.bound + 1
+    thirds = P.plan({700: 90}, 2048)  # two in a container, whatever the volume says
+    assert thirds.containers == 45 and thirds.bound == 45
