@@ -63,8 +63,13 @@ def _initials(c: str) -> Column:
 
 
 def same_bag(v: DataFrame) -> DataFrame:
-    """R2: a form without a comma and the only form with one that has the same words."""
-    return _links(v.where("NOT comma").select("bag", "label"), _only(v.where("comma"), ["bag"]), ["bag"])
+    """R2: a form without a comma and the only form with one that has the same words; and a form of at most two mentions
+    whose words stand on the other side of the comma in the only form that is five times as frequent, in a shared program."""
+    bare = _links(v.where("NOT comma").select("bag", "label"), _only(v.where("comma"), ["bag"]), ["bag"])
+    turned = v.where("comma").select("bag", "node", "label", "n", "programs", _joined("ap").alias("s"), _joined("no").alias("g"))
+    to = turned.select("bag", F.col("label").alias("target"), F.col("n").alias("tn"), F.col("programs").alias("tp"), F.col("s").alias("ts"), F.col("g").alias("tg"))
+    found = turned.where("n <= 2").join(to, "bag").where((F.col("s") == F.col("tg")) & (F.col("g") == F.col("ts")) & (F.col("tn") >= 5 * F.col("n")) & F.arrays_overlap("programs", "tp"))
+    return bare.unionByName(_sole(found))
 
 
 def _deletions(c: str, most: int) -> Column:
@@ -120,6 +125,20 @@ def reordered(v: DataFrame) -> DataFrame:
     return _links(k, k.groupBy("s", "g").agg(F.min("label").alias("target")), ["s", "g"])
 
 
+def _given() -> Column:
+    return F.array_sort(F.array_distinct(F.filter("no", lambda w: ~w.isin(*PARTICLES))))
+
+
+def fewer_given(v: DataFrame) -> DataFrame:
+    """R6: the same surnames without particles, and given names, in any order, that are some of those of forms of one
+    group only. Four equal words or more, or else a shared program."""
+    k = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).select("node", "label", "programs", F.size("ap").alias("words"), _bare("ap").alias("s"), _given().alias("gs")).where(F.size("gs") > 0)
+    long = k.where(F.size("gs") > 1).select("s", F.explode("gs").alias("k"), F.col("gs").alias("lgs"), F.col("label").alias("target"), F.col("programs").alias("tp"))
+    met = k.withColumn("k", F.get("gs", F.lit(0))).join(long, ["s", "k"]).where((F.size("lgs") > F.size("gs")) & (F.size(F.array_except("gs", "lgs")) == 0))
+    fits = F.arrays_overlap("programs", "tp") | (F.col("words") + F.size("gs") >= 4)
+    return _sole(met.withColumn("all", F.min(fits).over(Window.partitionBy("node"))).where("all"))
+
+
 def misplaced_comma(v: DataFrame) -> DataFrame:
     """R8: the same words with the comma elsewhere, where that is no inversion of two forms of equal build."""
     k = v.where("comma").withColumn("build", F.size("ap"))
@@ -182,11 +201,11 @@ def same_sound(v: DataFrame) -> DataFrame:
     return _links(k, k.groupBy("f").agg(F.max_by("label", F.struct("n", F.col("label"))).alias("target")), ["f"])
 
 
-RULES = (("R2", same_bag), ("R3i", initials), ("R3", shorter_given), ("R4", one_surname), ("R5", typos), ("R6", reordered), ("R8", misplaced_comma), ("R9", inverted), ("R10", whole_typos), ("R11", same_sound))
+RULES = (("R2", same_bag), ("R3i", initials), ("R3", shorter_given), ("R4", one_surname), ("R5", typos), ("R6", reordered), ("R6s", fewer_given), ("R8", misplaced_comma), ("R9", inverted), ("R10", whole_typos), ("R11", same_sound))
 
 
 def resolve(m: DataFrame) -> DataFrame:
-    """(node, label, ap, no, n, display, regla): variants with the group they belong to and the rule that first
+    """(node, label, ap, no, n, display, programs, regla): variants with the group they belong to and the rule that first
     merged them (R1 for those that stand alone)."""
     v = cut(variants(m), "variants")
     labels = cut(v.select("node", F.col("node").alias("label")), "labels")
@@ -199,7 +218,7 @@ def resolve(m: DataFrame) -> DataFrame:
         changed = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").select("node", F.lit(name).alias("r"))
         rule = cut(rule.join(changed, "node", "left").select("node", F.when((F.col("regla") == "R1") & F.col("r").isNotNull(), F.col("r")).otherwise(F.col("regla")).alias("regla")), "rules")
         labels = new
-    return v.join(labels, "node").join(rule, "node").select("node", "label", "ap", "no", "n", "display", "regla")
+    return v.join(labels, "node").join(rule, "node").select("node", "label", "ap", "no", "n", "display", "programs", "regla")
 
 
 def catalogue(groups: DataFrame) -> DataFrame:
@@ -213,16 +232,43 @@ def catalogue(groups: DataFrame) -> DataFrame:
     return ids_over(named, [F.desc("n_tesis"), F.col("nombre"), F.col("label")], "%d").withColumn("asesor_id", F.col("new_id").cast("long")).drop("new_id")
 
 
-def suspicious(groups: DataFrame) -> DataFrame:
-    """(tipo, a, b): pairs of neighbouring persons that may be one: A the same words, B the same surnames and first
-    initial, C the same sound, D the same given names and surnames inverted. Persons are compared with the next one of
-    their block, so a block of any size gives no more pairs than persons."""
-    person = groups.groupBy("label").agg(F.max_by(F.struct("ap", "no", "display"), F.struct("n", "display")).alias("x")).select("label", "x.ap", "x.no", "x.display")
-    person = person.where((F.size("ap") > 0) & (F.size("no") > 0))
-    keys = {
-        "A": F.array_join(F.array_sort(F.concat("ap", "no")), " "), "B": F.concat_ws("|", _joined("ap"), F.substring(F.get("no", F.lit(0)), 1, 1)),
-        "C": X.phonetic(F.concat_ws(" ", _joined("ap"), _joined("no"))), "D": F.concat_ws("|", F.array_join(F.array_sort("ap"), " "), _joined("no")),
-    }
-    each = person.select("label", "display", F.explode(F.array(*[F.struct(F.lit(t).alias("tipo"), k.alias("k")) for t, k in keys.items()])).alias("e")).select("label", "display", "e.tipo", "e.k")
-    w = Window.partitionBy("tipo", "k").orderBy("display", "label")
-    return each.withColumn("b", F.lead("display").over(w)).where("b IS NOT NULL AND b <> display").select("tipo", F.col("display").alias("a"), "b")
+#: Given names of three letters or fewer, which are no residues.
+SHORT_NAMES = ("ma", "jose", "ana", "eva", "luz", "pia", "ali", "rey", "ian", "leo", "noe", "ada", "ivo", "ely", "ciro")
+_ODD = r"[ÃÂ�?\d@#*_]"
+
+
+def suspicious(groups: DataFrame, residues: int = 40) -> DataFrame:
+    """(tipo, a, b, comparten): what resolution may have missed, by the names shown of two persons, and whether they share
+    a program.
+
+    A the same given names in another order, B some of them in another order, C the same words divided otherwise, D
+    surnames inverted, E surnames within two edits, F given names within two edits, G equal but for particles; H short
+    words that are frequent among given names (a report of the ``residues`` commonest; b is their number), I names with
+    odd characters (b is null). Where a type makes classes (A, C, D, G), each person of a class is paired with its first
+    one, so that the pairs span the class without being all of it; the others are found by deletion keys, in blocks of
+    any size."""
+    f = groups.where((F.size("ap") > 0) & (F.size("no") > 0)).select("label", "ap", "no", _joined("ap").alias("s"), _joined("no").alias("g"), F.array_join(F.array_sort("no"), " ").alias("sg"), F.array_distinct("no").alias("gs"), _bare("ap").alias("bare"), F.array_join(F.array_sort(F.concat("ap", "no")), " ").alias("bag"))
+
+    def classes(*keys: str) -> DataFrame:
+        first = f.groupBy(*keys).agg(F.min_by(F.struct(F.col("label").alias("a"), F.col("ap").alias("ap1"), F.col("s").alias("s1")), F.struct("label", "s")).alias("x"), F.max("label").alias("hi")).where("x.a <> hi").select(*keys, "x.*")
+        return f.join(first, list(keys)).where("label <> a").withColumn("b", F.col("label"))
+
+    def near(same: str, word: str, least: int) -> DataFrame:
+        k = f.where(F.length(word) >= least).select("label", F.col(same).alias("same"), F.col(word).alias("w")).distinct().withColumn("k", F.explode(_deletions("w", 2))).withColumn("key", F.xxhash64("same", "k"))
+        to = k.select("key", F.col("same").alias("tsame"), F.col("w").alias("tw"), F.col("label").alias("b"))
+        return k.join(to, "key").where((F.col("label") < F.col("b")) & (F.col("same") == F.col("tsame")) & (F.levenshtein("w", "tw") <= 2)).select(F.col("label").alias("a"), "b", "w", "tw")
+
+    typed = lambda rows, tipo: rows.select(tipo.alias("tipo"), "a", "b")
+    inverted_ = (F.size("ap") == 2) & (F.reverse("ap") == F.col("ap1"))
+    long = f.where(F.size("gs") > 1).select("s", F.explode("gs").alias("k"), F.col("no").alias("lno"), F.col("gs").alias("lgs"), F.col("label").alias("b"))
+    some = f.withColumn("k", F.array_min("gs")).join(long, ["s", "k"]).where((F.col("label") != F.col("b")) & (F.size("lgs") > F.size("gs")) & (F.size(F.array_except("gs", "lgs")) == 0) & ~_compatible())
+    pairs = typed(classes("s", "sg"), F.lit("A")).unionByName(typed(some.withColumn("a", F.col("label")), F.lit("B")))
+    pairs = pairs.unionByName(typed(classes("bag"), F.when(inverted_, "D").otherwise("C"))).unionByName(typed(classes("bare", "g").where("s <> s1"), F.lit("G")))
+    pairs = pairs.unionByName(typed(near("g", "s", 8), F.lit("E"))).unionByName(typed(near("s", "g", 6).where(F.array_sort(F.split("w", " ")) != F.array_sort(F.split("tw", " "))), F.lit("F")))
+    pairs = pairs.select("tipo", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    person = groups.groupBy("label").agg(F.max_by("display", F.struct("n", "display")).alias("shown"), F.array_distinct(F.flatten(F.collect_list("programs"))).alias("p"))
+    of = lambda c: person.select(F.col("label").alias(c), F.col("shown").alias(f"{c}_shown"), F.col("p").alias(f"{c}_p"))
+    named = pairs.join(of("a"), "a").join(of("b"), "b").select("tipo", F.col("a_shown").alias("a"), F.col("b_shown").alias("b"), F.coalesce(F.arrays_overlap("a_p", "b_p"), F.lit(False)).alias("comparten"))
+    words = groups.select(F.explode("no").alias("w")).where((F.length("w") <= 3) & ~F.col("w").isin(*PARTICLES, *SHORT_NAMES)).groupBy("w").agg(F.count("*").alias("c")).where("c >= 5").orderBy(F.desc("c"), "w").limit(residues)
+    odd = groups.where(F.col("display").rlike(_ODD)).select(F.lit("I").alias("tipo"), F.col("display").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(False).alias("comparten")).distinct()
+    return named.unionByName(words.select(F.lit("H").alias("tipo"), F.col("w").alias("a"), F.col("c").cast("string").alias("b"), F.lit(False).alias("comparten"))).unionByName(odd)

@@ -350,3 +350,21 @@ def test_retry_lane():
 def test_palette_and_codec_bounds():
     assert len(set(S.palette(40))) == 40 and all(len(c) == 7 for c in S.palette(3))
     assert N.encode_ids([]) == "" and N.decode_ids("") == [] and N.decode_ids(N.encode_ids([0, 127, 128, 2**62])) == [0, 127, 128, 2**62]
+
+
+def test_what_resolution_may_have_missed(spark):
+    rows = [(1, "solares mireda", "ana luz", 9), (2, "solares mireda", "luz ana", 3), (3, "solares mireda", "luz eva ana", 2), (4, "mireda solares", "ana luz", 4), (5, "solares mirexa", "ana luz", 5), (6, "solares de mireda", "ana luz", 1), (7, "robles prado", "marcela", 6), (8, "robles prado", "marcelo", 6), (9, "robles", "prado marcela", 2)]
+    df = spark.createDataFrame([(i, s.split(), g.split(), n, f"{s}, {g}", ["p"] if i != 5 else ["q"]) for i, s, g, n in rows], "label long, ap array<string>, no array<string>, n long, display string, programs array<string>")
+    got = {(r["tipo"], *sorted((r["a"], r["b"] or "")), r["comparten"]) for r in E.suspicious(df).collect()}
+    name = {i: f"{s}, {g}" for i, s, g, _ in rows}
+    for tipo, a, b, shared in (("A", 1, 2, True), ("B", 1, 3, True), ("D", 1, 4, True), ("E", 1, 5, False), ("F", 7, 8, True), ("G", 1, 6, True), ("C", 7, 9, True)):
+        assert (tipo, *sorted((name[a], name[b])), shared) in got, (tipo, a, b)
+    assert E.suspicious(df.where("label < 0")).count() == 0
+
+
+def test_fewer_given_names_and_turned_commas(spark):
+    names = ["Solares Mireda, Ana Luz Eva"] * 6 + ["Solares Mireda, Eva Ana", "Ana Luz Eva, Solares Mireda", "Otero Salim, Juan Luis", "Otero Salim, Luis Juan Pablo", "Otero Salim, Luis Juan Pedro"]
+    df = spark.createDataFrame([(f"T{i}", n, "p") for i, n in enumerate(names)], "id string, n string, p string")
+    by = {r["display"]: r["label"] for r in E.resolve(E.mentions(df, "id", F.col("n"), F.col("p"))).collect()}
+    assert by["Solares Mireda, Eva Ana"] == by["Solares Mireda, Ana Luz Eva"] == by["Ana Luz Eva, Solares Mireda"]
+    assert len({by[n] for n in names[8:]}) == 3  # two longer forms: neither is meant
