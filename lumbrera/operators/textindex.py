@@ -10,10 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from lumbrera.functions import text as X
-from lumbrera.operators.relational import top_per
+from lumbrera.operators.relational import ids_over, top_per
 from lumbrera.plans.lineage import cut
 
 #: Words that say nothing about a topic.
@@ -42,15 +41,17 @@ def term_counts(docs: DataFrame, group: str, key: str, text: Column, bigrams: bo
     """(group, term, n): words, and pairs of neighbouring words, of each group's texts put together in key order.
 
     Words are numbered over the whole group, so pairs span texts. Each text contributes its inner pairs where it is
-    read; only its last word and the next text's first one meet, through a lag over one row a text."""
+    read; only its last word and the next text's first one meet: texts are numbered over all groups in two steps, and
+    each meets the one numbered before it, so a group of any size is no single task's."""
     # Written out once: left in the plan, the words of a text would be computed anew wherever they are mentioned.
     d = cut(docs.select(F.col(group).alias("g"), F.col(key).alias("k"), tokens(text).alias("ws")), "words").where(F.size("ws") > 0)
     ones = d.select("g", F.explode("ws").alias("term"))
     if not bigrams:
         return ones.groupBy("g", "term").agg(F.count("*").alias("n")).withColumnRenamed("g", group)
     inner = d.where(F.size("ws") > 1).select("g", F.explode(F.transform(F.sequence(F.lit(0), F.size("ws") - 2), lambda i: F.concat_ws(" ", F.get("ws", i), F.get("ws", i + 1)))).alias("term"))
-    edge = d.select("g", F.get("ws", F.lit(0)).alias("first"), F.lag(F.element_at("ws", -1)).over(Window.partitionBy("g").orderBy("k")).alias("last"))
-    across = edge.where("last IS NOT NULL").select("g", F.concat_ws(" ", "last", "first").alias("term"))
+    edge = ids_over(d.select("g", "k", F.get("ws", F.lit(0)).alias("first"), F.element_at("ws", -1).alias("last")), [F.col("g"), F.col("k")], "%d").withColumn("at", F.col("new_id").cast("long"))
+    before = edge.select((F.col("at") + 1).alias("at"), F.col("g").alias("h"), F.col("last").alias("end"))
+    across = edge.join(before, "at").where(F.col("g").eqNullSafe(F.col("h"))).select("g", F.concat_ws(" ", "end", "first").alias("term"))
     return ones.unionByName(inner).unionByName(across).groupBy("g", "term").agg(F.count("*").alias("n")).withColumnRenamed("g", group)
 
 
@@ -59,6 +60,7 @@ def class_tfidf(counts: DataFrame, group: str, top: int = 8, max_df: float = 0.5
 
     Terms in more than ``max_df`` of the groups leave first; a term's frequency is its share of its group's remaining
     terms; its rarity is ln(1 + A / f), f being its count over all groups and A the mean size of a group."""
+    counts = cut(counts, "term-counts")  # read four times below
     groups = counts.select(group).distinct().agg(F.count("*").alias("groups"))
     spread_ = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("f"))
     kept = spread_.crossJoin(F.broadcast(groups)).where(F.col("df") <= F.col("groups") * max_df)  # groups: one row
