@@ -198,6 +198,34 @@ def origins(spark: SparkSession, d: str) -> DataFrame:
     return base(spark, d).select("thesis_id", J.origin(F.col("universidad_nota"), "UAV").alias("clase"))
 
 
+def _single(sql: str) -> str:
+    """Doubled letters made one, a letter at a time, since SQL's patterns know no reference back."""
+    for c in "1abcdefgijklmnopqrstuxyz":
+        sql = f"regexp_replace({sql}, '{c}+', '{c}', 'g')"
+    return sql
+
+
+_SOUND = "regexp_replace(translate(lower(autor_limpio_v2), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc'), '[^a-z]', '', 'g')"
+for _a, _b in (("ch", "1"), ("ll", "y"), ("qu", "k"), ("ph", "f"), ("ce", "se"), ("ci", "si"), ("c", "k"), ("z", "s"), ("v", "b"), ("w", "u"), ("h", ""), ("y", "i")):
+    _SOUND = f"replace({_SOUND}, '{_a}', '{_b}')"
+
+
+@entry(f"SELECT thesis_id, {_single(_SOUND)} AS k FROM base7_kaggle_clean")
+def sound_keys(spark: SparkSession, d: str) -> DataFrame:
+    return base(spark, d).select("thesis_id", X.phonetic(F.col("autor_limpio_v2")).alias("k"))
+
+
+@entry(
+    "WITH r AS (SELECT thesis_id, replace(replace(replace(replace(replace(replace(replace(coalesce(autor_limpio_v2, ''), 'Ã¡', 'á'), 'Ã©', 'é'), 'Ã' || chr(173), 'í'), 'Ã³', 'ó'), 'Ãº', 'ú'), 'Ã±', 'ñ'), 'Ã¼', 'ü') AS t FROM base7_kaggle_clean), "
+    "k AS (SELECT thesis_id, regexp_replace(trim(regexp_replace(translate(lower(t), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc'), '[^a-z0-9]+', ' ', 'g')), '\\b(m en [a-z]|dra?|mtr[oa]|lic|ing|profa?|arq|phd)\\b', ' ', 'g') AS k FROM r) SELECT thesis_id, array_to_string(list_filter(regexp_split_to_array(trim(k), '\\s+'), lambda w: w <> '' AND NOT regexp_matches(w, '^[0-9]{4}$')), ' ') AS words FROM k"
+)
+def name_words(spark: SparkSession, d: str) -> DataFrame:
+    """A name's words as advisors are resolved by them: repaired, plain, without titles and years."""
+    from lumbrera.operators.resolve import _words
+
+    return base(spark, d).select("thesis_id", F.array_join(_words(F.coalesce("autor_limpio_v2", F.lit(""))), " ").alias("words"))
+
+
 _CAMPUS = "trim(regexp_replace(translate(lower(coalesce({c}, '')), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc'), '[^a-z0-9]+', ' ', 'g'))"
 
 

@@ -270,6 +270,17 @@ def knn2d_vote(spark: SparkSession, d: str) -> DataFrame:
     return _plane_vote(spark, d).select("src", "guess", "own")
 
 
+@entry(f"WITH {_NN}, v AS (SELECT src, label, sum(1 / (dist + 0.01)) AS w FROM k WHERE rank <= 15 GROUP BY src, label), g AS (SELECT src, label, round(w / sum(w) OVER (PARTITION BY src), 4) AS confianza, row_number() OVER (PARTITION BY src ORDER BY round(w, 6) DESC, label) AS r FROM v) SELECT src, label AS guess, confianza FROM g WHERE r = 1")
+def knn2d_weighted(spark: SparkSession, d: str) -> DataFrame:
+    """The label of the 15 nearest in the plane, each counting by the inverse of its distance, with its share."""
+    p = points(spark, d)
+    k = S.k_nearest(p, p, 15, 1.5).join(p.select(F.col("id").alias("dst"), "label"), "dst")
+    v = k.groupBy("src", "label").agg(F.sum(1 / (F.col("dist") + 0.01)).alias("w"))
+    total = v.groupBy("src").agg(F.sum("w").alias("total"))
+    first = top_per(v, ["src"], 1, F.desc(F.round("w", 6)), F.col("label")).join(total, "src")
+    return first.select("src", F.col("label").alias("guess"), F.round(F.col("w") / F.col("total"), 4).alias("confianza"))
+
+
 @entry(f"WITH {_NN}, v AS (SELECT src, any_value(own) AS own, label, count(*) AS c FROM k WHERE rank <= 15 GROUP BY src, label), g AS (SELECT src, own, label, row_number() OVER (PARTITION BY src ORDER BY c DESC, label) AS r FROM v), f AS (SELECT own, label AS guess FROM g WHERE r = 1) SELECT round((SELECT avg(CAST(own = guess AS INTEGER)) FROM f), 4) AS accuracy, round((SELECT max(c) FROM (SELECT count(*) AS c FROM f GROUP BY own)) / (SELECT count(*) FROM f), 4) AS baseline")
 def vote_accuracy(spark: SparkSession, d: str) -> DataFrame:
     return S.confusion(_plane_vote(spark, d), "own", "guess")
