@@ -84,11 +84,17 @@ def prefix_counts(df: DataFrame, key: str, text: Column) -> DataFrame:
     return wide.unpivot([key], [str(k) for k in LEVELS], "level", "n").where("n > 0").select(key, F.col("level").cast("int").alias("level"), F.col("n").cast("long").alias("n"))
 
 
-def list_flags(levels: DataFrame, group: str, order: str) -> DataFrame:
-    """(group, n, one, many, same_level, regression, gap, creates_unevaluated): what is odd about a list of
-    objectives with a level each."""
-    fell = levels.withColumn("fell", ever_fell("level", group, order)).withColumn("prev", F.lag("level").over(Window.partitionBy(group).orderBy(order)))
-    return fell.groupBy(group).agg(
-        F.count("*").alias("n"), (F.count("*") == 1).alias("one"), (F.count("*") > 6).alias("many"), ((F.count_distinct("level") == 1) & (F.count("level") > 1)).alias("same_level"), F.coalesce(F.bool_or("fell"), F.lit(False)).alias("regression"),
-        F.coalesce(F.bool_or(F.col("level") - F.col("prev") > 2), F.lit(False)).alias("gap"), (F.coalesce(F.bool_or(F.col("level") == 6), F.lit(False)) & ~F.coalesce(F.bool_or(F.col("level") == 5), F.lit(False))).alias("creates_unevaluated"),
+def list_flags(levels: DataFrame, group: str, order: str, expected: DataFrame | None = None) -> DataFrame:
+    """(group, n, one, many, same_level, regression, missing, gap, creates_unevaluated, maximum, below): what is odd about
+    a list of objectives with a level each. ``missing`` are the levels between the least and the greatest that nothing
+    has; ``below`` says whether the greatest is less than what ``expected`` (group, level) asks of the list."""
+    fell = levels.withColumn("fell", ever_fell("level", group, order))
+    out = fell.groupBy(group).agg(F.count("*").alias("n"), F.coalesce(F.bool_or("fell"), F.lit(False)).alias("regression"), F.count("level").alias("known"), F.array_sort(F.collect_set("level")).alias("u"), F.max("level").alias("maximum"))
+    between = F.when(F.size("u") > 1, F.array_except(F.expr("sequence(u[0], element_at(u, -1))"), "u")).otherwise(F.array().cast("array<int>"))
+    out = out.withColumn("missing", between)
+    least = expected.select(group, F.col("level").alias("least")) if expected is not None else None
+    out = out.join(least, group, "left") if least is not None else out.withColumn("least", F.lit(None).cast("int"))
+    return out.select(
+        group, "n", (F.col("n") == 1).alias("one"), (F.col("n") > 6).alias("many"), ((F.size("u") == 1) & (F.col("known") > 1)).alias("same_level"), "regression", "missing", (F.size("missing") > 0).alias("gap"),
+        ((F.col("known") > 1) & F.array_contains("u", 6) & ~F.array_contains("u", 5)).alias("creates_unevaluated"), "maximum", F.coalesce(F.col("maximum") < F.col("least"), F.lit(False)).alias("below"),
     )

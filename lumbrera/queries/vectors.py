@@ -138,6 +138,20 @@ def nearest_to_centroid(spark: SparkSession, d: str) -> DataFrame:
     return top_per(own, ["label"], 25, F.desc("sim"), F.col("id")).select("label", "id", "sim", F.col("rank").cast("long").alias("rank"))
 
 
+@entry(
+    "WITH e AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM sample_50k_embeddings WHERE cluster >= 0 AND embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0), "
+    "m AS (SELECT cluster, d, sum(v[d] / n) AS x FROM e, generate_series(1, 96) AS g(d) GROUP BY 1, 2), l AS (SELECT cluster, sqrt(sum(x * x)) AS l FROM m GROUP BY 1), c AS (SELECT cluster, list(x / l ORDER BY d) AS c FROM m JOIN l USING (cluster) GROUP BY 1), s AS (SELECT e.cluster, e.id, round(list_inner_product(e.v, c.c) / e.n, 4) AS sim, coalesce(b.titulo_normalizado, '') AS t FROM e JOIN c USING (cluster) LEFT JOIN base7_kaggle_clean b USING (thesis_id)), "
+    "o AS (SELECT *, row_number() OVER (PARTITION BY cluster, CASE WHEN t = '' THEN CAST(id AS VARCHAR) ELSE 't' || t END ORDER BY sim DESC, id) AS one FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY sim DESC, id) AS rank FROM o WHERE one = 1) SELECT cluster, id, sim, rank FROM k WHERE rank <= 10"
+)
+def nearest_titles(spark: SparkSession, d: str) -> DataFrame:
+    """The ten theses nearest to the middle of each group, each title once; theses without a title stay apart."""
+    t = cut(table(spark, d, "sample_50k_embeddings").where("cluster >= 0").where(V.has_direction(F.col("embedding"))).select(F.col("vec_id").alias("id"), "thesis_id", F.col("cluster").alias("cluster"), V.unit(F.col("embedding")).alias("v")), "grouped")
+    own = t.join(V.centroids(t, "cluster", "v").select("cluster", "centroid"), "cluster").join(base(spark, d).select("thesis_id", F.coalesce("titulo_normalizado", F.lit("")).alias("t")), "thesis_id", "left")
+    s = own.select("cluster", "id", F.round(V.dot(F.col("v"), F.col("centroid")), 4).alias("sim"), F.when(F.coalesce("t", F.lit("")) == "", F.col("id").cast("string")).otherwise(F.concat(F.lit("t"), "t")).alias("title"))
+    once = top_per(s, ["cluster", "title"], 1, F.desc("sim"), F.col("id")).drop("rank")
+    return top_per(once, ["cluster"], 10, F.desc("sim"), F.col("id")).select("cluster", "id", "sim", F.col("rank").cast("long").alias("rank"))
+
+
 @entry(f"WITH {_E}, {_CENT}, s AS (SELECT a.label AS a, b.label AS b, round(list_inner_product(a.c, b.c), 4) AS sim FROM c a JOIN c b ON a.label <> b.label), k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS r FROM s) SELECT least(a, b) AS source, greatest(a, b) AS target, max(sim) AS sim FROM k WHERE r <= 5 AND sim > 0 GROUP BY 1, 2")
 def centroid_edges(spark: SparkSession, d: str) -> DataFrame:
     c = cut(_cents(spark, d).select(F.col("label").alias("id"), F.col("centroid").alias("v")), "centroids")

@@ -183,6 +183,10 @@ def test_list_flags(spark):
     got = {r["g"]: r for r in L.list_flags(spark.createDataFrame(rows, "g string, i int, level int"), "g", "i").collect()}
     assert got["a"]["regression"] and got["a"]["gap"] and got["a"]["creates_unevaluated"] and not got["a"]["one"]
     assert got["b"]["one"] and not got["b"]["regression"]
+    assert got["a"]["missing"] == [3, 5] and got["b"]["missing"] == [] and got["a"]["maximum"] == 6 and not got["a"]["below"]
+    asked = spark.createDataFrame([("a", 4), ("b", 4)], "g string, level int")
+    below = {r["g"]: r["below"] for r in L.list_flags(spark.createDataFrame(rows, "g string, i int, level int"), "g", "i", asked).collect()}
+    assert below == {"a": False, "b": True}
 
 
 def test_resolution_keeps_people_apart(spark):
