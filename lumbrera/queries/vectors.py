@@ -211,10 +211,10 @@ _T = "t AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[])
 _TE = "t AS (SELECT vec_id AS id, thesis_id, cluster, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM sample_50k_embeddings WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0), s AS (SELECT q.id AS src, t.id, t.thesis_id, t.cluster, round(list_inner_product(t.e, q.e) / t.n / q.n, 4) AS sim FROM t, t AS q WHERE q.id % 20 = 0 AND t.id <> q.id), k AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, id) AS rank FROM s), near AS (SELECT k.*, b.\"año\" AS anio, b.programa, b.plantel_display, b.area, b.titulo_limpio, b.asesores_display FROM k LEFT JOIN base7_kaggle_clean b USING (thesis_id) WHERE rank <= 100)"
 
 
-def _analysis(n: DataFrame) -> DataFrame:
+def _analysis(n: DataFrame, digits: int = 6) -> DataFrame:
     m = n.groupBy("src").agg(F.count("*").alias("neighbours"), F.count_if(F.col("cluster") >= 0).alias("grouped"), F.round(F.max("sim"), 4).alias("sim_max"), F.avg(F.when(F.col("rank") <= 10, F.col("sim"))).alias("mean10"))
     lead = V.vote(n.where("cluster >= 0"), ["src"], "cluster", 1).select("src", "cluster", "share")
-    return m.join(lead, "src", "left").select("src", "neighbours", "grouped", "sim_max", F.round("mean10", 4).alias("sim_mean10"), "cluster", "share", V.reading(F.col("mean10"), F.col("share")).alias("lectura"))
+    return m.join(lead, "src", "left").select("src", "neighbours", "grouped", "sim_max", F.round("mean10", digits).alias("sim_mean10"), "cluster", "share", V.reading(F.col("mean10"), F.col("share")).alias("lectura"))
 
 
 @entry(
@@ -223,12 +223,12 @@ def _analysis(n: DataFrame) -> DataFrame:
 )
 def context_analysis(spark: SparkSession, d: str) -> DataFrame:
     """Where a document falls in the corpus: neighbours, leading group and its share, how clear that reading is."""
-    return _analysis(near(spark, d)).drop("src")
+    return _analysis(near(spark, d), 4).drop("src")
 
 
 @entry(
     f"WITH {_TE}, w AS (SELECT src, cluster, sum(sim * sim) AS w FROM near WHERE cluster >= 0 GROUP BY 1, 2), v AS (SELECT src, cluster, round(w / sum(w) OVER (PARTITION BY src), 3) AS share, row_number() OVER (PARTITION BY src ORDER BY round(w, 6) DESC, cluster) AS r FROM w), m AS (SELECT src, avg(sim) FILTER (rank <= 10) AS mean10, max(sim) AS top, count(*) FILTER (cluster >= 0) AS grouped, count(*) AS n FROM near GROUP BY 1) "
-    "SELECT m.src, n AS neighbours, grouped, round(top, 4) AS sim_max, round(mean10, 4) AS sim_mean10, v.cluster, v.share, CASE WHEN mean10 < 0.80 THEN 'ninguna' WHEN v.share >= 0.6 AND mean10 >= 0.86 THEN 'clara' WHEN v.share >= 0.35 THEN 'entre' ELSE 'dispersa' END AS lectura FROM m LEFT JOIN v ON v.src = m.src AND v.r = 1"
+    "SELECT m.src, n AS neighbours, grouped, round(top, 4) AS sim_max, round(mean10, 6) AS sim_mean10, v.cluster, v.share, CASE WHEN mean10 < 0.80 THEN 'ninguna' WHEN v.share >= 0.6 AND mean10 >= 0.86 THEN 'clara' WHEN v.share >= 0.35 THEN 'entre' ELSE 'dispersa' END AS lectura FROM m LEFT JOIN v ON v.src = m.src AND v.r = 1"
 )
 def context_analysis_each(spark: SparkSession, d: str) -> DataFrame:
     return _analysis(near(spark, d, each=True))
