@@ -7,14 +7,12 @@ groups that the ones before have made, and every rule's outcome depends on keys
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lumbrera.functions import text as X
+from lumbrera.operators.edits import deletion_keys
 from lumbrera.operators.graph import relabel
 from lumbrera.operators.relational import ids_over, keep_first
 from lumbrera.plans.lineage import cut, spread
@@ -75,20 +73,6 @@ def same_bag(v: DataFrame) -> DataFrame:
     return bare.unionByName(_sole(found))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _deletion_keys(block: pd.Series, word: pd.Series) -> pd.Series:
-    """Keys of a text, and of what is left of it after up to two deletions, inside a block: texts of one block within two
-    edits have a key in common."""
-    out = []
-    for b, w in zip(block, word, strict=True):
-        left = front = {w}
-        for _ in range(2):
-            front = {t[:i] + t[i + 1 :] for t in front for i in range(len(t))}
-            left = left | front
-        out.append(pd.util.hash_array(np.array([f"{b}|{t}" for t in left], dtype=object), categorize=False).view(np.int64))
-    return pd.Series(out, dtype=object)
-
-
 def _compatible() -> Column:
     """Whether the given names ``no`` are, in order, words of ``lno`` or their initials."""
     word = lambda w: F.concat(F.lit("\\Q"), w, F.when(F.length(w) == 1, F.lit("\\E\\S*")).otherwise(F.lit("\\E")))
@@ -172,8 +156,8 @@ def _by_group(found: DataFrame, groups: DataFrame, ratio: int) -> DataFrame:
 def inverted(v: DataFrame) -> DataFrame:
     """R9: surnames in the other order, each within an edit, against the only group that is at least ten times as frequent."""
     k = v.where((F.size("ap") == 2) & (F.size("no") > 0)).select("label", _joined("no").alias("g"), F.get("ap", F.lit(0)).alias("s1"), F.get("ap", F.lit(1)).alias("s2"))
-    to = k.select(F.explode(_deletion_keys("g", "s2")).alias("key"), F.col("g").alias("tg"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("label").alias("target"))
-    near = k.withColumn("key", F.explode(_deletion_keys("g", "s1"))).join(to, "key").where(F.col("g") == F.col("tg")).where((F.levenshtein("s1", "t2") <= 1) & (F.levenshtein("s2", "t1") <= 1))
+    to = k.select(F.explode(deletion_keys("g", "s2")).alias("key"), F.col("g").alias("tg"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("label").alias("target"))
+    near = k.withColumn("key", F.explode(deletion_keys("g", "s1"))).join(to, "key").where(F.col("g") == F.col("tg")).where((F.levenshtein("s1", "t2") <= 1) & (F.levenshtein("s2", "t1") <= 1))
     return _by_group(near, _groups(v), 10)
 
 
@@ -184,7 +168,7 @@ def typos(v: DataFrame, ratio: int = 3) -> DataFrame:
     k = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).select("node", "label", "n", "programs", _joined("ap").alias("s"), _joined("no").alias("g"))
     side = lambda same, w: F.struct(same.alias("same"), F.col(w).alias("w"))
     sides = spread(k.select("node", "n", F.explode(F.array(side(F.concat_ws("|", F.lit("s"), "s"), "g"), side(F.concat_ws("|", F.lit("g"), F.substring("s", 1, 1), "g"), "s"))).alias("e")))
-    keyed = cut(sides.select("node", "n", F.explode(_deletion_keys("e.same", "e.w")).alias("key")), "typo-keys")
+    keyed = cut(sides.select("node", "n", F.explode(deletion_keys("e.same", "e.w")).alias("key")), "typo-keys")
     often = keyed.where(F.col("n") >= ratio).select("key", F.col("node").alias("to"), F.col("n").alias("tn"))
     met = keyed.where("n <= 2").join(often, "key").where((F.col("node") != F.col("to")) & (F.col("tn") >= ratio * F.col("n"))).select("node", "to").distinct()  # pairs meet on many keys: compared once
     to = k.select(F.col("node").alias("to"), F.col("s").alias("ts"), F.col("g").alias("tg"), F.col("programs").alias("tp"), F.col("label").alias("target"))
@@ -199,7 +183,7 @@ def whole_typos(v: DataFrame, ratio: int = 3, common: int = 20) -> DataFrame:
     given name's initial in common, against the only group at least ``ratio`` times as frequent in a shared program.
     Names of three words or fewer that differ only in words that are both common are other persons."""
     k = v.where((F.size("ap") >= 2) & (F.size("no") > 0)).select("node", "label", F.concat("ap", "no").alias("ws"), F.slice("ap", 1, 2).alias("s"), F.substring(F.get("no", F.lit(0)), 1, 1).alias("i")).withColumn("w", _joined("ws"))
-    keyed = cut(spread(k.select("node", "label", "i", "w")).select("node", "label", F.explode(_deletion_keys("i", "w")).alias("key")), "name-keys")
+    keyed = cut(spread(k.select("node", "label", "i", "w")).select("node", "label", F.explode(deletion_keys("i", "w")).alias("key")), "name-keys")
     met = keyed.join(keyed.select("key", F.col("node").alias("to"), F.col("label").alias("target")), "key").where("label <> target").select("node", "to").distinct()  # pairs meet on many keys: compared once
     to = k.select(F.col("node").alias("to"), F.col("i").alias("ti"), F.col("w").alias("tw"), F.col("ws").alias("tws"), F.col("s").alias("ts"), F.col("label").alias("target"))
     p = met.join(k, "node").join(to, "to").where((F.col("i") == F.col("ti")) & F.arrays_overlap("s", "ts"))
@@ -270,7 +254,7 @@ def suspicious(groups: DataFrame, residues: int = 40) -> DataFrame:
         return f.join(first, list(keys)).where("label <> a").withColumn("b", F.col("label"))
 
     def near(same: str, word: str, least: int) -> DataFrame:
-        k = spread(f.where(F.length(word) >= least).select("label", F.col(same).alias("same"), F.col(word).alias("w")).distinct()).withColumn("key", F.explode(_deletion_keys("same", "w")))
+        k = spread(f.where(F.length(word) >= least).select("label", F.col(same).alias("same"), F.col(word).alias("w")).distinct()).withColumn("key", F.explode(deletion_keys("same", "w")))
         to = k.select("key", F.col("same").alias("tsame"), F.col("w").alias("tw"), F.col("label").alias("b"))
         return k.join(to, "key").where((F.col("label") < F.col("b")) & (F.col("same") == F.col("tsame")) & (F.levenshtein("w", "tw") <= 2)).select(F.col("label").alias("a"), "b", "w", "tw")
 

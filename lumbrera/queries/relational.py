@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lumbrera.functions import text as X
 from lumbrera.operators import relational as R
+from lumbrera.operators.edits import near_texts
 from lumbrera.queries import base, entry, queries_of, table
 
 PUBLIC = {
@@ -246,22 +247,24 @@ def padded_join(spark: SparkSession, d: str) -> DataFrame:
 )
 def blocked_edit_join(spark: SparkSession, d: str) -> DataFrame:
     v = base(spark, d).where("plantel_estandarizado <> ''").groupBy(F.col("plantel_estandarizado").alias("v")).agg(F.count("*").alias("n")).withColumn("k", F.substring_index("v", " ", 1))
-    a, b = v.select("k", F.col("v").alias("a")), v.select("k", F.col("v").alias("b"))
-    near = F.levenshtein("a", "b", 2)
-    return a.join(b, "k").where("a < b AND abs(length(a) - length(b)) <= 2").where(near >= 0).select("a", "b", near.alias("d"))
+    return near_texts(v, "k", "v")
 
 
-@entry("WITH e AS (SELECT DISTINCT macroid, clusterid FROM cluster_nodes_final_50k WHERE clusterid IS NOT NULL AND macroid IS NOT NULL), p AS (SELECT a.clusterid AS source, b.clusterid AS target FROM e a JOIN e b ON a.macroid = b.macroid AND a.clusterid < b.clusterid) SELECT source AS node, target AS other FROM p UNION ALL SELECT target, source FROM p")
+@entry("WITH e AS (SELECT DISTINCT macroid, clusterid FROM cluster_nodes_final_50k WHERE clusterid IS NOT NULL AND macroid IS NOT NULL), p AS (SELECT clusterid AS source, lead(clusterid) OVER (PARTITION BY macroid ORDER BY clusterid) AS target FROM e), n AS (SELECT DISTINCT clusterid AS node FROM e) SELECT node, target AS other FROM n JOIN p ON p.source = n.node WHERE target IS NOT NULL UNION ALL SELECT node, source FROM n JOIN p ON p.target = n.node")
 def edge_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The other ends of the edges that each node is the source or the target of; edges lead from a cluster to the next
+    one of its macro group."""
     e = table(spark, d, "cluster_nodes_final_50k").where("clusterid IS NOT NULL AND macroid IS NOT NULL").select("macroid", "clusterid").distinct()
-    p = e.withColumnRenamed("clusterid", "source").join(e.withColumnRenamed("clusterid", "target"), "macroid").where("source < target")
-    return p.select(F.col("source").alias("node"), F.col("target").alias("other")).unionByName(p.select(F.col("target").alias("node"), F.col("source").alias("other")))
+    p = e.select(F.col("clusterid").alias("source"), F.lead("clusterid").over(Window.partitionBy("macroid").orderBy("clusterid")).alias("target")).where("target IS NOT NULL")
+    n = e.select(F.col("clusterid").alias("node")).distinct()
+    return n.join(p, F.col("node") == F.col("source")).select("node", F.col("target").alias("other")).unionByName(n.join(p, F.col("node") == F.col("target")).select("node", F.col("source").alias("other")))
 
 
 @entry("WITH g AS (SELECT id, clusterid, macroid, row_number() OVER (PARTITION BY macroid, clusterid ORDER BY id) AS r FROM cluster_nodes_final_50k WHERE macroid IS NOT NULL AND clusterid IS NOT NULL) SELECT macroid, count(*) AS pairs FROM g a JOIN g b USING (macroid) WHERE a.r = 1 AND b.r = 1 AND a.clusterid < b.clusterid GROUP BY macroid")
 def group_pairs(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "cluster_nodes_final_50k").where("macroid IS NOT NULL AND clusterid IS NOT NULL").select("macroid", "clusterid").distinct()
-    return e.withColumnRenamed("clusterid", "a").join(e.withColumnRenamed("clusterid", "b"), "macroid").where("a < b").groupBy("macroid").agg(F.count("*").alias("pairs"))
+    n = e.groupBy("macroid").agg(F.count("*").alias("n")).where("n > 1")
+    return n.select("macroid", F.expr("n * (n - 1) div 2").alias("pairs"))  # counted, not emitted
 
 
 @entry(

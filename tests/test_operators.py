@@ -372,3 +372,26 @@ def test_fewer_given_names_and_turned_commas(spark):
     by = {r["display"]: r["label"] for r in E.resolve(E.mentions(df, "id", F.col("n"), F.col("p"))).collect()}
     assert by["Solares Mireda, Eva Ana"] == by["Solares Mireda, Ana Luz Eva"] == by["Ana Luz Eva, Solares Mireda"]
     assert len({by[n] for n in names[8:]}) == 3  # two longer forms: neither is meant
+
+
+def test_near_texts_of_any_length(spark):
+    from lumbrera.operators.edits import near_texts
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcde") for _ in range(n))
+    texts = {"", "a", "ab", "abc"}
+    for n in (3, 9, 30, 78, 79, 80, 81, 82, 83, 84, 140):
+        for _ in range(4):
+            t = word(n)
+            texts.add(t)
+            for _ in range(4):
+                u = t
+                for _ in range(rng.choice((1, 2, 2, 3))):
+                    i = rng.randrange(len(u) + 1)
+                    u = rng.choice((u[:i] + u[i + 1 :], u[:i] + rng.choice("xyz") + u[i:], u[:i] + rng.choice("xyz") + u[i + 1 :]))
+                texts.add(u)
+    df = spark.createDataFrame([("k", t) for t in texts] + [("other", t) for t in list(texts)[:3]] + [("k", None), (None, "a"), ("k", "a")], "k string, v string")
+    got = {tuple(r) for r in near_texts(df.where("k = 'k' OR k IS NULL"), "k", "v").collect()}
+    pairs = spark.createDataFrame([(a, b) for a in texts for b in texts if a < b], "a string, b string").withColumn("d", F.levenshtein("a", "b", 2)).where("d > 0")
+    assert got == {tuple(r) for r in pairs.collect()} and len(got) > 60
+    assert near_texts(df.where("k = 'none'"), "k", "v").count() == 0
