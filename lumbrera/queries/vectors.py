@@ -60,7 +60,7 @@ def query_topk_each(spark: SparkSession, d: str) -> DataFrame:
 def knn_inverted_lists(spark: SparkSession, d: str) -> DataFrame:
     r = rows(spark, d)
     index = V.InvertedLists(r, lists=64)
-    return index.search(asked(spark, d), 10, probes=24)
+    return index.search(asked(spark, d), 10, probes=36)
 
 
 @entry()
