@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import md5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from lumbrera.plans.lineage import cut, spread
 
-#: Values a language's dictionary is built from, at most; bits for a step, a character of another language, one of no language, an inner capital.
-SAMPLE = 4000
+#: Occurrences of words that a language's dictionary is trained on, in proportion to their counts in all clean values; bits for a step, a character of another language, one of no language, an inner capital.
+DIGEST = 60_000
 DICTIONARY = 1 << 15  # bytes
 STEP_UTF8, STEP_BYTE, FOREIGN, SYMBOL, INNER = 4, 16, 12, 20, 8
 #: Bits for the channel that loses letters and for each letter lost, its accent included; what a mark may stand for.
@@ -197,7 +198,7 @@ class Coder:
 
     def bits(self, text: str, most: float = float("inf")) -> float:
         """Description length; infinite if the prices alone reach ``most``."""
-        common, spanish, portuguese = INNER * inner_capitals(text) + (SYMBOL * len(_ASKED.findall(text)) if "?" in text else 0), 0, 0
+        common, spanish, portuguese = INNER * inner_capitals(text) + SYMBOL * len(_INNER_MARK.findall(text)) + (SYMBOL * len(_ASKED.findall(text)) if "?" in text else 0), 0, 0
         for c in _BEYOND.findall(text):
             x, y, z = _character(c)
             common, spanish, portuguese = common + x, spanish + y, portuguese + z
@@ -211,6 +212,7 @@ class Coder:
 
 
 _TYPOGRAPHIC = "…–—’"
+_INNER_MARK = re.compile(r"(?<=[a-zà-öø-ÿ])[–—’](?=[a-zà-öø-ÿ]|$|[\s,])")  # Luc’a, Sim—n: what stands at a letter's place
 
 
 _INSIDE = re.compile(r"(?<=[a-zà-öø-ÿ])[À-ÖØ-Þ]")  # a capital beyond ASCII behind a small letter
@@ -262,27 +264,36 @@ def _hole_key(value: Column) -> Column:
     return F.regexp_replace(value, r"[^\x00-\x7f]|\?", "?")
 
 
-def find_garbled(df: DataFrame, columns: list[str], key: str, sample: int = SAMPLE) -> DataFrame:
+def digests(clean: DataFrame) -> dict[str, list[str]]:
+    """Training text of each language's dictionary, lines of four words: every word occurs as often as its count in all
+    values (v) asks for, the whole scaled to DIGEST occurrences where there are more. Counting covers every value; a
+    word whose share makes less than half an occurrence has none, so at most 2 * DIGEST words are collected."""
+    words = clean.select(_language(F.col("v")).alias("lang"), F.explode(F.split(F.trim("v"), r"\s+")).alias("w")).where(F.col("w") != "")
+    counts = cut(words.groupBy("lang", "w").agg(F.count("*").alias("n")), "word-counts")
+    out: dict[str, list[str]] = {lang: [] for lang in ALPHABETS}
+    for lang, total in counts.groupBy("lang").agg(F.sum("n")).collect():  # a row a language
+        if lang in out:
+            times = F.round(F.col("n") * (min(DIGEST, total) / total)).cast("int")
+            rows = counts.where((F.col("lang") == lang) & (times > 0)).select("w", times).collect()
+            mixed = [w for _, w in sorted((md5(f"{w} {i}".encode()).digest(), w) for w, n in rows for i in range(n))]
+            out[lang] = [" ".join(mixed[i : i + 4]) for i in range(0, len(mixed), 4)]
+    return out
+
+
+def find_garbled(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     """(key, campo, valor, restaurado, cadena) for each value garbled by a wrong encoding.
 
     ``restaurado`` is the original as far as it can be restored, null where letters are lost for good. Null, empty
     and plain ASCII values (without question marks inside words) are never garbled. Equal values get equal results;
-    work is done once per distinct value. The dictionaries are built from at most ``sample`` clean values a language,
-    those of smallest hash; counting, decoding and matching cover all rows.
+    work is done once per distinct value. The dictionaries are built from the counts of words in all clean values;
+    counting, decoding and matching cover all rows.
     """
     spark = df.sparkSession
     cells = df.select(F.col(f"`{key}`").alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("campo"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])).alias("f")).select("k", "f.campo", "f.v")
     cells = cells.where(F.col("v").rlike(r"[^\x00-\x7f]|\?"))
     distinct = cut(spread(cells.select("v").distinct()), "garbled-values")
     clean = distinct.where(~F.col("v").rlike(r'[?\x{fffd}|;/&"\[\]\n\t]') & F.col("v").rlike(r"^[\p{IsLatin}\s.,'()\-]+$") & ~F.col("v").rlike(r"[\p{Ll}]\p{Lu}|Ã[\u0080-¿]|[Ââã][^\p{L}\s]"))
-    rows = None
-    for lang in ALPHABETS:
-        some = clean.where(_language(F.col("v")) == lang).orderBy(F.xxhash64("v"), "v").limit(sample).select(F.lit(lang).alias("lang"), "v")
-        rows = some if rows is None else rows.unionByName(some)
-    samples: dict[str, list[str]] = {lang: [] for lang in ALPHABETS}
-    for r in rows.collect():  # at most ``sample`` values a language
-        samples[r["lang"]].append(r["v"])
-    shared = spark.sparkContext.broadcast(samples)
+    shared = spark.sparkContext.broadcast(digests(clean))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value)

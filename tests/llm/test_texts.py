@@ -43,6 +43,14 @@ def test_lost_letters_come_back_where_one_value_fits(spark):
     assert got == {"b": "Peñalba Ruidíaz, José", "c": None}
 
 
+def test_dictionaries_count_the_words_of_all_clean_values(spark, monkeypatch):
+    clean = spark.range(6000).selectExpr("concat('Peñalba Ñ', id, 'x') AS v")
+    words = " ".join(G.digests(clean)["es"]).split()
+    assert words.count("Peñalba") == 6000 and len(set(words)) == 6001
+    monkeypatch.setattr(G, "DIGEST", 100)
+    assert " ".join(G.digests(clean)["es"]).split() == ["Peñalba"] * 50  # half of all words
+
+
 def test_every_letter_beyond_ascii_competes():
     coder = G.Coder({"es": [*NAMES, "VILLÀ SOLARES, ANA", "ELCHÀ PEÑALBA, JOSÉ", *(f"Pérez {x}, Luz" for x in SURNAMES)] * 3, "pt": ["Magalhães, Ângelo", "Gonçalves, João"]})
     for text in ("VILLÀ SOLARES, ANA", "Pérez Solares, Luz"):
