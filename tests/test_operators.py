@@ -422,3 +422,11 @@ def test_condensed_tree_of_a_million_points():
     a = np.arange(n - 1)
     label, member, _ = C.condense(a, a + 1, np.where(a % size == size - 1, 2.0, 1.0), n, size)
     assert len(np.unique(label)) == n // size and label.min() == 0 and (member > 0).all()
+
+
+def test_suspicious_pairs_leave_no_plan_of_all_types(spark):
+    df = spark.createDataFrame([(1, 1, ["solares", "rios"], ["ana", "luz"], 3, "Solares Ríos, Ana Luz", ["x"]), (2, 2, ["rios", "solares"], ["ana", "luz"], 1, "Ríos Solares, Ana Luz", ["x"])], "node long, label long, ap array<string>, no array<string>, n long, display string, programs array<string>")
+    found = E.suspicious(df)
+    assert {tuple(r) for r in found.collect()} == {(t, "Solares Ríos, Ana Luz", "Ríos Solares, Ana Luz", True) for t in "DG"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "levenshtein" not in plan  # the two that name the persons
