@@ -264,16 +264,17 @@ def _hole_key(value: Column) -> Column:
     return F.regexp_replace(value, r"[^\x00-\x7f]|\?", "?")
 
 
-def digests(clean: DataFrame) -> dict[str, list[str]]:
+def digests(clean: DataFrame, least: int = 0) -> dict[str, list[str]]:
     """Training text of each language's dictionary, lines of four words: every word occurs as often as its count in all
     values (v) asks for, the whole scaled to DIGEST occurrences where there are more. Counting covers every value; a
-    word whose share makes less than half an occurrence has none, so at most 2 * DIGEST words are collected."""
+    word whose share makes less than half an occurrence has ``least``: with 1, no word of any value is left out, and
+    what is collected is the vocabulary, which hardly grows with the number of values."""
     words = clean.select(_language(F.col("v")).alias("lang"), F.explode(F.split(F.trim("v"), r"\s+")).alias("w")).where(F.col("w") != "")
     counts = cut(words.groupBy("lang", "w").agg(F.count("*").alias("n")), "word-counts")
     out: dict[str, list[str]] = {lang: [] for lang in ALPHABETS}
     for lang, total in counts.groupBy("lang").agg(F.sum("n")).collect():  # a row a language
         if lang in out:
-            times = F.round(F.col("n") * (min(DIGEST, total) / total)).cast("int")
+            times = F.greatest(F.round(F.col("n") * (min(DIGEST, total) / total)).cast("int"), F.lit(least))
             rows = counts.where((F.col("lang") == lang) & (times > 0)).select("w", times).collect()
             mixed = [w for _, w in sorted((md5(f"{w} {i}".encode()).digest(), w) for w, n in rows for i in range(n))]
             out[lang] = [" ".join(mixed[i : i + 4]) for i in range(0, len(mixed), 4)]
@@ -285,15 +286,15 @@ def find_garbled(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 
     ``restaurado`` is the original as far as it can be restored, null where letters are lost for good. Null, empty
     and plain ASCII values (without question marks inside words) are never garbled. Equal values get equal results;
-    work is done once per distinct value. The dictionaries are built from the counts of words in all clean values;
-    counting, decoding and matching cover all rows.
+    work is done once per distinct value. The dictionaries are built from the counts of all words of all clean values,
+    rare ones included; counting, decoding and matching cover all rows.
     """
     spark = df.sparkSession
     cells = df.select(F.col(f"`{key}`").alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("campo"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])).alias("f")).select("k", "f.campo", "f.v")
     cells = cells.where(F.col("v").rlike(r"[^\x00-\x7f]|\?"))
     distinct = cut(spread(cells.select("v").distinct()), "garbled-values")
     clean = distinct.where(~F.col("v").rlike(r'[?\x{fffd}|;/&"\[\]\n\t]') & F.col("v").rlike(r"^[\p{IsLatin}\s.,'()\-]+$") & ~F.col("v").rlike(r"[\p{Ll}]\p{Lu}|Ã[\u0080-¿]|[Ââã][^\p{L}\s]"))
-    shared = spark.sparkContext.broadcast(digests(clean))
+    shared = spark.sparkContext.broadcast(digests(clean, least=1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value)

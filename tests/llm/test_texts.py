@@ -51,6 +51,16 @@ def test_dictionaries_count_the_words_of_all_clean_values(spark, monkeypatch):
     assert " ".join(G.digests(clean)["es"]).split() == ["Peñalba"] * 50  # half of all words
 
 
+def test_no_word_is_left_out_of_the_dictionaries(spark, monkeypatch):
+    seen, whole = [], G.digests
+    monkeypatch.setattr(G, "DIGEST", 100)
+    monkeypatch.setattr(G, "digests", lambda *a, **k: seen.append(whole(*a, **k)) or seen[-1])
+    df = spark.range(600).selectExpr("id", "concat('Peñalba Ñ', repeat('a', cast(id % 7 as int)), char(97 + id % 26), char(97 + id div 26)) AS f")
+    G.find_garbled(df, ["f"], "id").count()
+    words = " ".join(seen[0]["es"]).split()
+    assert len(set(words)) == 601 and words.count("Peñalba") == 50  # rare words once, common ones by their share
+
+
 def test_every_letter_beyond_ascii_competes():
     coder = G.Coder({"es": [*NAMES, "VILLÀ SOLARES, ANA", "ELCHÀ PEÑALBA, JOSÉ", *(f"Pérez {x}, Luz" for x in SURNAMES)] * 3, "pt": ["Magalhães, Ângelo", "Gonçalves, João"]})
     for text in ("VILLÀ SOLARES, ANA", "Pérez Solares, Luz"):
