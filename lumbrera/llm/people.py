@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbrera.operators.graph import components
-from lumbrera.plans.lineage import cut, spread
+from lumbrera.plans.lineage import cut, drop, spread
 
 #: A word is a given name if it stands after the comma so often among all spellings, and mostly there.
 GIVEN_LEAST, GIVEN_PART, GIVEN_SHARE = 3, 1e-4, 0.8
@@ -233,8 +233,9 @@ def edits(a: str, b: str) -> int:
     return min(3, one[-1])
 
 
-def link_spellings(names: DataFrame, column: str = "name") -> DataFrame:
+def link_spellings(names: DataFrame, column: str = "name", spent: tuple[DataFrame, ...] = ()) -> DataFrame:
     """(name, person): every distinct non-blank spelling with the id of its person (a number of no further meaning).
+    Tables ``spent`` are dropped as soon as ``names`` has been read.
 
     Null and blank values give no row, repeated rows one. A spelling that matches nothing is a person by itself.
     Values without any given name (institutions, single words) are joined only if they differ in case, accents or
@@ -243,6 +244,7 @@ def link_spellings(names: DataFrame, column: str = "name") -> DataFrame:
     spark = names.sparkSession
     raw = names.select(F.col(f"`{column}`").cast("string").alias("name")).where(F.col("name").rlike(r"\S")).groupBy("name").agg(F.count("*").alias("n"))
     raw = cut(spread(raw), "spellings")
+    drop(*spent)
     total = raw.count()
 
     def roles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,11 +270,12 @@ def link_spellings(names: DataFrame, column: str = "name") -> DataFrame:
 
     read_names = cut(raw.mapInPandas(read, "name string, n long, node long, s array<string>, g array<string>, kind string"), "parsed")
     nodes = cut(read_names.groupBy("node").agg(F.sum("n").alias("n"), F.min_by(F.struct("s", "g", "kind"), F.struct(-F.col("n"), "name")).alias("p")).select("node", "n", "p.s", "p.g", "p.kind").where("kind = 'person'"), "nodes")
+    drop(raw)
     open_words, often = cut(_open_words(nodes), "open-words"), cut(_often(nodes), "surnames")
     labels = cut(nodes.select("node", F.col("node").alias("label")), "labels")
     labels, _ = _merged(labels, _slips(open_words, open_words, often, given))
     keyed = cut(_keys(nodes, given), "keys")
-    known = nodes.select("node", "s", "g")
+    known = cut(nodes.select("node", "s", "g"), "known")
     while True:
         labels = _rematch(keyed, known, labels, given)
         rich = cut(_profiles(known, labels), "profiles")
@@ -280,6 +283,7 @@ def link_spellings(names: DataFrame, column: str = "name") -> DataFrame:
             break
         # The richer persons enter the blocks again, as nodes that have their label; a profile that another person has
         # as a spelling is that person.
+        before = labels, known, keyed
         twins = rich.join(nodes.select("node"), "node").join(labels, "node").select("person", "label").where("person <> label")
         words_ = cut(_open_words(rich.withColumn("n", F.lit(0).cast("long"))), "profile-words")
         of = labels.unionByName(rich.select("node", F.col("person").alias("label")))
@@ -289,16 +293,19 @@ def link_spellings(names: DataFrame, column: str = "name") -> DataFrame:
         known = cut(known.unionByName(extra.select("node", "s", "g")), "known")
         keyed = cut(keyed.unionByName(_keys(extra, given)), "keys")
         labels, _ = _merged(labels, twins.select(F.col("person").alias("a"), F.col("label").alias("b")).unionByName(slips.select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+        drop(*before, rich, words_)
     return read_names.join(labels, "node", "left").select("name", F.coalesce("label", "node").alias("person"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
-    """Labels after links between them, and whether there were any."""
+    """Labels after links between them, and whether there were any; the labels before are dropped if so."""
     links = cut(links.where("a <> b").distinct(), "merges")
     if not links.limit(1).count():
         return labels, False
     moved = components(links)
-    return cut(labels.join(moved, labels["label"] == moved["id"], "left").select("node", F.coalesce(moved["label"], labels["label"]).alias("label")), "labels"), True
+    new = cut(labels.join(moved, labels["label"] == moved["id"], "left").select("node", F.coalesce(moved["label"], labels["label"]).alias("label")), "labels")
+    drop(links, moved, labels)
+    return new, True
 
 
 def _keys(nodes: DataFrame, given) -> DataFrame:
@@ -336,6 +343,7 @@ def _rematch(keyed: DataFrame, known: DataFrame, labels: DataFrame, given) -> Da
         found = mine.unionByName(fitted).where("lo = hi").join(labels, "node").where("label <> lo").select(F.col("label").alias("a"), F.col("lo").alias("b"))
         labels, moved = _merged(labels, found)
         if not moved:
+            drop(giving, long)
             return labels
 
 
@@ -437,4 +445,8 @@ def _slips(mine: DataFrame, all_words: DataFrame, often: DataFrame, given) -> Da
                     b.append(x.node2)
             yield pd.DataFrame({"a": a, "b": b}).astype("int64")
 
-    return counted(counted(cut(met, "met-words"), "w", "c"), "w2", "c2").mapInPandas(judge, "a long, b long")
+    met = cut(met, "met-words")
+    drop(near, several, *([] if mine is all_words else [other]))
+    slips = cut(counted(counted(met, "w", "c"), "w2", "c2").mapInPandas(judge, "a long, b long"), "slips")
+    drop(met)
+    return slips

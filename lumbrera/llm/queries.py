@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumbrera.llm import canon, garbled, groups, neighbours, packing, people, quality, tokens, truncated
 from lumbrera.operators.packed import split_packed
-from lumbrera.plans.lineage import cut, spread
+from lumbrera.plans.lineage import cut, drop, settled, spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,20 +40,21 @@ def p2_restored(spark: SparkSession, folder: str) -> DataFrame:
 def _spellings(spark: SparkSession, folder: str) -> DataFrame:
     """Every name of the person fields; records whose advisors are garbled or cut give only their authors."""
     base = table(spark, folder, "base7_kaggle_clean")
-    damaged = p2_found(spark, folder).where("campo = 'asesores_limpios_v2'").select("thesis_id").unionByName(p6_found(spark, folder)).distinct()
-    damaged = cut(damaged, "damaged")
-    split = cut(split_packed(base, ["asesores_limpios_v2", "autores_limpios_v2"], "thesis_id").select("thesis_id", "campo", F.col("valor").alias("name")), "split")
+    garbled_ = settled(lambda: p2_found(spark, folder).where("campo = 'asesores_limpios_v2'").select("thesis_id"), "garbled")
+    damaged = settled(lambda: garbled_.unionByName(p6_found(spark, folder)).distinct(), "damaged")
+    split = settled(lambda: split_packed(base, ["asesores_limpios_v2", "autores_limpios_v2"], "thesis_id").select("thesis_id", "campo", F.col("valor").alias("name")), "split")
     authors = split.where("campo = 'autores_limpios_v2'").select("name")
     advisors = split.where("campo = 'asesores_limpios_v2'").join(damaged, "thesis_id", "left_anti").select("name")
     principal = base.join(damaged, "thesis_id", "left_anti").select(F.col("asesor_limpio_v2").alias("name"))
-    return people.link_spellings(authors.unionByName(advisors).unionByName(principal))
+    return people.link_spellings(authors.unionByName(advisors).unionByName(principal), spent=(damaged, split))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """All pairs of a person's strings, as TESTDATA.md asks; persons of very many strings are divided among tasks."""
-    people_ = cut(_spellings(spark, folder), "people")
+    people_ = settled(lambda: _spellings(spark, folder), "people")
     parts = people_.groupBy("person").agg(F.ceil(F.count("*") / 256).cast("int").alias("parts"), F.count("*").alias("n")).where("n > 1").select("person", "parts")
     some = cut(people_.join(parts, "person"), "people-of-several")
+    drop(people_)
     a = some.select(F.col("name").alias("nombre_a"), "person", F.pmod(F.xxhash64("name"), "parts").cast("int").alias("part"))
     b = some.select(F.col("name").alias("nombre_b"), "person", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     return a.join(b, ["person", "part"]).where("nombre_a < nombre_b").select("nombre_a", "nombre_b")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -430,3 +431,32 @@ def test_suspicious_pairs_leave_no_plan_of_all_types(spark):
     assert {tuple(r) for r in found.collect()} == {(t, "Solares Ríos, Ana Luz", "Ríos Solares, Ana Luz", True) for t in "DG"}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 2 and "levenshtein" not in plan  # the two that name the persons
+
+
+def test_tables_on_the_way_go_as_soon_as_the_result_is_written(spark):
+    from lumbrera.plans.lineage import cut, settled
+
+    on_the_way = []
+
+    def make():
+        on_the_way.append(cut(spark.range(9), "part"))
+        on_the_way.append(cut(settled(lambda: cut(on_the_way[0], "inner").where("id > 1"), "half"), "rest"))
+        return on_the_way[1].where("id < 5")
+
+    got = settled(make, "whole")
+    assert sorted(r["id"] for r in got.collect()) == [2, 3, 4] and all(Path(f.removeprefix("file:")).exists() for f in got.inputFiles())
+    assert not any(Path(f.removeprefix("file:")).exists() for t in on_the_way for f in t.inputFiles())
+
+
+def test_people_leave_no_tables_but_their_result(spark, data):
+    from lumbrera.llm import queries as Q
+    from lumbrera.plans import lineage
+
+    written, before = [], len(lineage._WRITTEN)
+    lineage._WRITTEN.append(written)
+    try:
+        assert Q.p3_found(spark, data).count()
+    finally:
+        lineage._WRITTEN.pop()
+    left = [t for t in written if any(Path(f.removeprefix("file:")).exists() for f in t.inputFiles())]
+    assert len(lineage._WRITTEN) == before and len(written) > 20 and len(left) == 1
