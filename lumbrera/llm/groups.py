@@ -5,7 +5,8 @@ nothing. In each dense cell, or part of a hot one, exact cosines link the vector
 over the links. Then SQL joins adjacent dense cells: what one label holds in a cell and another in the next cell of any
 direction is linked if their first vectors are, and minimum labels are propagated again. A check of every vector with
 all those that have another label, in blocked products, follows; it merges labels that a link still joins, so the
-result doesn't depend on how many links the grids find.
+result doesn't depend on how many links the grids find. Blocks around the first vectors of the largest labels are passed
+over where their angles to it leave no room for a link.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lumbrera.llm.vectors import directions, fold, matrix, sent, slack, unit, usable
+from lumbrera.llm.vectors import LEADERS, angles, directions, fold, led, matrix, sent, slack, unit, usable
 from lumbrera.operators.graph import components
 from lumbrera.plans.lineage import cut, spread
 
@@ -114,27 +115,31 @@ def adjacent_links(cells: DataFrame, labels: DataFrame, distinct: DataFrame, ste
     return both.select("a", "b", "va", "vb").mapInPandas(near, "a long, b long")
 
 
-def label_links(labelled: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between labels of vectors (id, vec, label) that join all labels with a cosine >= threshold between
-    their vectors. Rows and columns of one label are passed over; a task emits no link between labels that it has
-    joined before, so no more links than labels."""
-    rows = spread(labelled.select("id", "vec", "label"), 4)
+def label_links(labelled: DataFrame, leaders: np.ndarray, threshold: float) -> DataFrame:
+    """Links (a, b) between labels of vectors (id, vec, label, cell, phi) that join all labels with a cosine >= threshold
+    between their vectors. Sections whose angles rule such a cosine out, or of the row's own label, are passed over:
+    vectors near to a leader meet sections of near ones only, far ones meet both, so each pair is met from one side at
+    least. A task emits no link between labels that it has joined before, so no more links than labels."""
+    rows = spread(labelled.select("id", "vec", "label", "cell", "phi"), 4)
     out = labelled.sparkSession.createDataFrame([], "a long, b long")
-    for shared in sent(labelled, "label"):
+    for shared in sent(labelled, leaders, "label", "label"):
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             own = [pdf for pdf in batches if len(pdf)]
             if not own:
                 return
-            mine = pd.concat(own).sort_values("label", kind="stable")
-            _, x, label = shared.value
-            order = np.argsort(label, kind="stable")
-            x, label = x[order], label[order]
-            x32 = np.concatenate([unit(x[i : i + 8192]).astype(np.float32) for i in range(0, len(x), 8192)])
+            mine = pd.concat(own)
+            is_far = mine["cell"].to_numpy() < 0
+            mine = mine.iloc[np.lexsort((mine["label"].to_numpy(), np.where(is_far, -1, mine["cell"].to_numpy()), is_far))]
+            is_far, phi = mine["cell"].to_numpy() < 0, mine["phi"].to_numpy()
+            parts = shared.value
+            x, label = parts.x, parts.extra
             q, asked = unit(matrix(mine["vec"])), mine["label"].to_numpy()
             names, at = np.unique(np.concatenate([label, asked]), return_inverse=True)
             c_at, q_at, top = at[: len(label)], at[len(label) :], np.arange(len(names))  # labels in order, what they have become
             least = np.float32(threshold - 1e-9 - slack(x.shape[1]) - 1e-7)
+            first, last = (np.array([f(c_at[lo:hi]) for lo, hi in parts.bounds]) for f in (np.min, np.max))
+            near = parts.cell >= 0
 
             def root(i: int) -> int:
                 while top[i] != i:
@@ -143,17 +148,22 @@ def label_links(labelled: DataFrame, threshold: float) -> DataFrame:
                 return i
 
             a, b = [], []
-            for lo in range(0, len(q), 512):
-                qa, q32 = q_at[lo : lo + 512], q[lo : lo + 512].astype(np.float32)
-                for s in range(int(np.searchsorted(c_at, qa[0], "right")) // 4096 * 4096, len(x), 4096):
-                    ca = c_at[s : s + 4096]
-                    qt, ct = top[qa], top[ca]
-                    if ct[0] == qt[0] and (ct == ct[0]).all() and (qt == qt[0]).all():
-                        continue
-                    hit = q32 @ x32[s : s + 4096].T >= least
+            split = int((~is_far).sum())
+            for lo, hi in [(i, min(i + 512, e)) for s, e in ((0, split), (split, len(q))) for i in range(s, e, 512)]:
+                far, qa, q32 = is_far[lo], q_at[lo:hi], q[lo:hi].astype(np.float32)
+                open_ = parts.open(q32, phi[lo:hi], np.full(hi - lo, float(angles(np.float64(threshold - 1e-9)))))
+                open_ &= ~((first == last)[None, :] & (top[first][None, :] == top[qa][:, None]))
+                open_ &= (near[None, :] if not far else near[None, :] | (last[None, :] > qa[:, None]))
+                for k in np.nonzero(open_.any(axis=0))[0]:
+                    s, rows_at = parts.bounds[k][0], np.nonzero(open_[:, k])[0]
+                    hit = q32[rows_at] @ parts.single(k).T >= least
                     if not hit.any():
                         continue
-                    r, c = np.nonzero(hit & (qa[:, None] < ca) & (qt[:, None] != ct))
+                    r, c = np.nonzero(hit)
+                    r = rows_at[r]
+                    ca = c_at[s : s + hit.shape[1]]
+                    keep = (top[qa[r]] != top[ca[c]]) & ((qa[r] < ca[c]) | bool(far and near[k]))
+                    r, c = r[keep], c[keep]
                     while len(r):  # those that a link found meanwhile has joined are left out
                         some, r, c_some, c = r[:65536], r[65536:], c[:65536], c[65536:]
                         good = np.einsum("id,id->i", q[lo + some], unit(x[s + c_some])).round(9) >= threshold
@@ -168,8 +178,8 @@ def label_links(labelled: DataFrame, threshold: float) -> DataFrame:
                         if joined:
                             while (top != top[top]).any():
                                 top = top[top]
-                            open_ = top[qa[r]] != top[ca[c]]
-                            r, c = r[open_], c[open_]
+                            rest = top[qa[r]] != top[ca[c]]
+                            r, c = r[rest], c[rest]
             yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
         out = out.unionByName(cut(rows.mapInPandas(search, "a long, b long"), "label-links"))
@@ -219,7 +229,10 @@ def group_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding",
 
     labels = renamed(distinct.select("id", F.col("id").alias("label")), cell_links(split, threshold))
     labels = renamed(labels, adjacent_links(cells, labels, distinct, [(g, int(x)) for g in range(grids) for x in mix(g)], threshold))
-    labels = renamed(labels, label_links(cut(distinct.join(labels, "id").select("id", "vec", "label"), "labelled"), threshold))
+    largest = labels.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "label").limit(LEADERS)
+    leaders = unit(matrix(r["vec"] for r in largest.join(distinct, largest["label"] == distinct["id"]).orderBy("id").select("vec").collect()))
+    labelled = cut(led(distinct.join(labels, "id").select("id", "vec", "label"), leaders), "labelled")
+    labels = renamed(labels, label_links(labelled, leaders, threshold))
     of_rep = distinct.select("id", "copies").join(labels, "id").select(F.col("id").alias("rep"), F.col("label").alias("grupo"), "copies")
     return members.join(of_rep, "rep").select("id", "grupo", "copies", "rep")
 

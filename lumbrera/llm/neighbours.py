@@ -9,7 +9,7 @@ through the sort; vectors follow once, to their ranges.
 How many curves met each of the k best partners tells how likely one was missed by all of them (what is met again and
 again is complete, what was met once has siblings unseen). Vectors whose partners were met by few curves, as in a
 group far larger than the windows, are asked again: they are compared with all vectors, in blocks of bounded size and
-in single precision with a proven margin. Exact copies are folded beforehand and expanded afterwards.
+in single precision with a proven margin, but for blocks whose angles say that none of the best can be there. Exact copies are folded beforehand and expanded afterwards.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbrera.llm.vectors import directions, first_ids, fold, matrix, sent, slack, unit, usable
+from lumbrera.llm.vectors import Sections, angles, directions, first_ids, fold, led, matrix, sent, slack, unit, usable
 from lumbrera.plans.lineage import cut, spread, width
 
 #: Curves, directions and bits of each, rows compared at once, rows to either side of them, rows of a range.
@@ -66,21 +66,24 @@ def curve_key(u: np.ndarray, curve: int, dims: int = DIMS, bits: int = BITS) ->
     return hilbert(cells, bits)
 
 
-def _best(own: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rows: np.ndarray, sections: list, k: int, floor: float):
-    """(row, id, cosine) of the k most similar for unit vectors ``q`` among ``x``, whose unit vectors in single
-    precision are ``rows``, by row, cosine and id. Sections are met in their order."""
-    n, gap = len(own), slack(q.shape[1])
+def _best(own: np.ndarray, q: np.ndarray, phi: np.ndarray, least: np.ndarray, parts: Sections, k: int, floor: float):
+    """(row, id, cosine) of the k most similar for unit vectors ``q`` at the angles ``phi`` to their nearest leaders, by
+    row, cosine and id, those below ``least`` left out. Sections are met in their order."""
+    gap, ids, x = slack(q.shape[1]), parts.ids, parts.x
     q32 = q.astype(np.float32)
+    open_ = parts.open(q32, phi, angles(least))
     at, to, sim = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    least = np.full(n, floor - 1e-9)
-    for lo, hi in sections:
-        s = q32 @ rows[lo:hi].T
-        hit = s >= (least - gap).astype(np.float32)[:, None]
-        if hi - lo > k + 1 and np.count_nonzero(hit) > 4 * k * n:  # the k + 1 best of the section, the row itself being one
-            some = np.partition(s, hi - lo - k - 1, axis=1)[:, hi - lo - k - 1].astype(np.float64)
-            hit = s >= (np.maximum(least, some - gap) - gap).astype(np.float32)[:, None]
+    least = np.maximum(least, floor) - 1e-9
+    for section in np.nonzero(open_.any(axis=0))[0]:
+        lo, hi = parts.bounds[section]
+        some = np.nonzero(open_[:, section])[0]
+        s = q32[some] @ parts.single(section).T
+        hit = s >= (least[some] - gap).astype(np.float32)[:, None]
+        if hi - lo > k + 1 and np.count_nonzero(hit) > 4 * k * len(some):  # the k + 1 best of the section, the row itself being one
+            top = np.partition(s, hi - lo - k - 1, axis=1)[:, hi - lo - k - 1].astype(np.float64)
+            hit = s >= (np.maximum(least[some], top - gap) - gap).astype(np.float32)[:, None]
         r, c = np.nonzero(hit)
-        c += lo
+        r, c = some[r], c + lo
         other = ids[c] != own[r]
         r, c = r[other], c[other]
         if not len(r):
@@ -202,40 +205,63 @@ def window_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = C
     return listed.select("id", F.transform("a", lambda p: F.struct(p["s"].alias("s"), p["nb"].alias("nb"))).alias("a"), mean.alias("met"))
 
 
+def leaders_of(asked: DataFrame, some: int = 4096, within: float = 0.82) -> np.ndarray:
+    """Unit vectors of some of ``asked``, no two nearer than the cosine ``within``: where sections are centred."""
+    rest = unit(matrix(r["vec"] for r in asked.orderBy(F.xxhash64("id"), "id").limit(some).select("vec").collect()))
+    out = []
+    while len(rest):
+        out.append(rest[0])
+        rest = rest[rest @ rest[0] < within]
+    return np.array(out)
+
+
 def exact_neighbours(asked: DataFrame, distinct: DataFrame, k: int, floor: float, block: int = 1024) -> DataFrame:
     """(id, a array<struct<s, nb>>): the k best partners of each vector of ``asked`` among all distinct vectors, which
-    are sent to the tasks in parts of bounded size, a pass each."""
-    rows_of, out = spread(asked.select("id", "vec"), 4), None
-    for shared in sent(distinct):
+    are sent to the tasks in parts of bounded size, a pass each. ``asked`` (id, and least if it is known) are some of
+    them; a partner below ``least``, the cosine of the k-th of k known ones, is none of the k best. Sections whose angles
+    to their leader rule out such partners are passed over."""
+    if "least" not in asked.columns:
+        asked = asked.select("id", F.lit(floor).cast("double").alias("least"))
+    asked, out = cut(asked.select("id", "least"), "asked"), None
+    leaders = leaders_of(asked.join(distinct.select("id", "vec"), "id"))
+    if not len(leaders):
+        return distinct.sparkSession.createDataFrame([], "id long, a array<struct<s: double, nb: long>>")
+    placed = cut(led(distinct.select("id", "vec"), leaders), "led")
+    rows_of = spread(placed.join(asked, "id").select("id", "vec", "cell", "phi", "least"), 4)
+    for shared in sent(placed, leaders):
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, x = shared.value
-            rows = None
-            for pdf in batches:
-                if len(pdf) and rows is None:
-                    rows = np.concatenate([unit(x[i : i + 8192]).astype(np.float32) for i in range(0, len(x), 8192)])
-                    sections = [(i, min(i + 8192, len(ids))) for i in range(0, len(ids), 8192)]
+            def work(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                pdf = pd.concat(held).sort_values(["cell", "phi"], kind="stable")
                 for lo in range(0, len(pdf), block):
                     some = pdf.iloc[lo : lo + block]
                     own = some["id"].to_numpy()
-                    at, to, sim = _best(own, unit(matrix(some["vec"])), ids, x, rows, sections, k, floor)
+                    at, to, sim = _best(own, unit(matrix(some["vec"])), some["phi"].to_numpy(), some["least"].to_numpy(), shared.value, k, floor)
                     if len(at):
                         yield pd.DataFrame({"id": own[at], "nb": to, "sim": sim})
 
+            held: list[pd.DataFrame] = []  # rows of a cell together meet its sections once
+            for pdf in batches:
+                held.append(pdf)
+                if sum(map(len, held)) >= 65536:
+                    yield from work(held)
+                    held = []
+            if held:
+                yield from work(held)
+
         found = cut(rows_of.mapInPandas(search, "id long, nb long, sim double"), "nearest")
         shared.unpersist()
         out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = distinct.sparkSession.createDataFrame([], "id long, nb long, sim double")
     return out.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "nb"))), 1, k).alias("a"))
 
 
 def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURVES, block: int = BLOCK, reach: int = REACH, met: float = MET, length: int = RANGE) -> DataFrame:
     """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor."""
     near = cut(window_neighbours(distinct, k, floor, curves, block, reach, length), "windows")
-    doubtful = near.where(F.col("met") < met).select("id")
+    last = F.when(F.size("a") >= k, -F.element_at("a", -1)["s"])
+    doubtful = near.where(F.col("met") < met).select("id", F.coalesce(last, F.lit(floor)).cast("double").alias("least"))
     if doubtful.limit(1).count():
-        again = cut(exact_neighbours(distinct.join(doubtful, "id", "left_semi"), distinct, k, floor), "asked-again")
+        again = cut(exact_neighbours(doubtful, distinct, k, floor), "asked-again")
         near = near.where(F.col("met") >= met).select("id", "a").unionByName(again)
     return near.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
 

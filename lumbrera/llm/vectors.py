@@ -14,6 +14,8 @@ from lumbrera.plans.lineage import cut, spread
 
 #: Bytes of vectors that are broadcast at once.
 SENT = 64 << 20
+#: Leaders at most, and the angle within which a vector is near to one.
+LEADERS, NEAR = 4096, 0.8
 
 
 def usable(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -72,13 +74,96 @@ def slack(dim: int) -> float:
     return (dim + 4) * 6e-8
 
 
-def sent(vectors: DataFrame, extra: str | None = None) -> Iterator:
-    """Broadcasts of (ids, rows), or (ids, rows, ``extra``), that together hold all vectors (id, vec), of at most about
-    SENT bytes each."""
+def margin(dim: int) -> float:
+    """Bound on the error of a sum of up to four angles taken from inner products of single precision."""
+    return 4 * (2 * slack(dim)) ** 0.5
+
+
+def angles(products: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(products, -1, 1))
+
+
+def led(vectors: DataFrame, leaders: np.ndarray) -> DataFrame:
+    """vectors (id, vec, ...) with ``cell``, the nearest of the leaders (unit rows), -1 if none is within NEAR, and
+    ``phi``, the angle to the nearest. Leaders decide only how much can be passed over, never what is found."""
+    shared = vectors.sparkSession.sparkContext.broadcast(leaders.astype(np.float32))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                cell, phi = np.zeros(len(pdf), np.int32), np.full(len(pdf), np.pi, np.float32)
+                u = unit(matrix(pdf["vec"])).astype(np.float32)
+                for lo in range(0, len(pdf) if len(shared.value) else 0, 2048):
+                    p = u[lo : lo + 2048] @ shared.value.T
+                    cell[lo : lo + 2048] = best = p.argmax(axis=1)
+                    phi[lo : lo + 2048] = angles(p[np.arange(len(p)), best])
+                yield pdf.assign(cell=np.where(phi <= NEAR, cell, -1).astype(np.int32), phi=phi)
+
+    kinds = ", ".join(f"{name} {kind}" for name, kind in vectors.dtypes)
+    return vectors.mapInPandas(place, f"{kinds}, cell int, phi float")
+
+
+class Sections:
+    """Vectors of a pass in sections: of one cell and about one angle each, or of far vectors in the order asked for.
+
+    A vector q at the angle t to a section's leader is at least t less the section's largest angle from every vector in
+    it; and one at the angle a to its own nearest leader is at least the section's least angle less a from them, since
+    none of them is nearer to any leader."""
+
+    def __init__(self, part: pd.DataFrame, far_order: str, leaders: np.ndarray, extra: str | None) -> None:
+        cell, phi = part["cell"].to_numpy(), part["phi"].to_numpy()
+        ring = np.where(cell < 0, 0, phi // 0.2).astype(np.int64)
+        order = np.lexsort((np.where(cell < 0, part[far_order].to_numpy(), phi), ring, cell))
+        cell, phi, ring = cell[order], phi[order], ring[order]
+        self.ids, self.x = part["id"].to_numpy(np.int64)[order], matrix(part["vec"].to_numpy()[order])
+        self.extra = part[extra].to_numpy(np.int64)[order] if extra else None
+        edges = np.nonzero((cell[1:] != cell[:-1]) | (ring[1:] != ring[:-1]))[0] + 1
+        runs = [0, *edges.tolist(), len(cell)]
+        self.bounds = [(lo, min(lo + 4096, b)) for a, b in zip(runs, runs[1:]) for lo in range(a, b, 4096)]
+        self.cell = np.array([cell[lo] for lo, _ in self.bounds])
+        self.least = np.array([phi[lo:hi].min() for lo, hi in self.bounds])
+        self.most = np.array([phi[lo:hi].max() for lo, hi in self.bounds])
+        used, self.at = np.unique(np.maximum(self.cell, 0), return_inverse=True)
+        self.leaders = leaders[used].astype(np.float32) if len(leaders) else np.zeros((1, self.x.shape[1]), np.float32)
+
+    def single(self, k: int) -> np.ndarray:
+        """Unit vectors of a section in single precision."""
+        held = self.__dict__.setdefault("_single", {})
+        if k not in held:
+            lo, hi = self.bounds[k]
+            held[k] = unit(self.x[lo:hi]).astype(np.float32)
+        return held[k]
+
+    def open(self, q: np.ndarray, phi: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Rows of ``q`` (unit, single precision) x sections: whether a vector within the angle ``reach`` may be there."""
+        reach = reach[:, None] + margin(q.shape[1])
+        out = self.least[None, :] - phi[:, None] <= reach
+        near = self.cell >= 0
+        if near.any():
+            t = angles(q @ self.leaders.T)[:, self.at[near]]
+            out[:, near] &= t - self.most[None, near] <= reach
+        return out
+
+
+def sent(vectors: DataFrame, leaders: np.ndarray, far_order: str = "phi", extra: str | None = None) -> Iterator:
+    """Broadcasts of Sections that together hold all vectors (id, vec, cell, phi), of at most about SENT bytes each:
+    whole cells, the larger ones in parts."""
     spark = vectors.sparkSession
-    total = vectors.agg(F.sum(F.length("vec")).alias("b")).collect()[0]["b"] or 0
-    rounds = -(-total // SENT)
-    for r in range(rounds):
-        part = vectors.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("id", "vec", *([extra] if extra else [])).toPandas()
+    sizes = vectors.groupBy("cell").agg(F.sum(F.length("vec")).alias("b")).orderBy("cell").collect()  # a row a leader
+    passes, first, held = [], None, 0
+    for cell, size in ((r["cell"], r["b"]) for r in sizes):
+        if held and held + size > SENT:
+            passes.append((F.col("cell") >= first) & (F.col("cell") < cell))
+            first, held = None, 0
+        if size > SENT:
+            parts = -(-size // SENT)
+            passes += [(F.col("cell") == cell) & (F.pmod(F.xxhash64("id"), F.lit(parts)) == r) for r in range(parts)]
+        else:
+            first, held = (cell if first is None else first), held + size
+    if held:
+        passes.append(F.col("cell") >= first)
+    names = list(dict.fromkeys(["id", "vec", "cell", "phi", *([extra] if extra else []), far_order]))
+    for these in passes:
+        part = vectors.where(these).select(*names).toPandas()
         if len(part):
-            yield spark.sparkContext.broadcast((part["id"].to_numpy(np.int64), matrix(part["vec"]), *([part[extra].to_numpy(np.int64)] if extra else [])))
+            yield spark.sparkContext.broadcast(Sections(part, far_order, leaders, extra))

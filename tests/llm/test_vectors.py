@@ -191,3 +191,22 @@ def test_description(spark):
     df = table(spark, list(enumerate(x)))
     rows = G.describe(df, G.group_vectors(df)).collect()
     assert sorted(r["n"] for r in rows) == [9, 14, 19] and all(len(r["tipicos"]) <= 3 and r["tipicos"] for r in rows)
+
+
+def test_sections_pass_over_only_what_is_too_far():
+    import pandas as pd
+
+    from lumbrera.llm import vectors
+
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=(6, 48))
+    x = vectors.unit(np.concatenate([c[i % 6] + rng.normal(size=48) * (0.2 if i % 7 else 1.5) for i in range(1200)]).reshape(-1, 48).astype(np.float32)).astype(np.float32)
+    leaders = vectors.unit(c)
+    phi = vectors.angles((x @ leaders.T.astype(np.float32)).max(axis=1))
+    cell = np.where(phi <= vectors.NEAR, (x @ leaders.T).argmax(axis=1), -1)
+    parts = vectors.Sections(pd.DataFrame({"id": np.arange(1200), "vec": [v.tobytes() for v in x], "cell": cell, "phi": phi}), "phi", leaders, None)
+    near = parts.open(x, phi, np.full(1200, np.arccos(0.8)))
+    s = x @ x[parts.ids].T >= 0.8
+    for k, (lo, hi) in enumerate(parts.bounds):
+        assert not (s[:, lo:hi].any(axis=1) & ~near[:, k]).any()
+    assert near.mean() < 0.5 and sorted(parts.ids) == list(range(1200))
