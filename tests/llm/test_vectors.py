@@ -210,3 +210,19 @@ def test_sections_pass_over_only_what_is_too_far():
     for k, (lo, hi) in enumerate(parts.bounds):
         assert not (s[:, lo:hi].any(axis=1) & ~near[:, k]).any()
     assert near.mean() < 0.5 and sorted(parts.ids) == list(range(1200))
+
+
+def test_a_great_group_is_asked_in_its_own_sections_alone(spark):
+    from lumbrera.llm import vectors
+
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=(8, 48))
+    x = np.concatenate([c[i] / np.linalg.norm(c[i]) * 6 + rng.normal(size=(200, 48)) * 0.2 for i in range(8)]).astype(np.float32)
+    distinct, _ = N.fold(N.usable(table(spark, list(enumerate(x))), "vec_id", "embedding"))
+    leaders = N.leaders_of(distinct)
+    parts = [s.value for s in vectors.sent(vectors.led(distinct.select("id", "vec"), leaders), leaders)]
+    u = vectors.unit(x).astype(np.float32)
+    open_ = np.concatenate([p.open(u, vectors.angles((u @ leaders.T).max(axis=1)), np.full(len(u), np.arccos(0.9))) for p in parts], axis=1)
+    assert len(leaders) == 8 and open_.mean() < 0.2
+    got = {(r["id"], p["nb"]) for r in N.exact_neighbours(distinct, distinct, 5, 0.8).collect() for p in r["a"]}
+    assert {(min(p), max(p)) for p in got} == truth(x, np.arange(len(x)), 5, 0.8)[1]
