@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbrera.llm.vectors import Sections, angles, directions, first_ids, fold, led, matrix, sent, slack, unit, usable
+from lumbrera.operators.graph import components
 from lumbrera.plans.lineage import cut, spread, width
 
 #: Curves, directions and bits of each, rows compared at once, rows to either side of them, rows of a range.
 CURVES, DIMS, BITS, BLOCK, REACH, RANGE = 8, 6, 10, 512, 1024, 16384
 #: Curves that must have met a vector's partners, on the mean, for its list to be taken as complete.
 MET = 3.0
+#: Cosine from which links join alike vectors, not all of a table; vectors of a component that are compared in one task.
+CHAINED, WHOLE = 0.5, 16384
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -106,19 +109,14 @@ def _window(ids: np.ndarray, rows: np.ndarray, q: slice, w: slice, k: int, floor
     s = rows[a:b].astype(np.float32) @ rows[lo:hi].astype(np.float32).T
     s[np.arange(b - a), np.arange(a - lo, b - lo)] = -2
     least = np.float32(max(floor, -1.5) - slack(rows.shape[1]) - 1e-6)
-    open_ = np.nonzero((s >= least).any(axis=1))[0]
+    open_ = np.nonzero(s.max(axis=1) >= least)[0]
     if not len(open_):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    s = s[open_]
+    s = s if len(open_) == b - a else s[open_]
     if s.shape[1] > k + 2:  # two more than asked, since single precision may order near ties otherwise
-        c = np.argpartition(s, s.shape[1] - k - 2, axis=1)[:, s.shape[1] - k - 2 :]
-    else:
-        c = np.broadcast_to(np.arange(s.shape[1]), s.shape)
-    r = np.repeat(np.arange(len(open_)), c.shape[1])
-    c = c.ravel()
-    near = s[r, c] >= least
-    r, c = r[near], c[near]
-    e = np.einsum("id,id->i", rows[a + open_[r]], rows[lo + c]).round(9)
+        least = np.maximum(np.partition(s, s.shape[1] - k - 2, axis=1)[:, s.shape[1] - k - 2], least)[:, None]
+    r, c = np.divmod(np.flatnonzero(s >= least), s.shape[1])
+    e = np.concatenate([np.einsum("id,id->i", rows[a + open_[r[i : i + 65536]]], rows[lo + c[i : i + 65536]]) for i in range(0, len(r), 65536)]).round(9)
     good = e >= floor
     r, c, e = open_[r[good]], ids[lo + c[good]], e[good]
     order = np.lexsort((c, -e, r))
@@ -255,15 +253,59 @@ def exact_neighbours(asked: DataFrame, distinct: DataFrame, k: int, floor: float
     return out.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), "nb"))), 1, k).alias("a"))
 
 
+def component_neighbours(members: DataFrame, k: int, floor: float, block: int = BLOCK) -> DataFrame:
+    """(id, nb, sim): for vectors (id, vec, label), the k best partners of each among those of its label, by comparing
+    all of them. A label has at most WHOLE vectors, which a task holds at once."""
+
+    def work(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(held) if len(held) > 1 else held[0]
+        label, ids = pdf["label"].to_numpy(), pdf["id"].to_numpy()
+        rows, out = unit(matrix(pdf["vec"])), []
+        edges = [0, *(np.nonzero(label[1:] != label[:-1])[0] + 1).tolist(), len(label)]
+        for s, e in zip(edges, edges[1:]):
+            for lo in range(s, e, block):
+                r, nb, sim = _window(ids, rows, slice(lo, min(lo + block, e)), slice(s, e), k, floor)
+                out.append((ids[lo + r], nb, sim))
+        yield pd.DataFrame({"id": np.concatenate([x[0] for x in out]), "nb": np.concatenate([x[1] for x in out]), "sim": np.concatenate([x[2] for x in out])})
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # rows come sorted by label: the last label of a batch waits for the next batch
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            last = pdf["label"].iloc[-1]
+            done, rest = pdf[pdf["label"] != last], pdf[pdf["label"] == last]
+            if len(done):
+                yield from work([*held, done])
+                held = []
+            elif held and held[-1]["label"].iloc[-1] != last:
+                yield from work(held)
+                held = []
+            held.append(rest)
+        if held:
+            yield from work(held)
+
+    parts = max(width(members.sparkSession), -(-members.count() // (2 * WHOLE)))
+    return members.repartition(parts, "label").sortWithinPartitions("label", "id").mapInPandas(search, "id long, nb long, sim double")
+
+
 def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURVES, block: int = BLOCK, reach: int = REACH, met: float = MET, length: int = RANGE) -> DataFrame:
     """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor."""
     near = cut(window_neighbours(distinct, k, floor, curves, block, reach, length), "windows")
+    flat = lambda d: d.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
+    whole = None
+    if floor >= CHAINED and 0 < met <= curves:
+        label = components(flat(near).select(F.col("id").alias("a"), F.col("nb").alias("b")))
+        sized = cut(label.join(label.groupBy("label").agg(F.count("*").alias("n")), "label"), "sized-components")
+        whole = cut(component_neighbours(distinct.select("id", "vec").join(sized.where(F.col("n") <= WHOLE).select("id", "label"), "id"), k, floor, block), "within-components")
+        great = sized.where(F.col("n") > WHOLE).select("id")
+        near, distinct = near.join(great, "id", "left_semi"), distinct.join(great, "id", "left_semi")
     last = F.when(F.size("a") >= k, -F.element_at("a", -1)["s"])
     doubtful = near.where(F.col("met") < met).select("id", F.coalesce(last, F.lit(floor)).cast("double").alias("least"))
     if doubtful.limit(1).count():
         again = cut(exact_neighbours(doubtful, distinct, k, floor), "asked-again")
         near = near.where(F.col("met") >= met).select("id", "a").unionByName(again)
-    return near.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
+    return flat(near) if whole is None else flat(near).unionByName(whole)
 
 
 def recall(df: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 5, floor: float = 0.8, every: int = 20, **options) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,20 +20,41 @@ SENT = 64 << 20
 LEADERS, NEAR = 4096, 0.8
 
 
+def _sound(v: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(whether each list can be used, its length, where it begins among the elements, the elements of all lists)."""
+    n = pc.fill_null(pc.list_value_length(v), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    x = pc.fill_null(v.flatten(), float("nan")).to_numpy(zero_copy_only=False)
+    begin, good = np.cumsum(n) - n, n > 0
+    if good.any():
+        at = begin[good]
+        good[good] = np.logical_and.reduceat(np.isfinite(x), at) & np.logical_or.reduceat(x != 0, at)
+    return good, n, begin, x
+
+
 def usable(df: DataFrame, key: str, column: str) -> DataFrame:
     """(id, vec): vectors as float32 bytes. Left out: null, empty and all-zero ones, those with null or non-finite
     elements, and those whose length isn't the commonest one (it can't be compared)."""
-    v = F.col(f"`{column}`")
-    kept = df.select(F.col(f"`{key}`").cast("long").alias("id"), v.cast("array<float>").alias("v"))
-    kept = kept.where("id IS NOT NULL AND v IS NOT NULL AND exists(v, x -> x <> 0) AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = float('Infinity'))")
-    sizes = kept.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+    kept = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{column}`").cast("array<float>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good, n, _, _ = _sound(batch.column("v"))
+            sizes, times = np.unique(n[good], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array(times, pa.int64())], ["n", "times"])
+
+    sizes = kept.select("v").mapInArrow(lengths, "n long, times long").groupBy("n").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "n").limit(1).collect()
     dim = sizes[0]["n"] if sizes else 1
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "vec": [np.asarray(x, dtype=np.float32).tobytes() for x in pdf["v"]]})
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good, n, begin, x = _sound(batch.column("v"))
+            good &= n == dim
+            rows = np.ascontiguousarray(x[begin[good][:, None] + np.arange(dim)], dtype=np.float32)
+            ends = np.arange(len(rows) + 1, dtype=np.int32) * (4 * dim)
+            vec = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+            yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(good)), vec], ["id", "vec"])
 
-    return spread(kept.where(F.size("v") == dim)).mapInPandas(pack, "id long, vec binary")
+    return spread(kept.mapInArrow(pack, "id long, vec binary"))
 
 
 def fold(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -226,3 +226,26 @@ def test_a_great_group_is_asked_in_its_own_sections_alone(spark):
     assert len(leaders) == 8 and open_.mean() < 0.2
     got = {(r["id"], p["nb"]) for r in N.exact_neighbours(distinct, distinct, 5, 0.8).collect() for p in r["a"]}
     assert {(min(p), max(p)) for p in got} == truth(x, np.arange(len(x)), 5, 0.8)[1]
+
+
+def test_vectors_asked_again_meet_their_component_alone(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    c = rng.normal(size=(7, 48))
+    c /= np.linalg.norm(c, axis=1, keepdims=True)
+    groups = [c[i] * 6 + rng.normal(size=(300 if i == 0 else 120, 48)) * 0.3 for i in range(7)]
+    x = np.concatenate([*groups, rng.normal(size=(500, 48))]).astype(np.float32)
+    x = x[rng.permutation(len(x))]
+    met, exact = [], N.exact_neighbours
+    monkeypatch.setattr(N, "exact_neighbours", lambda asked, distinct, k, floor: met.append(distinct.count()) or exact(asked, distinct, k, floor))
+    for whole, want in ((16384, []), (200, [300])):
+        monkeypatch.setattr(N, "WHOLE", whole, raising=False)
+        got = {(r["vec_a"], r["vec_b"]) for r in N.pairs(N.most_similar(table(spark, list(enumerate(x))), k=5, floor=0.8, block=16, reach=16, met=8)).collect()}
+        assert got == truth(x, np.arange(len(x)), 5, 0.8)[1] and met == want
+
+
+def test_usable_vectors(spark):
+    odd = [(4, [1.0, None, 0.0]), (5, [float("inf"), 0.0, 0.0]), (6, [1.0, float("nan"), 0.0]), (7, []), (8, None), (9, [0.0, -0.0, 0.0]), (10, [1.0, 2.0]), (None, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), *odd, (2, [0.0, 0.0, -1.0]), (3, [0.5, 0.0, 0.0])], "vec_id long, embedding array<double>")
+    got = {r["id"]: np.frombuffer(r["vec"], np.float32).tolist() for r in N.usable(df, "vec_id", "embedding").collect()}
+    assert got == {1: [1.0, 2.0, 3.0], 2: [0.0, 0.0, -1.0], 3: [0.5, 0.0, 0.0]}
+    assert N.usable(df.where("vec_id > 6 AND vec_id < 10"), "vec_id", "embedding").count() == 0
