@@ -7,9 +7,11 @@ matrix products. The windows of all curves are merged and ranked by exact cosine
 through the sort; vectors follow once, to their ranges.
 
 How many curves met each of the k best partners tells how likely one was missed by all of them (what is met again and
-again is complete, what was met once has siblings unseen). Vectors whose partners were met by few curves, as in a
-group far larger than the windows, are asked again: they are compared with all vectors, in blocks of bounded size and
-in single precision with a proven margin, but for blocks whose angles say that none of the best can be there. Exact copies are folded beforehand and expanded afterwards.
+again is complete, what was met once has siblings unseen). Where a floor of similarity keeps unlike vectors apart, the
+links found make components, and all vectors of one are compared with each other; for very great ones, and where there
+is no such floor, only vectors whose partners were met by few curves are asked again: they are compared with all vectors
+(of such components), in blocks of bounded size and in single precision with a proven margin, but for blocks whose angles
+say that none of the best can be there. Exact copies are folded beforehand and expanded afterwards.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lumbrera.llm.vectors import Sections, angles, directions, first_ids, fold, led, matrix, sent, slack, unit, usable
 from lumbrera.operators.graph import components
-from lumbrera.plans.lineage import cut, spread, width
+from lumbrera.plans.lineage import cut, drop, spread, width
 
 #: Curves, directions and bits of each, rows compared at once, rows to either side of them, rows of a range.
 CURVES, DIMS, BITS, BLOCK, REACH, RANGE = 8, 6, 10, 512, 1024, 16384
@@ -290,16 +292,28 @@ def component_neighbours(members: DataFrame, k: int, floor: float, block: int =
 
 
 def rep_neighbours(distinct: DataFrame, k: int, floor: float, curves: int = CURVES, block: int = BLOCK, reach: int = REACH, met: float = MET, length: int = RANGE) -> DataFrame:
-    """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor."""
+    """(id, nb, sim): for distinct vectors, the k best partners with cosine >= floor.
+
+    Links of at least CHAINED join alike vectors, so partners are sought within the components that the windows' links
+    make. Windows thin out as a table grows; so vectors that no window has linked, and the first of each component, go
+    through windows of their own, and what they link is joined. Components of up to WHOLE vectors are compared whole;
+    in greater ones, doubtful vectors are compared with all of these."""
     near = cut(window_neighbours(distinct, k, floor, curves, block, reach, length), "windows")
     flat = lambda d: d.select("id", F.explode("a").alias("p")).select("id", F.col("p.nb").alias("nb"), (-F.col("p.s")).alias("sim"))
+    links = lambda d: flat(d).select(F.col("id").alias("a"), F.col("nb").alias("b"))
     whole = None
     if floor >= CHAINED and 0 < met <= curves:
-        label = components(flat(near).select(F.col("id").alias("a"), F.col("nb").alias("b")))
+        label = components(links(near))
+        first = cut(distinct.select("id", "vec").join(label.where("id <> label"), "id", "left_anti"), "first-vectors")
+        moved = components(links(window_neighbours(first, k, floor, curves, block, reach, length))).select(F.col("id").alias("label"), F.col("label").alias("to"))
+        drop(first)
+        alone = moved.select(F.col("label").alias("id"), "label").join(label, "id", "left_anti")
+        label = cut(label.unionByName(alone).join(moved, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "components")
         sized = cut(label.join(label.groupBy("label").agg(F.count("*").alias("n")), "label"), "sized-components")
         whole = cut(component_neighbours(distinct.select("id", "vec").join(sized.where(F.col("n") <= WHOLE).select("id", "label"), "id"), k, floor, block), "within-components")
         great = sized.where(F.col("n") > WHOLE).select("id")
-        near, distinct = near.join(great, "id", "left_semi"), distinct.join(great, "id", "left_semi")
+        near = great.join(near, "id", "left").select("id", "a", F.coalesce("met", F.lit(0.0)).alias("met"))
+        distinct = distinct.join(great, "id", "left_semi")
     last = F.when(F.size("a") >= k, -F.element_at("a", -1)["s"])
     doubtful = near.where(F.col("met") < met).select("id", F.coalesce(last, F.lit(floor)).cast("double").alias("least"))
     if doubtful.limit(1).count():
@@ -327,8 +341,9 @@ def most_similar(df: DataFrame, key: str = "vec_id", column: str = "embedding",
     Ties go to the smaller id, the vector itself is left out, copies of it count. ``floor`` keeps partners of at
     least that cosine. Vectors without a direction (null, empty, all-zero, not finite) neither ask nor answer. An
     empty table gives no rows. Other columns are dropped. Vectors whose partners were met by fewer than ``met`` curves
-    are compared with all others: 0 keeps to the windows, more than ``curves`` compares every vector that has partners
-    with all others. What no window of any curve met at all isn't asked again.
+    are compared with all others, or with those of their component from a floor of CHAINED on (rep_neighbours): 0 keeps
+    to the windows, more than ``curves`` compares every vector that has partners with all others. What no window of any
+    curve met at all isn't asked again, but for the second windows of such a floor.
     """
     distinct, members = fold(usable(df, key, column))
     near = cut(rep_neighbours(distinct, k + 1, floor, curves, block, reach, met), "neighbours")

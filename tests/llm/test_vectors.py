@@ -249,3 +249,21 @@ def test_usable_vectors(spark):
     got = {r["id"]: np.frombuffer(r["vec"], np.float32).tolist() for r in N.usable(df, "vec_id", "embedding").collect()}
     assert got == {1: [1.0, 2.0, 3.0], 2: [0.0, 0.0, -1.0], 3: [0.5, 0.0, 0.0]}
     assert N.usable(df.where("vec_id > 6 AND vec_id < 10"), "vec_id", "embedding").count() == 0
+
+
+def test_a_vector_that_no_window_met_is_found_by_the_second_windows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(13)
+    c = rng.normal(size=48)
+    x = np.concatenate([c / np.linalg.norm(c) * 6 + rng.normal(size=(40, 48)) * 0.3, rng.normal(size=(30, 48))]).astype(np.float32)
+    calls, windows = [], N.window_neighbours
+
+    def blind(distinct, *options):
+        out = windows(distinct, *options)
+        calls.append(distinct.count())
+        return out if len(calls) > 1 else out.where("id <> 0").withColumn("a", F.filter("a", lambda p: p["nb"] != 0))
+
+    monkeypatch.setattr(N, "window_neighbours", blind)
+    got = {(r["vec_a"], r["vec_b"]) for r in N.pairs(N.most_similar(table(spark, list(enumerate(x))), k=5, floor=0.8)).collect()}
+    assert got == truth(x, np.arange(len(x)), 5, 0.8)[1] and calls == [70, 32]
