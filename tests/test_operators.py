@@ -433,6 +433,28 @@ def test_suspicious_pairs_leave_no_plan_of_all_types(spark):
     assert plan.count("Join") == 2 and "levenshtein" not in plan  # the two that name the persons
 
 
+def test_keys_of_names_are_never_broadcast(spark, monkeypatch):
+    from lumbrera.operators import edits
+    from lumbrera.plans import lineage
+
+    plans, cut = [], lineage.cut
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, label)
+
+    for module in (E, edits, lineage):
+        monkeypatch.setattr(module, "cut", kept)
+    long = " ".join(f"apellido{c}" for c in "bcdfghjklm")  # beyond the length up to which keys are deletions
+    rows = [(1, "solares mireda", "ana luz"), (2, "solares mirexa", "ana luz"), (3, "robles prado", "marcela"), (4, "robles prado", "marcelo"), (5, long, "eva"), (6, long[1:] + "s", "eva")]
+    df = spark.createDataFrame([(i, i, s.split(), g.split(), 1, f"{s}, {g}", ["p"]) for i, s, g in rows], "node long, label long, ap array<string>, no array<string>, n long, display string, programs array<string>")
+    name = {i: f"{s}, {g}" for i, s, g in rows}
+    got = {(r["tipo"], *sorted((r["a"], r["b"]))) for r in E.suspicious(df).collect()}
+    assert got == {(t, *sorted((name[a], name[b]))) for t, a, b in (("E", 1, 2), ("F", 3, 4), ("E", 5, 6))}
+    spelled = [p for p in plans if "explode(" in p]
+    assert len(spelled) == 3 and not any("BroadcastExchange" in p for p in spelled)  # some hundred rows a name would go to the driver
+
+
 def test_tables_on_the_way_go_as_soon_as_the_result_is_written(spark):
     from lumbrera.plans.lineage import cut, settled
 
