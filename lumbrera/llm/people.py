@@ -36,6 +36,8 @@ GIVEN_LEAST, GIVEN_PART, GIVEN_SHARE = 3, 1e-4, 0.8
 RARE, RARE_PART = 3, 0.2
 #: Forms of one name that are spelled out as keys; beyond them, keys of initials propose and the words are compared.
 FORMS = 64
+#: Rows of a block up to which its words are compared with each other: fewer pairs a word than it has deletion keys.
+SMALL = 32
 _TITLE = re.compile(r"(?<![\w.])(?:m\.?\s*en\s+[a-z]\.?|dra?\.?|mtr[oa]\.?|lica?\.?|ing\.?|profa?\.?|arq\.?|biol\.?|psic\.?|ph\.?\s?d\.?)(?=[\s,]|$)")
 _PARTICLE = {"de", "del", "la", "las", "los", "y", "e", "da", "do", "dos", "das"}
 _DIGIT = str.maketrans("01345789", "oieasTbg".lower())
@@ -397,7 +399,8 @@ def _often(nodes: DataFrame) -> DataFrame:
 
 def _slips(mine: DataFrame, all_words: DataFrame, often: DataFrame, given) -> DataFrame:
     """Links (a, b) between nodes of ``mine`` and of ``all_words`` that differ in one word (or both surnames) by a slip.
-    Words of one block that share what is left of them after deletions are compared, however many the block has."""
+    Words of one block that share what is left of them after deletions are compared, however many the block has; in
+    blocks of up to SMALL rows that is looked at pair by pair, so that only words of greater ones are spelled out."""
 
     def left_over(words_: DataFrame) -> DataFrame:
         def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -408,12 +411,28 @@ def _slips(mine: DataFrame, all_words: DataFrame, often: DataFrame, given) -> Da
 
         return words_.mapInPandas(spell, "node long, side string, w string, d long")
 
+    def sharing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ok = [edits(a, b) <= 2 and not deletions(a).isdisjoint(deletions(b)) for a, b in zip(pdf["w"].str.split(" ").str[0], pdf["w2"].str.split(" ").str[0], strict=True)]
+            yield pdf[pd.Series(ok, index=pdf.index, dtype=bool)]
+
     # Only keys that stand for different words of different nodes can have a slip.
-    ends = mine.groupBy("key").agg(F.min("w").alias("lo"), F.max("w").alias("hi")) if mine is all_words else mine.select("key", "w").unionByName(all_words.select("key", "w")).groupBy("key").agg(F.min("w").alias("lo"), F.max("w").alias("hi"))
-    several = cut(ends.where("lo <> hi").select("key"), "open-keys")
-    near = cut(left_over(mine.join(several, "key", "left_semi")), "near-words")
-    other = near if mine is all_words else cut(left_over(all_words.join(several, "key", "left_semi").join(mine.select("key").distinct(), "key", "left_semi")), "other-words")
-    met = near.join(other.select(F.col("node").alias("node2"), F.col("w").alias("w2"), "d"), "d").where("w < w2" if mine is all_words else "w <> w2").select("node", "node2", "side", "w", "w2").distinct()
+    same = mine is all_words
+    ends = mine.select("key", "w") if same else mine.select("key", "w").unionByName(all_words.select("key", "w"))
+    several = cut(ends.groupBy("key").agg(F.min("w").alias("lo"), F.max("w").alias("hi"), F.count("*").alias("c")).where("lo <> hi").select("key", (F.col("c") <= SMALL).alias("small")), "open-keys")
+    small, great = several.where("small").select("key"), several.where("NOT small").select("key")
+    second = lambda rows: rows.select(F.col("node").alias("node2"), F.col("w").alias("w2"), rows.columns[-1])
+    order = "w < w2" if same else "w <> w2"
+    pairs = mine.join(small, "key", "left_semi").join(second(all_words.select("node", "w", "key")), "key").where(order)
+    # Two edits are four at most where swapped letters count as two.
+    first = lambda c: F.substring_index(c, " ", 1)
+    pairs = pairs.where(F.levenshtein(first("w"), first("w2"), 4) >= 0).select("node", "node2", "side", "w", "w2")
+    kind = "node long, node2 long, side string, w string, w2 string"
+    near = cut(left_over(mine.join(great, "key", "left_semi")), "near-words")
+    other = near if same else cut(left_over(all_words.join(great, "key", "left_semi").join(mine.select("key").distinct(), "key", "left_semi")), "other-words")
+    # Divided before columns are renamed, both sides of a join with itself are one exchange.
+    met = near.repartition("d").join(second(other.repartition("d")), "d").where(order).select("node", "node2", "side", "w", "w2")
+    met = pairs.mapInPandas(sharing, kind).unionByName(met).distinct()
     part = lambda c, i: F.element_at(F.split(c, " "), i)
 
     def counted(rows: DataFrame, w: str, c: str) -> DataFrame:
@@ -446,7 +465,7 @@ def _slips(mine: DataFrame, all_words: DataFrame, often: DataFrame, given) -> Da
             yield pd.DataFrame({"a": a, "b": b}).astype("int64")
 
     met = cut(met, "met-words")
-    drop(near, several, *([] if mine is all_words else [other]))
+    drop(near, several, *([] if same else [other]))
     slips = cut(counted(counted(met, "w", "c"), "w2", "c2").mapInPandas(judge, "a long, b long"), "slips")
     drop(met)
     return slips

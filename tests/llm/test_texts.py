@@ -177,3 +177,29 @@ def test_fits():
     assert P.fits(["l.", "ana"], ["ana", "luz"], given) and P.fits(["pepe"], ["jose"], given)
     assert not P.fits(["l.", "luz"], ["ana", "luz"], given) and not P.fits(["l."], ["ana", "luz"], given)
     assert "acd" in P.deletions("abcd") and "abce" in P.deletions("abcdef") | P.deletions("abced") and len(P.deletions("abc")) == 4
+
+
+def test_slips_of_small_blocks_are_compared_without_keys(spark, monkeypatch):
+    from lumbrera.llm import people
+
+    kept, cut = {}, people.cut
+
+    def counted(df, label):
+        out = cut(df, label)
+        kept.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(people, "cut", counted)
+    surnames = ["Villaseca Montoro", "Carbajal Quirarte", "Zepeda Olmedilla", "Arizmendi Trejo"]
+    names = [f"{s}, {g}" for s in surnames for g in ("Marcela Inés", "Rodrigo Saúl", "Tomás Elías")]
+    slips = {"Villasecca Montoro, Marcela Inés": 0, "Vilaseka Montoro, Rodrigo Saúl": 1, "Carbajla Quirarte, Marcela Inés": 3, "Zepeda Olmeddila, Tomás Elías": 8, "Arizmenid Trejjo, Rodrigo Saúl": 10}
+    df = spark.createDataFrame([(n,) for n in [*names, *slips]], "name string")
+    groups = {}
+    for most in (32, 0):  # by pairs alone, and by deletion keys alone
+        kept.clear()
+        monkeypatch.setattr(people, "SMALL", most, raising=False)
+        of = {r["name"]: r["person"] for r in people.link_spellings(df).collect()}
+        groups[most] = sorted(sorted(n for n in of if of[n] == p) for p in {*of.values()})
+        assert all(of[x] == of[names[i]] for x, i in slips.items()) and len({*of.values()}) == len(names)
+        assert (sum(kept["near-words"]) == 0) == (most > 0), most
+    assert groups[32] == groups[0]
